@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import percent_text
@@ -10,7 +10,7 @@ from ..functions.scalars import percent_text
 
 def null_rates(df: DataFrame) -> DataFrame:
     """Percent of NULLs per column, all columns in one pass."""
-    wide = df.agg(*[(100.0 * F.count_if(F.col(c).isNull()) / F.count("*")).alias(c) for c in df.columns])
+    wide = df.agg(*[F.try_divide(100.0 * F.count_if(F.col(c).isNull()), F.count("*")).alias(c) for c in df.columns])
     return wide.unpivot([], list(df.columns), "column_name", "null_percent")
 
 
@@ -23,9 +23,8 @@ def drop_sparse(df: DataFrame, threshold: float = 30.0) -> DataFrame:
 def label_distribution(df: DataFrame, label: str) -> DataFrame:
     """Rows and percent per label value, NULLs aside."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    # A cross join with one aggregated row.
-    shared = counts.join(total.hint("broadcast"))
+    # One row per label value: a window over all of them is small.
+    shared = counts.withColumn("total", F.sum("n").over(Window.partitionBy()))
     share = F.col("n") / F.col("total")
     return shared.select(label, "n", (100.0 * share).alias("percent"), percent_text(share).alias("percent_text"))
 

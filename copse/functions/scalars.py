@@ -43,14 +43,14 @@ def split_gain(gl: str, hl: str, gr: str, hr: str, reg_lambda: float, gamma: flo
     return F.expr(f"0.5D * ({score(gl, hl)} + {score(gr, hr)} - {both}) - {float(gamma)!r}D")
 
 
-def midpoint(a: Column, b: Column) -> Column:
-    """Middle of two neighbouring values.
+def midpoint(a: str, b: str) -> Column:
+    """Middle of two neighbouring values, given as SQL text.
 
     Where rounding or overflow puts the middle outside ``[a, b)`` the lower
     value is used, so that ``v <= split`` parts the two values in every case.
     """
-    mid = (a + b) / 2.0
-    return F.when((mid >= a) & (mid < b), mid).otherwise(a)
+    mid = f"(({a}) + ({b})) / 2D"
+    return F.expr(f"CASE WHEN {mid} >= ({a}) AND {mid} < ({b}) THEN {mid} ELSE ({a}) END")
 
 
 def class_of(probability: Column) -> Column:

@@ -66,57 +66,55 @@ def _gain(params: BoostParams) -> Column:
     return split_gain("gl", "hl", "gr", "hr", params.reg_lambda, params.gamma)
 
 
-def _allowed(params: BoostParams) -> Column:
+def _allowed(params: BoostParams) -> str:
     """Both sides hold rows, plus the optional size and weight rules."""
-    ok = (F.col("nl") > 0) & (F.col("nr") > 0)
+    ok = "nl > 0 AND nr > 0"
     if params.min_leaf is not None:
-        ok &= (F.col("nl") >= params.min_leaf) & (F.col("nr") >= params.min_leaf)
+        ok += f" AND least(nl, nr) >= {int(params.min_leaf)}"
     if params.min_child_weight is not None:
-        ok &= (F.col("hl") > params.min_child_weight) & (F.col("hr") > params.min_child_weight)
+        ok += f" AND least(hl, hr) > {float(params.min_child_weight)!r}D"
     return ok
 
 
 def _valid(df: DataFrame, params: BoostParams) -> DataFrame:
     """Keep real candidates: a split value, both sides allowed, a defined gain."""
-    return (
-        df.filter(F.col("split").isNotNull() & ~F.isnan("split") & _allowed(params))
-        .withColumn("gain", _gain(params))
-        .filter(F.col("gain").isNotNull() & ~F.isnan("gain"))
-    )
+    kept = df.filter(f"split IS NOT NULL AND NOT isnan(split) AND {_allowed(params)}")
+    return kept.withColumn("gain", _gain(params)).filter("gain IS NOT NULL AND NOT isnan(gain)")
 
 
 def _right_side(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {"gr": F.col("g_all") - F.col("gl"), "hr": F.col("h_all") - F.col("hl"), "nr": F.col("n_all") - F.col("nl")}
-    )
+    return df.selectExpr("*", *[f"{c}_all - {c}l AS {c}r" for c in ("g", "h", "n")])
+
+
+def _over(group: Sequence[str], order: str, frame: str) -> str:
+    return f"OVER (PARTITION BY {', '.join(group)} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND {frame})"
+
+
+def _running(group: Sequence[str], order: str, suffix: str) -> list[str]:
+    run = _over(group, order, "CURRENT ROW")
+    return [f"sum({c}) {run} AS {c}{suffix}" for c in ("g", "h", "n")]
 
 
-def _prefix(cells: DataFrame, group: Sequence[str], order: str) -> DataFrame:
+def _next(group: Sequence[str], order: str, value: str, name: str) -> str:
+    return f"lead({value}) OVER (PARTITION BY {', '.join(group)} ORDER BY {order}) AS {name}"
+
+
+def _prefix(cells: DataFrame, group: Sequence[str], order: str, *more: str) -> DataFrame:
     """Left sums up to and including each cell, and the totals of its group."""
-    run = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*group).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    return cells.withColumns(
-        {
-            **{f"{c}l": F.sum(c).over(run) for c in ("g", "h", "n")},
-            **{f"{c}_all": F.sum(c).over(whole) for c in ("g", "h", "n")},
-        }
-    )
+    whole = _over(group, order, "UNBOUNDED FOLLOWING")
+    totals = [f"sum({c}) {whole} AS {c}_all" for c in ("g", "h", "n")]
+    return cells.selectExpr("*", *_running(group, order, "l"), *totals, *more)
 
 
 # Order of preference: highest gain after rounding off float noise, then the
 # smaller feature, then the smaller split value.
-_BEST = F.struct(
-    (-F.round("gain", GAIN_DIGITS)).alias("key"), "f", "split", "gain", "gl", "hl", "nl", "gr", "hr", "nr"
-)
+_BEST = f"struct(-round(gain, {GAIN_DIGITS}) AS key, f, split, gain, gl, hl, nl, gr, hr, nr)"
 
 
 def best_of(candidates: DataFrame) -> DataFrame:
     """The best candidate of every node."""
-    return candidates.groupBy("node").agg(F.min(_BEST).alias("best")).select(
-        "node", *[F.col(f"best.{c}") for c in ("f", "split", "gain", "gl", "hl", "nl", "gr", "hr", "nr")]
-    )
+    best = candidates.groupBy("node").agg(F.expr(f"min({_BEST})").alias("best"))
+    return best.selectExpr("node", *[f"best.{c}" for c in ("f", "split", "gain", "gl", "hl", "nl", "gr", "hr", "nr")])
 
 
 def _as_splits(df: DataFrame) -> list[Split]:
@@ -137,38 +135,34 @@ def exact_candidates(hist: DataFrame, params: BoostParams) -> DataFrame:
     parts = cut(
         hist.repartitionByRange("node", "f", "v").withColumn("part", F.spark_partition_id()), "cells"
     )
-    inside = Window.partitionBy("part", "node", "f").orderBy("v")
-    over_parts = Window.partitionBy("node", "f").orderBy("part")
-    before = over_parts.rowsBetween(Window.unboundedPreceding, -1)
-    whole = over_parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    inside, over_parts = ("part", "node", "f"), ("node", "f")
+    before, whole = _over(over_parts, "part", "1 PRECEDING"), _over(over_parts, "part", "UNBOUNDED FOLLOWING")
     offsets = (
         parts.groupBy("part", "node", "f")
         .agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"), F.min("v").alias("lo"))
-        .withColumns(
-            {
-                **{f"{c}_off": F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("g", "h", "n")},
-                **{f"{c}_all": F.sum(c).over(whole) for c in ("g", "h", "n")},
-                "lo_next": F.lead("lo").over(over_parts),
-            }
+        .selectExpr(
+            *inside,
+            *[f"coalesce(sum({c}) {before}, 0) AS {c}_off" for c in ("g", "h", "n")],
+            *[f"sum({c}) {whole} AS {c}_all" for c in ("g", "h", "n")],
+            _next(over_parts, "part", "lo", "lo_next"),
         )
-        .drop("g", "h", "n", "lo")
     )
-    run = inside.rowsBetween(Window.unboundedPreceding, 0)
-    listed = (
-        parts.withColumns(
-            {**{f"{c}_run": F.sum(c).over(run) for c in ("g", "h", "n")}, "v_next": F.lead("v").over(inside)}
-        )
-        .join(offsets, ["part", "node", "f"])
-        .withColumns({f"{c}l": F.col(f"{c}_run") + F.col(f"{c}_off") for c in ("g", "h", "n")})
-        .withColumn("split", midpoint(F.col("v"), F.coalesce("v_next", "lo_next")))
-    )
-    # NaN is the greatest value: no midpoint leads to it.
-    listed = listed.filter(~F.isnan(F.coalesce("v_next", "lo_next")))
-    return _valid(_right_side(listed), params).select(
+    listed = parts.selectExpr("*", *_running(inside, "v", "_run"), _next(inside, "v", "v", "v_next"))
+    listed = _with_offsets(listed.join(offsets, list(inside))).withColumn("v_next", F.coalesce("v_next", "lo_next"))
+    return _valid(_right_side(_with_midpoint(listed)), params).select(
         "node", "f", "split", "gain", "gl", "hl", "nl", "gr", "hr", "nr"
     )
 
 
+def _with_offsets(df: DataFrame) -> DataFrame:
+    return df.selectExpr("*", *[f"{c}_run + {c}_off AS {c}l" for c in ("g", "h", "n")])
+
+
+def _with_midpoint(df: DataFrame) -> DataFrame:
+    """Split between a value and the next one; NaN is the greatest value and no midpoint leads to it."""
+    return df.filter("v_next IS NOT NULL AND NOT isnan(v_next)").withColumn("split", midpoint("v", "v_next"))
+
+
 # --- search over buckets with fixed or per-node edges --------------------------------
 
 
@@ -273,10 +267,9 @@ def _blocks(long_rows: DataFrame, *outer: str) -> DataFrame:
 
 def _with_edges(blocks: DataFrame, params: BoostParams) -> DataFrame:
     """Add the candidate between a block's greatest value and the next one's smallest."""
-    gain = F.nanvl(_gain(params), F.lit(None))
-    ok = F.col("lo_next").isNotNull() & ~F.isnan("lo_next") & _allowed(params)
-    edged = blocks.withColumns({"gain": F.when(ok, gain), "split": midpoint(F.col("hi"), F.col("lo_next"))})
-    return edged.withColumn("edge", F.when(F.col("gain").isNotNull(), _BEST)).drop("gain", "split")
+    gain = F.when(F.expr(f"lo_next IS NOT NULL AND NOT isnan(lo_next) AND {_allowed(params)}"), _gain(params))
+    edged = blocks.withColumns({"gain": F.nanvl(gain, F.lit(None)), "split": midpoint("hi", "lo_next")})
+    return edged.withColumn("edge", F.expr(f"CASE WHEN gain IS NOT NULL THEN {_BEST} END")).drop("gain", "split")
 
 
 def _merge(best: dict[int, Split], found: Sequence[Split]) -> None:
@@ -289,10 +282,9 @@ def _merge(best: dict[int, Split], found: Sequence[Split]) -> None:
 
 def direct_candidates(rows: DataFrame, features: Sequence[int], params: BoostParams) -> DataFrame:
     """All exact candidates by one window per node and feature, for few rows only."""
-    cells = _prefix(node_hist(rows, features), ("node", "f"), "v")
-    ahead = F.lead("v").over(Window.partitionBy("node", "f").orderBy("v"))
-    listed = cells.withColumn("v_next", ahead).filter("v_next IS NOT NULL AND NOT isnan(v_next)")
-    return _valid(_right_side(listed).withColumn("split", midpoint(F.col("v"), F.col("v_next"))), params)
+    group = ("node", "f")
+    cells = _prefix(node_hist(rows, features), group, "v", _next(group, "v", "v", "v_next"))
+    return _valid(_right_side(_with_midpoint(cells)), params)
 
 
 def exact_best(
@@ -328,8 +320,7 @@ def exact_best(
     blocks = _right_side(_prefix(_blocks(long_rows), group, "b"))
     try:
         while True:
-            ahead = Window.partitionBy(*group).orderBy("b")
-            blocks = blocks.withColumn("lo_next", F.lead("lo").over(ahead))
+            blocks = blocks.selectExpr("*", _next(group, "b", "lo", "lo_next"))
             blocks = _judge(_with_edges(blocks, params), best, params).persist()
             held.append(blocks)
             found = blocks.groupBy("node").agg(
@@ -364,10 +355,6 @@ def exact_best(
             df.unpersist()
 
 
-def _with_offsets(df: DataFrame) -> DataFrame:
-    return df.withColumns({f"{c}l": F.col(f"{c}_run") + F.col(f"{c}_off") for c in ("g", "h", "n")})
-
-
 def _subdivide(undecided: DataFrame, base: DataFrame, hinted: bool) -> tuple[DataFrame, DataFrame]:
     """Cut each undecided block at its own quantiles; new rows and new blocks.
 
@@ -386,21 +373,15 @@ def _subdivide(undecided: DataFrame, base: DataFrame, hinted: bool) -> tuple[Dat
         (F.col("b").cast("long") * width + bins.search(F.col("cuts"), F.col("v"), SUB_QUANTILES)).alias("b"),
     )
     group = ("node", "f", "outer")
-    run = Window.partitionBy(*group).orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    blocks = _blocks(finer, "outer").withColumns({f"{c}_run": F.sum(c).over(run) for c in ("g", "h", "n")})
+    blocks = _blocks(finer, "outer").selectExpr("*", *_running(group, "b", "_run"))
     outer = base.withColumn("outer", F.col("b").cast("long")).drop("b")
     outer = outer.hint("broadcast") if hinted else outer
     return finer.drop("outer"), _right_side(_with_offsets(blocks.join(outer, list(group))))
 
 
 def _inner_candidates(undecided: DataFrame, base: DataFrame, params: BoostParams) -> DataFrame:
+    inside = ("node", "f", "b")
     cells = value_cells(undecided, "b")
-    inside = Window.partitionBy("node", "f", "b").orderBy("v")
-    run = inside.rowsBetween(Window.unboundedPreceding, 0)
-    listed = cells.withColumns(
-        {**{f"{c}_run": F.sum(c).over(run) for c in ("g", "h", "n")}, "v_next": F.lead("v").over(inside)}
-    )
-    # The last value of a block has its candidate at the block edge.
-    listed = listed.filter(F.col("v_next").isNotNull() & ~F.isnan("v_next"))
-    listed = _with_offsets(listed.join(base, ["node", "f", "b"]))
-    return _valid(_right_side(listed).withColumn("split", midpoint(F.col("v"), F.col("v_next"))), params)
+    listed = cells.selectExpr("*", *_running(inside, "v", "_run"), _next(inside, "v", "v", "v_next"))
+    # The last value of a block has no next one here: its candidate is the block's edge.
+    return _valid(_right_side(_with_offsets(_with_midpoint(listed).join(base, list(inside)))), params)

@@ -11,12 +11,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..operators import bins
+from ..operators import bins, splits
 from ..operators.rank import row_sample
 from ..operators.route import Tree, bound, features_array, leaf_of, value_of
 from ..operators.tree import grow, sample_columns
 from ..params import BoostParams
-from ..session import cut, spread
+from ..session import cut_to, new_folder, remove_folder, spread
+
+SMALL_ROWS = 2_000_000
 
 NODE_SCHEMA = (
     "tree_id int, node_id bigint, depth int, n_rows bigint, var_idx int, split double, "
@@ -127,11 +129,43 @@ def feature_columns(df: DataFrame, array_column: str, size: int) -> tuple[DataFr
     return df.withColumns({n: F.get(array_column, F.lit(i)).cast("double") for i, n in enumerate(names)}), names
 
 
-def prepare(df: DataFrame, features: Sequence[str], label: str | Column, params: BoostParams):
-    """Training table ``x<i>, [b<i>,] label`` and the cuts of its buckets.
-
-    One pass checks for missing values and counts rows, one finds the cuts;
-    both end in a single small row.
+@dataclass
+class Training:
+    """Rows ``x<i>, [b<i>,] label`` ready for a fit, their cuts, and where they are kept."""
+
+    rows: DataFrame
+    cuts: list[list[float]] | None
+    count: int
+    folder: str | None = None
+    """Scratch folder of the rows; ``None`` while they are few and held in memory."""
+
+    @property
+    def small(self) -> bool:
+        return self.count <= SMALL_ROWS
+
+    def keep(self, rows: DataFrame) -> None:
+        """Take ``rows``, computed from the present ones, in their place."""
+        spark = rows.sparkSession
+        before, folder = self.rows, self.folder
+        path = new_folder(spark, "training")
+        written = cut_to(rows, path)
+        self.rows, self.folder = (spread(written) if self.small else written), path
+        before.unpersist()
+        if folder:
+            remove_folder(spark, folder)
+
+    def release(self) -> None:
+        self.rows.unpersist()
+        if self.folder:
+            remove_folder(self.rows.sparkSession, self.folder)
+
+
+def prepare(df: DataFrame, features: Sequence[str], label: str | Column, params: BoostParams) -> Training:
+    """Check the rows, find the cuts of the buckets, and keep what a fit reads over and over.
+
+    One pass counts rows and missing values, one finds the cuts; both end in a
+    single small row. Large tables are written to the scratch folder with only
+    the columns a fit needs, small ones stay in memory.
     """
     label = F.col(label) if isinstance(label, str) else label
     base = df.select(
@@ -140,22 +174,23 @@ def prepare(df: DataFrame, features: Sequence[str], label: str | Column, params:
     )
     names = [f"x{i}" for i in range(len(features))]
     buckets = [f"b{i}" for i in range(len(features))]
-    if params.method == "exact":
+    missing = F.greatest(*[F.col(c).isNull().cast("int") for c in ("label", *names)], F.lit(0))
+    checked = base.agg(F.count("*").alias("n"), F.sum(missing).alias("bad")).first()
+    if not checked["n"]:
+        raise ValueError("no rows to fit on")
+    if checked["bad"]:
+        raise ValueError(f"{checked['bad']} rows have a missing label or feature; impute or drop them first")
+    cuts = None
+    if params.method == "exact" and checked["n"] > splits.DIRECT_ROWS:
         cuts = bins.quantile_cuts(base, names, bins.quantile_points(bins.BLOCK_QUANTILES))
         base = bins.with_blocks(base, names, buckets, cuts)
     elif params.method == "quantile":
         cuts = bins.quantile_cuts(base, names, bins.eps_points(params.eps))
         base = bins.with_right_closed_bins(base, names, buckets, cuts)
-    else:
-        cuts = None
-    missing = F.greatest(*[F.col(c).isNull().cast("int") for c in ("label", *names)], F.lit(0))
-    check = Observation("training rows")
-    table = cut(spread(base).observe(check, F.count("*").alias("n"), F.sum(missing).alias("bad")), "training")
-    if not check.get["n"]:
-        raise ValueError("no rows to fit on")
-    if check.get["bad"]:
-        raise ValueError(f"{check.get['bad']} rows have a missing label or feature; impute or drop them first")
-    return table, cuts, check.get["n"]
+    if checked["n"] <= SMALL_ROWS:
+        return Training(spread(base), cuts, checked["n"])
+    path = new_folder(df.sparkSession, "training")
+    return Training(cut_to(base, path), cuts, checked["n"], path)
 
 
 def _with_gradients(rows: DataFrame) -> DataFrame:
@@ -185,34 +220,39 @@ def fit(
     model = BoostedModel(params, tuple(features))
     if params.trees == 0:
         return model
-    table, cuts, count = prepare(df, features, label, params)
+    data = prepare(df, features, label, params)
+    try:
+        _boost(model, data, len(features), params)
+    finally:
+        data.release()
+    return model
+
+
+def _boost(model: BoostedModel, data: Training, total: int, params: BoostParams) -> None:
     start = params.train_margin
     if start is None:
-        one = F.sum(F.when(F.col("label") == 1, 1).otherwise(0))
-        start = table.agg(scalars.log_odds(one, F.count("*") - one)).first()[0]
+        one = F.count_if(F.col("label") == 1)
+        start = data.rows.agg(scalars.log_odds(one, F.count("*") - one)).first()[0]
         if start is None:
             raise ValueError("the log-odds of one class alone are undefined")
-    rows = table.withColumn("margin", F.lit(float(start)))
+    rows = data.rows.withColumn("margin", F.lit(float(start)))
     pending: list[Tree] = []
     for tree_id in range(params.trees):
         began = time.monotonic()
-        chosen = sample_columns(len(features), params.subsample_cols, params.seed, tree_id)
-        scored = _with_gradients(_advance(rows, pending, len(features), params))
-        tree = grow(scored, len(features), chosen, params, cuts, count)
+        chosen = sample_columns(total, params.subsample_cols, params.seed, tree_id)
+        scored = _with_gradients(_advance(rows, pending, total, params))
+        tree = grow(scored, total, chosen, params, data.cuts, data.count)
         model.trees.append(tree)
         model.elapsed_ms.append((time.monotonic() - began) * 1000.0)
         pending.append(tree)
-        last = tree_id == params.trees - 1
-        if last:
-            model.losses += list(_losses(rows, pending, len(features)).first())
+        if tree_id == params.trees - 1:
+            model.losses += list(_losses(rows, pending, total).first())
         elif len(pending) == params.trees_per_write:
             loss = Observation("loss")
-            moved = _advance(rows, pending, len(features), params, leaves=True)
-            moved = moved.observe(loss, *_loss_columns(len(pending)))
-            rows = cut(moved.drop("leaves"), "margins")
+            moved = _advance(rows, pending, total, params, leaves=True)
+            data.keep(moved.observe(loss, *_loss_columns(len(pending))).drop("leaves"))
             model.losses += [loss.get[f"loss{i}"] for i in range(len(pending))]
-            pending = []
-    return model
+            rows, pending = data.rows, []
 
 
 def _advance(rows: DataFrame, trees: Sequence[Tree], total: int, params: BoostParams, leaves: bool = False) -> DataFrame:

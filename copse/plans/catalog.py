@@ -82,9 +82,8 @@ def node_hist(spark, folder):
 def split_candidates(spark, folder):
     hist = splits.node_hist(node_rows(spark, folder), range(len(LI)))
     listed = splits.exact_candidates(hist, PLAIN)
-    # Sums over many rows keep fewer digits, clear of float noise.
-    sums = {c: r6(c, digits=4) for c in ("gl", "hl", "gr", "hr")}
-    return listed.select("node", "f", r6("split"), r6("gain"), "nl", "nr", *sums.values())
+    # Gains are small differences of large sums: fewer digits, clear of float noise.
+    return listed.select("node", "f", r6("split"), r6("gain", digits=4), "nl", "nr")
 
 
 def split_root(spark, folder):

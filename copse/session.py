@@ -56,17 +56,32 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     Unlike a cached block the written table outlives any executor, and being
     Parquet it still allows column pruning.
     """
-    path = new_folder(df.sparkSession, name)
+    return cut_to(df, new_folder(df.sparkSession, name))
+
+
+def cut_to(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a table this package has written to the scratch folder."""
+    if not path.startswith(f"{scratch_root(spark).rstrip('/')}/copse/"):
+        raise ValueError(f"{path} is not a scratch table")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when the known row count allows it, else leave the join to Spark."""
     return df.hint("broadcast") if rows <= limit else df
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores where the input has fewer splits than that; large inputs pass unchanged."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A small table over all cores and in memory.
+
+    Small files have fewer splits than there are cores. For tables of a known,
+    small size only: the caller checks the row count, and lost blocks are
+    computed again from the source.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism).persist()

@@ -104,9 +104,10 @@ def _send(pivots: dict, reach: dict):
 
 def _nearest(k: int):
     def run(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple] = []
+        names = ["cls", "vid", "nvid", "dist", "nids"]
         if queries.empty or candidates.empty:
-            return pd.DataFrame({"cls": [], "vid": [], "nvid": [], "dist": [], "nids": []})
-        found = []
+            return pd.DataFrame(found, columns=names, dtype=object)
         others = np.stack(candidates["vec"].to_numpy())
         vids = candidates["vid"].to_numpy()
         ids = candidates["ids"].to_numpy()
@@ -120,7 +121,7 @@ def _nearest(k: int):
                 at_most = np.nonzero(d[row] <= limit[row])[0]
                 best = at_most[np.lexsort((vids[at_most], d[row][at_most]))][:keep]
                 found += [(cls, vid, vids[b], d[row][b], ids[b]) for b in best]
-        return pd.DataFrame(found, columns=["cls", "vid", "nvid", "dist", "nids"])
+        return pd.DataFrame(found, columns=names)
 
     return run
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, cut
+from ..session import BROADCAST_ROWS, cut, skew_join
 
 # Half-way count and slope of the shrinkage.
 MIN_SAMPLES = 20.0
@@ -59,8 +59,10 @@ class TargetEncoder:
             numbers = self.table.filter(F.col("column") == c).select(
                 F.col("category").alias("_category"), F.col("encoded").alias("_encoded")
             )
-            joined = df.withColumn("_key", F.col(c).cast("string")).join(
-                broadcast_if_small(numbers, self.rows), F.col("_key") == F.col("_category"), "left"
-            )
+            keyed = df.withColumn("_category", F.col(c).cast("string"))
+            if self.rows <= BROADCAST_ROWS:
+                joined = keyed.join(numbers.hint("broadcast"), "_category", "left")
+            else:
+                joined = skew_join(keyed, numbers, ["_category"], names[0], how="left")
             df = joined.withColumn(c, F.coalesce("_encoded", F.lit(self.prior))).select(*names)
         return df

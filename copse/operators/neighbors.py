@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, skew_join
 
 CHUNK = 2048
 MAX_PIVOTS = 256  # per class; with the width of a vector this bounds what tasks are sent
@@ -187,8 +187,7 @@ def knn(
     merged = merged.withColumn("r", F.row_number().over(best.orderBy("dist", "nid"))).filter(F.col("r") <= k + 1)
     lists = merged.groupBy("cls", "vid").agg(F.sort_array(F.collect_list(F.struct("dist", "nid"))).alias("near"))
     by_vector = lists.join(points.select("cls", "vid", "vec"), ["cls", "vid"]).select("cls", "vec", "near")
-    # Rows of a much-copied vector make this join lopsided; adaptive execution splits it.
-    near = rows.join(by_vector, ["cls", "vec"])
+    near = skew_join(rows, by_vector, ["cls", "vec"], "id")
     own = F.filter("near", lambda n: n["nid"] != F.col("id"))
     return near.select("id", "cls", F.posexplode(F.slice(own, 1, k)).alias("at", "n")).select(
         F.col("id").alias("row_id"),

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut, skew_join
 from .neighbors import knn
 from .rank import draw_key, ranked, train_test_split
 
@@ -58,14 +59,13 @@ def synthetic_rows(
         )
         first, made = first + n, made + new
     drawn = reduce(DataFrame.unionByName, draws)
-    near = knn(members, "id", "cls", "x", k).select(
+    near = cut(knn(members, "id", "cls", "x", k), "neighbors").select(
         F.col("row_id").alias("id"), F.col("rank").alias("nn_rank"), "nn_id"
     )
-    paired = (
-        drawn.join(placed.select("rank", "id", "x"), "rank")
-        .join(near, ["id", "nn_rank"])
-        .join(members.select(F.col("id").alias("nn_id"), F.col("x").alias("nn_x")), "nn_id")
-    )
+    started = drawn.join(placed.select("rank", "id", "x"), "rank").join(near, ["id", "nn_rank"])
+    # Many rows may share a neighbour, copies above all; draws repeat their shares.
+    ends = members.select(F.col("id").alias("nn_id"), F.col("x").alias("nn_x"))
+    paired = skew_join(started, ends, ["nn_id"], row_id, counted=near)
     mixed = paired.withColumn("z", F.zip_with("x", "nn_x", lambda a, b: a + F.col("u") * (b - a)))
     return mixed.select(
         row_id, F.col("cls").alias(label), *[F.get("z", F.lit(i)).alias(c) for i, c in enumerate(features)]

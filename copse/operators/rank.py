@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,10 +19,17 @@ def draw_key(row_id: str, seed: int) -> Column:
 
 
 def smallest(
-    df: DataFrame, row_id: str, count: int, seed: int, boundary_rows: int = BOUNDARY_ROWS
+    df: DataFrame,
+    row_id: str,
+    count: int | Callable[[int], int],
+    seed: int,
+    boundary_rows: int = BOUNDARY_ROWS,
 ) -> Column:
     """Condition that holds for exactly the ``count`` rows first in draw order.
 
+    ``count`` may be a function of the number of rows, which is known anyway
+    after the first pass.
+
     The draw key of the last of them is found by counting keys per prefix and
     then looking only at rows with the prefix where the count is reached, so no
     more than ``boundary_rows`` keys are ever sorted together. The condition
@@ -30,22 +37,23 @@ def smallest(
     ``row_id`` must be unique; equal ids would share a key.
     """
     keys = df.select(draw_key(row_id, seed).alias("k"), F.col(row_id).cast("string").alias("id"))
-    if count <= 0:
-        return F.lit(False)
     prefix, rest = "", count
     while len(prefix) < 32:
         at = len(prefix)
         inside = keys.filter(F.col("k").startswith(prefix)) if prefix else keys
         # At most 16**4 prefixes per round.
         counts = inside.groupBy(F.substring("k", at + 1, 4).alias("p")).count().collect()
+        if not prefix:
+            total = sum(r["count"] for r in counts)
+            rest = count(total) if callable(count) else count
+            if not 0 < rest < total:
+                return F.lit(rest > 0)
         size = 0
         for p, n in sorted((r["p"], r["count"]) for r in counts):
             if rest <= n:
                 prefix, size = prefix + p, n
                 break
             rest -= n
-        else:
-            return F.lit(True)
         if size <= boundary_rows:
             break
     order = Window.orderBy("k", "id")
@@ -63,8 +71,7 @@ def train_test_split(
     df: DataFrame, row_id: str, test_size: float = 0.2, seed: int = 0, part: str = "part"
 ) -> DataFrame:
     """Mark every row 'train' or 'test'; exactly ``floor(n * test_size)`` rows are test."""
-    n = df.count()
-    train = smallest(df, row_id, n - int(n * test_size), seed)
+    train = smallest(df, row_id, lambda n: n - int(n * test_size), seed)
     return df.withColumn(part, F.when(train, "train").otherwise("test"))
 
 
@@ -72,7 +79,7 @@ def row_sample(df: DataFrame, row_id: str, ratio: float, seed: int = 0) -> DataF
     """Exactly ``round(n * ratio)`` rows, drawn without replacement."""
     if ratio >= 1.0:
         return df
-    return df.filter(smallest(df, row_id, round_half_up(df.count() * ratio), seed))
+    return df.filter(smallest(df, row_id, lambda n: round_half_up(n * ratio), seed))
 
 
 def ranked(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:

@@ -21,8 +21,9 @@ from ..session import BROADCAST_ROWS, broadcast_if_small, cut
 from . import bins
 from .route import literal_array
 
-GAIN_DIGITS = 9
-DIRECT_ROWS = 200_000
+GAIN_STEPS = 1e9
+"""Gains are compared in steps of one over this: nine decimal places."""
+DIRECT_ROWS = 1_000_000
 FINE_BLOCK_ROWS = 2_000_000
 SUB_QUANTILES = 255
 
@@ -108,7 +109,7 @@ def _prefix(cells: DataFrame, group: Sequence[str], order: str, *more: str) -> D
 
 # Order of preference: highest gain after rounding off float noise, then the
 # smaller feature, then the smaller split value.
-_BEST = f"struct(-round(gain, {GAIN_DIGITS}) AS key, f, split, gain, gl, hl, nl, gr, hr, nr)"
+_BEST = f"struct(-rint(gain * {GAIN_STEPS!r}D) AS key, f, split, gain, gl, hl, nl, gr, hr, nr)"
 
 
 def best_of(candidates: DataFrame) -> DataFrame:
@@ -234,14 +235,14 @@ def _judge(blocks: DataFrame, best: dict[int, Split], params: BoostParams) -> Da
     and a corner without a defined gain counts as unbounded.
     """
     lam, gamma = params.reg_lambda, params.gamma
-    known = F.lit(None).cast("double")
     if best:
         first, last = min(best), max(best)
         gains = [best[i].gain if i in best else None for i in range(first, last + 1)]
         known = F.nanvl(F.get(literal_array(gains, "double"), F.col("node") - first), F.lit(None))
-    # Blocks of one node: features * (2 * quantiles + 1) rows.
-    seen = F.max("edge.gain").over(Window.partitionBy("node"))
-    blocks = blocks.withColumn("best_gain", F.greatest(seen, known))
+    else:
+        # First round, nothing known yet: a node has features * (2 * quantiles + 1) blocks at most.
+        known = F.max("edge.gain").over(Window.partitionBy("node"))
+    blocks = blocks.withColumn("best_gain", known)
     corners = [
         split_gain(f"gl - ({dg})", f"hl - {dh}", f"g_all - gl + ({dg})", f"h_all - hl + {dh}", lam, gamma)
         for dg in ("gp", "g - gp")  # from the right end: all but the negative, or all but the positive part
@@ -273,10 +274,11 @@ def _with_edges(blocks: DataFrame, params: BoostParams) -> DataFrame:
 
 
 def _merge(best: dict[int, Split], found: Sequence[Split]) -> None:
+    def key(s: Split) -> tuple:
+        return -round(s.gain * GAIN_STEPS), s.f, s.split
+
     for s in found:
-        old = best.get(s.node)
-        key = (-round(s.gain, GAIN_DIGITS), s.f, s.split)
-        if old is None or key < (-round(old.gain, GAIN_DIGITS), old.f, old.split):
+        if s.node not in best or key(s) < key(best[s.node]):
             best[s.node] = s
 
 
@@ -321,8 +323,16 @@ def exact_best(
     try:
         while True:
             blocks = blocks.selectExpr("*", _next(group, "b", "lo", "lo_next"))
-            blocks = _judge(_with_edges(blocks, params), best, params).persist()
-            held.append(blocks)
+            blocks = _with_edges(blocks, params)
+            if held:
+                blocks = blocks.persist()
+                held.append(blocks)
+                edges = blocks.groupBy("node").agg(F.min("edge").alias("best")).collect()
+                _merge(best, [Split(r["node"], *r["best"][1:]) for r in edges if r["best"] is not None])
+            blocks = _judge(blocks, best, params)
+            if not held:
+                blocks = blocks.persist()
+                held.append(blocks)
             found = blocks.groupBy("node").agg(
                 F.min("edge").alias("best"),
                 F.count_if("alive").alias("blocks"),
@@ -380,8 +390,10 @@ def _subdivide(undecided: DataFrame, base: DataFrame, hinted: bool) -> tuple[Dat
 
 
 def _inner_candidates(undecided: DataFrame, base: DataFrame, params: BoostParams) -> DataFrame:
+    # Values that many rows share have blocks of their own and are not among
+    # these, so rows are moved once, by block, and summed and sorted in place.
     inside = ("node", "f", "b")
-    cells = value_cells(undecided, "b")
+    cells = value_cells(undecided.repartition(*inside), "b")
     listed = cells.selectExpr("*", *_running(inside, "v", "_run"), _next(inside, "v", "v", "v_next"))
     # The last value of a block has no next one here: its candidate is the block's edge.
     return _valid(_right_side(_with_offsets(_with_midpoint(listed).join(base, list(inside)))), params)

@@ -6,10 +6,14 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 """Tables of at most this many (narrow) rows may be broadcast; larger ones are shuffled."""
 
+HOT_ROWS = 1_000_000
+"""A join key with more rows than this is spread over several tasks."""
+
 
 def build_session(app: str = "copse", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on and UTC timestamps."""
@@ -77,6 +81,38 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) ->
     return df.hint("broadcast") if rows <= limit else df
 
 
+def skew_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    spread_by: str,
+    counted: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    how: str = "inner",
+) -> DataFrame:
+    """Inner or left join of many rows to a table with unique keys, with hot keys salted.
+
+    Keys with more than ``hot_rows`` rows on the left are found by a map-side
+    merged count (over ``counted``, where that holds the same keys at less
+    cost). Their left rows are dealt out over several tasks by a hash of
+    ``spread_by``, and their right row is copied to each of these. There are at
+    most ``rows / hot_rows`` such keys; all others are joined as usual.
+    """
+    counts = (left if counted is None else counted).groupBy(*keys).agg(F.count("*").alias("_n"))
+    hot = cut(counts.filter(F.col("_n") > hot_rows).withColumn("_parts", F.ceil(F.col("_n") / hot_rows)), "hot")
+    many = hot.count()
+    if not many:
+        return left.join(right, keys, how)
+    hot = broadcast_if_small(hot.drop("_n"), many)
+    # A NULL key finds no partner; such rows only need to be spread out.
+    parts = F.coalesce(F.col("_parts"), F.when(F.greatest(*[F.col(k).isNull().cast("int") for k in (keys * 2)]) == 1, 1024))
+    salt = F.coalesce(F.pmod(F.xxhash64(spread_by), parts), F.lit(0).cast("long"))
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
+    dealt = left.join(hot, keys, "left").withColumn("_salt", salt).drop("_parts")
+    copied = right.join(hot, keys, "left").withColumn("_salt", copies).drop("_parts")
+    return dealt.join(copied, [*keys, "_salt"], how).drop("_salt")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A small table over all cores and in memory.
 

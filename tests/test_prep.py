@@ -12,6 +12,7 @@ from copse.operators.metrics import confusion, metrics
 from copse.operators.neighbors import knn
 from copse.operators.oversample import oversample, split_and_oversample
 from copse.functions import scalars
+from copse.session import skew_join
 
 
 def test_smallest_is_exact_over_several_rounds(spark):
@@ -163,3 +164,26 @@ def test_split_and_oversample_keeps_test_rows(spark):
     assert len(test) == 40 and not test["synthetic"].any()
     train = out[out["part"] == "train"]
     assert train["y"].value_counts().nunique() == 1
+
+
+def test_skew_join_equals_plain_join(spark):
+    left = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20).alias("k"))
+    right = spark.range(15).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    want = sorted(map(tuple, left.join(right, ["k"]).collect()))
+    for hot in (10**6, 100, 7):
+        assert sorted(map(tuple, skew_join(left, right, ["k"], "id", hot_rows=hot).collect())) == want
+    holes = left.withColumn("k", F.nullif("k", F.lit(0)))
+    want = sorted(map(repr, holes.join(right, ["k"], "left").collect()))
+    assert sorted(map(repr, skew_join(holes, right, ["k"], "id", hot_rows=20, how="left").collect())) == want
+
+
+def test_encoder_without_broadcast(spark, monkeypatch):
+    from copse.operators import encode
+
+    rows = [(i, f"c{i % 5}" if i % 7 else None, i % 2) for i in range(100)]
+    df = spark.createDataFrame(rows, "i long, c string, y int")
+    encoder = TargetEncoder.fit(df.filter("i < 60 AND i % 5 < 4"), ["c"], "y")
+    want = sorted(map(tuple, encoder.transform(df).collect()))
+    monkeypatch.setattr(encode, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(encode.skew_join, "__defaults__", (None, 9, "inner"))
+    assert sorted(map(tuple, encoder.transform(df).collect())) == want

@@ -22,15 +22,20 @@ def eps_points(eps: float) -> list[float]:
     return [round(eps * (i + 1), 12) for i in range(steps)]
 
 
-def quantile_cuts(df: DataFrame, columns: Sequence[str], points: Sequence[float]) -> list[list[float]]:
+def quantile_cuts(
+    df: DataFrame, columns: Sequence[str], points: Sequence[float], accuracy: int | None = None
+) -> list[list[float]]:
     """Distinct finite approximate quantiles of every column, from one pass.
 
+    Ranks are off by ``rows / accuracy`` at most, so they are exact while there
+    are fewer rows than that.
+
     The sketch is merged map-side; what reaches the driver is one row of
     ``columns * points`` doubles, whatever the row count.
     """
     if not points or not columns:
         return [[] for _ in columns]
-    accuracy = max(10_000, 20 * len(points))
+    accuracy = accuracy or max(10_000, 20 * len(points))
     row = df.agg(
         *[
             F.percentile_approx(F.nanvl(c, F.lit(None)), list(points), accuracy).alias(f"q{i}")

@@ -10,15 +10,20 @@ chunks on both sides, and only the best k of each chunk leave a task.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut, skew_join
 
+# Send the functions of this module to tasks by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CHUNK = 2048
 MAX_PIVOTS = 256  # per class; with the width of a vector this bounds what tasks are sent
 

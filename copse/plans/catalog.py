@@ -119,7 +119,7 @@ def split_quantile(spark, folder):
     params = BoostParams(gamma=0.0, subsample_cols=1.0, method="quantile", eps=0.05)
     rows = node_rows(spark, folder, halves())
     names, out = [f"x{i}" for i in range(len(LI))], [f"b{i}" for i in range(len(LI))]
-    cuts = bins.quantile_cuts(rows, names, bins.eps_points(params.eps))
+    cuts = bins.quantile_cuts(rows, names, bins.eps_points(params.eps), accuracy=100_000)
     rows = bins.with_right_closed_bins(rows, names, out, cuts)
     return split_table(spark, best_splits(rows, range(len(LI)), params, cuts))
 

@@ -99,6 +99,21 @@ def histogram_sql(num_bins: int) -> str:
     SELECT {SPLIT_OUT} FROM b"""
 
 
+def quantile_sql() -> str:
+    points = "[" + ", ".join(f"{(i + 1) / 20}" for i in range(19)) + "]"
+    return f"""
+    WITH r AS ({rows_at(HALF)}), lr AS ({long_rows('r', range(4))}),
+    cuts AS (SELECT DISTINCT f, unnest(q) AS split FROM (SELECT f, quantile_disc(v, {points}) AS q FROM lr GROUP BY f)),
+    hist AS (SELECT node, f, v, sum(g) AS g, sum(h) AS h, count(*) AS n FROM lr GROUP BY node, f, v),
+    whole AS (SELECT node, f, sum(g) AS ga, sum(h) AS ha, sum(n) AS na FROM hist GROUP BY node, f),
+    lefts AS (SELECT node, f, split, sum(g) AS gl, sum(h) AS hl, sum(n) AS nl
+      FROM hist JOIN cuts USING (f) WHERE v <= split GROUP BY node, f, split),
+    side AS (SELECT node, f, split, gl, hl, nl, ga - gl AS gr, ha - hl AS hr, na - nl AS nr
+      FROM lefts JOIN whole USING (node, f) WHERE na > nl),
+    b_cand AS (SELECT *, {gain(1.0, 0.0)} AS gain FROM side), {best_cte('b')}
+    SELECT {SPLIT_OUT} FROM b"""
+
+
 def fit_ctes(base: str, k: int, trees: int, depth: int, lr=0.1, lam=1.0, gamma=0.0, min_gain=None, p="") -> str:
     """Boosting unrolled: ``<p>m<T>`` holds the margins after all trees and ``out<t>`` the tree outputs.
 
@@ -142,9 +157,9 @@ def losses_sql(trees: int, p: str = "") -> str:
 
 def tree_nodes_sql() -> str:
     inner = " UNION ALL ".join(
-        f"SELECT s.node AS node_id, {d} AS depth, (s.nl + s.nr)::BIGINT AS n_rows, s.f AS var_idx, "
+        f"SELECT s.node::BIGINT AS node_id, {d} AS depth, (s.nl + s.nr)::BIGINT AS n_rows, s.f AS var_idx, "
         f"{r6('s.split', 'split')}, {r6('s.gain', 'gain')}, NULL::DOUBLE AS val, "
-        f"2 * s.node AS left, 2 * s.node + 1 AS right, false AS is_leaf FROM b0_{d} s"
+        f"(2 * s.node)::BIGINT AS left, (2 * s.node + 1)::BIGINT AS right, false AS is_leaf FROM b0_{d} s"
         for d in (0, 1)
     )
     leaf = (
@@ -257,6 +272,7 @@ SQL: dict[str, str] = {
     "split_min_gain": split_sql(HALF, having="gain > 0"),
     "split_constrained": split_sql(HALF, rule="nl >= 1500 AND nr >= 1500 AND hl > 400 AND hr > 400"),
     "split_histogram": histogram_sql(10),
+    "split_quantile": quantile_sql(),
     "split_col_sample": f"""
         WITH r AS ({rows_at('0')}), {candidate_ctes('b_all', 'r', range(4))},
         b_cand AS (SELECT * FROM b_all_cand WHERE f IN

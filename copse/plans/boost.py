@@ -149,7 +149,7 @@ class Training:
         before, folder = self.rows, self.folder
         path = new_folder(spark, "training")
         written = cut_to(rows, path)
-        self.rows, self.folder = (spread(written) if self.small else written), path
+        self.rows, self.folder = (spread(written, self.count) if self.small else written), path
         before.unpersist()
         if folder:
             remove_folder(spark, folder)
@@ -188,7 +188,7 @@ def prepare(df: DataFrame, features: Sequence[str], label: str | Column, params:
         cuts = bins.quantile_cuts(base, names, bins.eps_points(params.eps))
         base = bins.with_right_closed_bins(base, names, buckets, cuts)
     if checked["n"] <= SMALL_ROWS:
-        return Training(spread(base), cuts, checked["n"])
+        return Training(spread(base, checked["n"]), cuts, checked["n"])
     path = new_folder(df.sparkSession, "training")
     return Training(cut_to(base, path), cuts, checked["n"], path)
 

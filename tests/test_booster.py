@@ -118,7 +118,9 @@ def test_quantile_splits_are_consistent_with_routing(sample):
     assert leaves == {n: r[3] for n, r in nodes_of(model, 1).items() if r[10]}
 
 
-def test_nan_goes_right_and_is_never_split_off(spark):
+@pytest.mark.parametrize("direct", [splits.DIRECT_ROWS, 0])
+def test_nan_goes_right_and_is_never_split_off(spark, monkeypatch, direct):
+    monkeypatch.setattr(splits, "DIRECT_ROWS", direct)
     nan = float("nan")
     rows = [(1.0, 0), (2.0, 0), (3.0, 1), (nan, 1), (nan, 1), (4.0, 1)]
     df = spark.createDataFrame(rows, "x double, label int")

@@ -9,7 +9,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_QUANTILES = 128
+BLOCK_QUANTILES = 256
 
 
 def quantile_points(count: int) -> list[float]:

@@ -352,6 +352,8 @@ def exact_best(
             )
             hinted = count <= broadcast_rows
             base = base.hint("broadcast") if hinted else base
+            if len(held) == 1:
+                long_rows = by_feature(rows, open_features)  # closed features are not even read
             undecided = long_rows.filter(F.col("f").isin(open_features)).join(
                 base.select("node", "f", "b"), ["node", "f", "b"], "left_semi"
             )

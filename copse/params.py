@@ -29,7 +29,7 @@ class BoostParams:
     """Fewest rows on either side of a split; ``None`` switches the rule off."""
     min_child_weight: float | None = None
     """Each side's hessian must exceed this; ``None`` switches the rule off."""
-    train_margin: float = 0.5
+    train_margin: float | None = 0.5
     """Margin every row starts from while fitting; ``None`` starts from the log-odds."""
     score_margin: float = 0.0
     seed: int = 0

@@ -286,11 +286,6 @@ def rmse(label: Column, output: Column) -> Column:
     return F.sqrt(F.avg((label - output) * (label - output)))
 
 
-def logloss(label: Column, probability: Column) -> Column:
-    p = F.least(F.greatest(probability, F.lit(1e-15)), F.lit(1.0 - 1e-15))
-    return F.avg(-F.when(label == 1, F.log(p)).otherwise(F.log(1.0 - p)))
-
-
 def _loss_columns(count: int) -> list[Column]:
     return [rmse(F.col("label"), F.get("leaves", F.lit(i))).alias(f"loss{i}") for i in range(count)]
 

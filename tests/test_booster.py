@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import brute
 from copse.operators import bins, splits
-from copse.operators.tree import best_splits, sample_columns
+from copse.operators.tree import sample_columns
 from copse.params import BoostParams
 from copse.plans import boost, views
 from copse.plans.boost import BoostedModel, fit

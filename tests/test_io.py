@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from copse.functions.scalars import MISSING_VALUE
 from copse.operators.metrics import confusion, metrics
+from copse.params import BoostParams
 from copse.plans import catalog, views
+from copse.plans.evaluate import train_and_evaluate
 from copse.session import cut_to, new_folder, remove_folder, scratch_root
 from copse.sources import sinks, tables
 from copse.streaming.score import score_stream
@@ -111,3 +113,21 @@ def test_stream_scores_files_as_they_come_and_after_a_restart(spark, folder, tmp
     assert got.count() == want.count()
     assert metrics(confusion(got)).collect() == metrics(confusion(want)).collect()
     assert got.agg(F.round(F.sum("probability"), 6)).first() == want.agg(F.round(F.sum("probability"), 6)).first()
+
+
+def test_whole_run_from_files(spark, tmp_path):
+    lines = [(i % 7, i % 11, int((i % 7) + (i % 3) > 5)) for i in range(300)]
+    data = write(tmp_path / "x.csv", "".join(f"{a},{b if i % 50 else 'NA'}\n" for i, (a, b, _) in enumerate(lines)))
+    labels = write(tmp_path / "y.csv", "".join(f"{y}\n" for *_, y in lines))
+    params = BoostParams(trees=2, depth=3, gamma=0.0, subsample_cols=1.0)
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        done = train_and_evaluate(
+            spark, data, labels, ["a", "b"], params, out, missing=True, compare=(params, params.with_choice(3))
+        )
+    row = done.measured.first()
+    assert row["n"] == 60 and done.model.trees[0].n[0] == 240
+    assert spark.read.parquet(f"{out}/runs").count() == 2
+    both = spark.read.csv(f"{out}/loss_by_strategy", header=True, inferSchema=True).collect()
+    assert [r["first"] for r in both] == pytest.approx(done.model.losses)
+    assert spark.read.csv(f"{out}/loss_per_tree").count() == 2

@@ -83,7 +83,7 @@ def split_candidates(spark, folder):
     hist = splits.node_hist(node_rows(spark, folder), range(len(LI)))
     listed = splits.exact_candidates(hist, PLAIN)
     # Gains are small differences of large sums: fewer digits, clear of float noise.
-    return listed.select("node", "f", r6("split"), r6("gain", digits=4), "nl", "nr")
+    return listed.select("node", "f", r6("split"), r6("gain", digits=3), "nl", "nr")
 
 
 def split_root(spark, folder):

@@ -265,7 +265,7 @@ SQL: dict[str, str] = {
         SELECT node, f, v, {r6('sum(g)', 'g')}, {r6('sum(h)', 'h')}, count(*) AS n FROM lr GROUP BY node, f, v""",
     "split_candidates": f"""
         WITH r AS ({rows_at('0')}), {candidate_ctes('c', 'r', range(4))}
-        SELECT node, f, {r6('split', 'split')}, {r6('gain', 'gain', 4)},
+        SELECT node, f, {r6('split', 'split')}, {r6('gain', 'gain', 3)},
           nl::BIGINT AS nl, nr::BIGINT AS nr FROM c_cand""",
     "split_root": split_sql("0"),
     "split_level": split_sql(HALF),

@@ -22,27 +22,31 @@ def eps_points(eps: float) -> list[float]:
     return [round(eps * (i + 1), 12) for i in range(steps)]
 
 
+def quantile_sketches(columns: Sequence[str], points: Sequence[float], accuracy: int | None = None) -> list[Column]:
+    """Aggregates with the approximate quantiles of every column, to be used in one pass.
+
+    A sketch is merged map-side and ends as ``points`` doubles, whatever the
+    row count. Ranks are off by ``rows / accuracy`` at most, so they are exact
+    while there are fewer rows than that.
+    """
+    accuracy = accuracy or max(10_000, 20 * len(points))
+    return [
+        F.percentile_approx(F.nanvl(c, F.lit(None)), list(points), accuracy).alias(f"q{i}")
+        for i, c in enumerate(columns)
+    ]
+
+
+def cuts_of(row, columns: Sequence[str]) -> list[list[float]]:
+    """Distinct finite cuts per column from a row of sketches."""
+    return [sorted({v for v in (row[f"q{i}"] or []) if math.isfinite(v)}) for i in range(len(columns))]
+
+
 def quantile_cuts(
     df: DataFrame, columns: Sequence[str], points: Sequence[float], accuracy: int | None = None
 ) -> list[list[float]]:
-    """Distinct finite approximate quantiles of every column, from one pass.
-
-    Ranks are off by ``rows / accuracy`` at most, so they are exact while there
-    are fewer rows than that.
-
-    The sketch is merged map-side; what reaches the driver is one row of
-    ``columns * points`` doubles, whatever the row count.
-    """
     if not points or not columns:
         return [[] for _ in columns]
-    accuracy = accuracy or max(10_000, 20 * len(points))
-    row = df.agg(
-        *[
-            F.percentile_approx(F.nanvl(c, F.lit(None)), list(points), accuracy).alias(f"q{i}")
-            for i, c in enumerate(columns)
-        ]
-    ).first()
-    return [sorted({v for v in (row[i] or []) if math.isfinite(v)}) for i in range(len(columns))]
+    return cuts_of(df.agg(*quantile_sketches(columns, points, accuracy)).first(), columns)
 
 
 def _bucketed(df: DataFrame, inputs: Sequence[str], outputs: Sequence[str], bounds) -> DataFrame:

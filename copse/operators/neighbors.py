@@ -58,7 +58,10 @@ def _assign(pivots: dict):
         for batch in batches:
             batch = batch.assign(cell=0, dist=0.0)
             for cls, part in batch.groupby("cls"):
-                d = _distances(np.stack(part["vec"].to_numpy()), pivots[cls])
+                vectors = np.stack(part["vec"].to_numpy()).astype(float)
+                if np.isnan(vectors).any():
+                    raise ValueError("a feature is missing; impute or drop such rows first")
+                d = _distances(vectors, pivots[cls])
                 nearest = d.argmin(axis=1)
                 batch.loc[part.index, "cell"] = nearest
                 batch.loc[part.index, "dist"] = d[np.arange(len(d)), nearest]

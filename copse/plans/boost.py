@@ -163,9 +163,9 @@ class Training:
 def prepare(df: DataFrame, features: Sequence[str], label: str | Column, params: BoostParams) -> Training:
     """Check the rows, find the cuts of the buckets, and keep what a fit reads over and over.
 
-    One pass counts rows and missing values, one finds the cuts; both end in a
-    single small row. Large tables are written to the scratch folder with only
-    the columns a fit needs, small ones stay in memory.
+    One pass counts rows and missing values and finds the cuts; it ends in a
+    single small row. A second one writes large tables to the scratch folder,
+    with only the columns a fit needs; small ones stay in memory.
     """
     label = F.col(label) if isinstance(label, str) else label
     base = df.select(
@@ -175,17 +175,23 @@ def prepare(df: DataFrame, features: Sequence[str], label: str | Column, params:
     names = [f"x{i}" for i in range(len(features))]
     buckets = [f"b{i}" for i in range(len(features))]
     missing = F.greatest(*[F.col(c).isNull().cast("int") for c in ("label", *names)], F.lit(0))
-    checked = base.agg(F.count("*").alias("n"), F.sum(missing).alias("bad")).first()
+    points: list[float] = []
+    if params.method == "exact":
+        points = bins.quantile_points(bins.BLOCK_QUANTILES)
+    elif params.method == "quantile":
+        points = bins.eps_points(params.eps)
+    sketches = bins.quantile_sketches(names, points) if points else []
+    checked = base.agg(F.count("*").alias("n"), F.sum(missing).alias("bad"), *sketches).first()
     if not checked["n"]:
         raise ValueError("no rows to fit on")
     if checked["bad"]:
         raise ValueError(f"{checked['bad']} rows have a missing label or feature; impute or drop them first")
     cuts = None
     if params.method == "exact" and checked["n"] > splits.DIRECT_ROWS:
-        cuts = bins.quantile_cuts(base, names, bins.quantile_points(bins.BLOCK_QUANTILES))
+        cuts = bins.cuts_of(checked, names)
         base = bins.with_blocks(base, names, buckets, cuts)
     elif params.method == "quantile":
-        cuts = bins.quantile_cuts(base, names, bins.eps_points(params.eps))
+        cuts = bins.cuts_of(checked, names) if points else [[] for _ in names]
         base = bins.with_right_closed_bins(base, names, buckets, cuts)
     if checked["n"] <= SMALL_ROWS:
         return Training(spread(base, checked["n"]), cuts, checked["n"])

@@ -187,3 +187,9 @@ def test_encoder_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(encode, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(encode.skew_join, "__defaults__", (None, 9, "inner"))
     assert sorted(map(tuple, encoder.transform(df).collect())) == want
+
+
+def test_knn_refuses_missing_features(spark):
+    df = spark.createDataFrame([(1, 0, 1.0), (2, 0, None), (3, 0, 2.0)], "i long, c int, x double")
+    with pytest.raises(Exception, match="feature is missing"):
+        knn(df, "i", "c", ["x"], 1).collect()

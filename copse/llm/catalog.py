@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from copse.llm import fingerprint, jaccard, langid, licenses, packing, pieces, quality, render, sharding, warc
+from copse.llm import fingerprint, jaccard, langid, licenses, packing, pieces, quality, render, sharding, twins, warc
 
 SHARDS = [f"shard-{i:04d}" for i in range(256)]
 
@@ -70,4 +70,4 @@ QUERIES = {
     )
 }
 
-SQL: dict[str, str] = {}
+SQL = twins.SQL

@@ -25,7 +25,7 @@ TOP = 1_000
 REACH = 6.0
 """A fence lies so many distances between quartiles beyond the quartile."""
 
-LEAST_SPREAD = {"symbols": 10, "dup_lines": 50, "repeats": 40, "word_length": 5}
+LEAST_SPREAD = {"symbols": 10, "dup_lines": 100, "repeats": 60, "word_length": 5}
 """Distances between quartiles count as at least this, so a uniform source does not reject its first other document."""
 
 _BLANK = r"[\x20\x09-\x0D]+"

@@ -10,6 +10,7 @@ from __future__ import annotations
 import html as entities
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -46,7 +47,7 @@ IMPLIED = {
     "body": ({"head"}, {"body"}),
 }
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
@@ -69,11 +70,14 @@ def _attrs(text: str) -> dict[str, str]:
 def tree(page: str) -> Element:
     """The element tree of a page; any text has one."""
     root = Element("html", {})
-    stack = [root]
+    stack, opened = [root], Counter()
 
     def close_through(names: set[str] | frozenset[str], stop: set[str] | frozenset[str]) -> None:
+        if not any(opened[n] for n in names):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].name in names:
+                opened.subtract(e.name for e in stack[i:])
                 del stack[i:]
                 return
             if stack[i].name in stop:
@@ -93,7 +97,7 @@ def tree(page: str) -> Element:
             continue
         name = m[3].lower()
         if m[2]:
-            if name == "p" and not any(e.name == "p" for e in stack):
+            if name == "p" and not opened["p"]:
                 stack[-1].children.append(Element("p", {}))
             elif name == "br":
                 stack[-1].children.append(Element("br", {}))
@@ -118,6 +122,7 @@ def tree(page: str) -> Element:
             at = len(page) if not end or close < 0 else close + 1
         elif name not in VOID:
             stack.append(element)
+            opened[name] += 1
     if at < len(page):
         stack[-1].children.append(entities.unescape(page[at:]))
     return root

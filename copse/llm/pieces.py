@@ -12,6 +12,7 @@ Characters without a piece become their bytes. The words of each block of docume
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -25,6 +26,9 @@ from pyspark.sql import functions as F
 BLOCK_DOCS = 20_000
 """Documents whose words are looked up together, about; their distinct words fit in a task's memory many times over."""
 
+LONG_WORD = 48
+"""Lattices of longer words are folded outside the higher-order functions, whose work grows with the cube of a word's length."""
+
 MAX_PIECES = 500_000
 """Larger vocabularies are refused; the table of pieces is broadcast."""
 
@@ -107,6 +111,71 @@ def viterbi(word: Column, edges: Column, unknown: float) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), start, step, lambda acc: F.get(acc, n)["cuts"])
 
 
+def _merged(n: int, edges: list[tuple[int, int, float]]) -> list[int]:
+    """What ``merges`` gives, in n log n steps: a heap of the edges over two neighbouring segments."""
+    score = {(a, b): s for a, b, s in edges if b - a > 1}
+    after, before = list(range(1, n + 2)), list(range(-1, n + 1))  # neighbouring ends of segments
+    heap = [(-s, a, b) for (a, b), s in score.items() if b - a == 2]
+    heapq.heapify(heap)
+    gone = [False] * (n + 1)
+
+    def push(a: int) -> None:
+        if 0 <= a < n and after[a] < n and (s := score.get((a, after[after[a]]))) is not None:
+            heapq.heappush(heap, (-s, a, after[after[a]]))
+
+    while heap:
+        _, a, b = heapq.heappop(heap)
+        if gone[a] or after[a] >= n or after[after[a]] != b:
+            continue
+        gone[after[a]] = True
+        after[a], before[b] = b, a
+        push(a)
+        push(before[a])
+    ends = [0]
+    while ends[-1] < n:
+        ends.append(after[ends[-1]])
+    return ends
+
+
+def _best_path(n: int, edges: list[tuple[int, int, float]], unknown: float) -> list[int]:
+    """What ``viterbi`` gives, in one pass over the edges."""
+    by_stop: dict[int, list] = {}
+    for a, b, s in edges:
+        by_stop.setdefault(b, []).append((a, s))
+    best = [(0.0, 0)]
+    for stop in range(1, n + 1):
+        ways = [(best[a][0] + s, -a) for a, s in by_stop.get(stop, [])]
+        if not any(a == stop - 1 for a, _ in by_stop.get(stop, [])):
+            ways.append((best[stop - 1][0] + unknown, 1 - stop))
+        score, back = max(ways)
+        best.append((score, -back))
+    ends = [n]
+    while ends[-1]:
+        ends.append(best[ends[-1]][1])
+    return ends[::-1]
+
+
+def _long_words(method: str, unknown: float):
+    def ends(word: str, edges) -> list[int]:
+        spans = [(e["start"], e["stop"], e["score"]) for e in edges]
+        return _merged(len(word), spans) if method == "merges" else _best_path(len(word), spans, unknown)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for word, edges in zip(batch.word, batch.edges, strict=True):
+                cuts = ends(word, edges)
+                known = {(e["start"], e["stop"]): e["id"] for e in edges}
+                ids: list[int] = []
+                for a, b in zip(cuts, cuts[1:]):
+                    found = known.get((a, b))
+                    ids += [found] if found is not None else [-1 - x for x in word[a:b].encode()]
+                rows.append((word, ids))
+            yield pd.DataFrame(rows, columns=["word", "ids"])
+
+    return run
+
+
 def fold(lattices: DataFrame, vocabulary: Vocabulary, method: str = "merges") -> DataFrame:
     """word, ids: each lattice folded by ``merges`` or ``viterbi``; characters without a piece as the ids of their bytes."""
     word, edges = F.col("word"), F.col("edges")
@@ -129,7 +198,11 @@ def fold(lattices: DataFrame, vocabulary: Vocabulary, method: str = "merges") ->
 
         return F.flatten(F.transform(F.slice(ends, 2, F.size(ends) - 1), one))
 
-    return lattices.select("word", F.get(F.transform(F.array(cuts), ids), F.lit(0)).alias("ids"))
+    short, long = F.char_length("word") <= LONG_WORD, F.char_length("word") > LONG_WORD
+    folded = lattices.filter(short).select("word", F.get(F.transform(F.array(cuts), ids), F.lit(0)).alias("ids"))
+    apart = lattices.filter(long).mapInPandas(_long_words(method, lowest), "word string, ids array<int>")
+    spelled = F.transform("ids", lambda i: F.when(i < 0, F.get(byte_ids, -1 - i)).otherwise(i))
+    return folded.unionByName(apart.select("word", spelled.alias("ids")))
 
 
 def _marked(text: Column) -> Column:

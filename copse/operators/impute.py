@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import numeric_columns
-
-DIRECT_VALUES = 1_000_000
-ACCURACY = 10_000
+from .select import order_statistics
 
 
 def _value(column: str):
@@ -19,83 +16,13 @@ def _value(column: str):
     return F.nanvl(F.col(column).cast("double"), F.lit(None))
 
 
-def medians(df: DataFrame, columns: Sequence[str], direct_values: int = DIRECT_VALUES) -> dict[str, float | None]:
+def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Exact median of each column, the mean of the two middle values for even counts.
 
-    A plain exact median keeps all values of a column in one buffer. Beyond
-    ``direct_values`` values the middle is therefore closed in first: quantile
-    sketches propose a bracket, counts over the data confirm it, and this is
-    repeated until few values are left in it. All columns share every pass.
+    All columns share every pass, and no pass keeps a column in one buffer; ``df`` is read several times.
     """
-    if not columns:
-        return {}
-    sizes = df.agg(*[F.count(_value(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    n = {c: sizes[i] for i, c in enumerate(columns)}
-    out: dict[str, float | None] = {c: None for c in columns if n[c] == 0}
-    small = [c for c in columns if 0 < n[c] <= direct_values]
-    if small:
-        row = df.agg(*[F.median(_value(c)).alias(f"m{i}") for i, c in enumerate(small)]).first()
-        out.update({c: row[i] for i, c in enumerate(small)})
-    large = [c for c in columns if n[c] > direct_values]
-    if large:
-        out.update(_bracketed_medians(df, {c: n[c] for c in large}, direct_values))
-    return out
-
-
-def _between(column: str, lo: float, hi: float):
-    v = _value(column)
-    return F.when((v >= lo) & (v <= hi), v)
-
-
-def _bracketed_medians(df: DataFrame, n: dict[str, int], direct_values: int) -> dict[str, float]:
-    # Per column: bracket [lo, hi] around the middle ranks, values below it, values inside.
-    state = {c: (-math.inf, math.inf, 0, size) for c, size in n.items()}
-    middle = {c: ((size - 1) // 2, size // 2) for c, size in n.items()}
-    open_columns = list(n)
-    while open_columns:
-        asked = []
-        for i, c in enumerate(open_columns):
-            lo, hi, below, inside = state[c]
-            ranks = [(middle[c][0] - below) / inside - 2 / ACCURACY, (middle[c][1] - below) / inside + 2 / ACCURACY]
-            points = [min(max(p, 0.0), 1.0) for p in ranks]
-            asked.append(F.percentile_approx(_between(c, lo, hi), points, ACCURACY).alias(f"q{i}"))
-        proposed = df.agg(*asked).first()
-        counted = []
-        for i, c in enumerate(open_columns):
-            lo, hi = proposed[i]
-            counted += [
-                F.count_if(_value(c) < lo).alias(f"below{i}"),
-                F.count(_between(c, lo, hi)).alias(f"inside{i}"),
-            ]
-        counts = df.agg(*counted).first()
-        still = []
-        for i, c in enumerate(open_columns):
-            lo, hi = proposed[i]
-            below, inside = counts[2 * i], counts[2 * i + 1]
-            holds = below <= middle[c][0] and middle[c][1] < below + inside
-            shrank = inside < state[c][3]
-            if holds and shrank:
-                state[c] = (lo, hi, below, inside)
-                if lo < hi and inside > direct_values:
-                    still.append(c)
-        open_columns = still
-    # The rest by distinct values with their counts, which are merged map-side.
-    parts = [a for c in n for a in (F.lit(c), _between(c, state[c][0], state[c][1]))]
-    left = df.select(F.stack(F.lit(len(n)), *parts).alias("c", "v")).filter("v IS NOT NULL")
-    counts = left.groupBy("c", "v").agg(F.count("*").alias("k"))
-    upto = Window.partitionBy("c").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    seen = counts.withColumn("upto", F.sum("k").over(upto))
-    rank = {c: [r - state[c][2] for r in middle[c]] for c in n}
-    wanted = F.lit(False)
-    for c, (a, b) in rank.items():
-        for r in (a, b):
-            wanted |= (F.col("c") == c) & (F.col("upto") > r) & (F.col("upto") - F.col("k") <= r)
-    hits = seen.filter(wanted).collect()
-    out = {}
-    for c, ranks in rank.items():
-        picked = [h["v"] for r in ranks for h in hits if h["c"] == c and h["upto"] - h["k"] <= r < h["upto"]]
-        out[c] = (picked[0] + picked[1]) / 2.0
-    return out
+    found = order_statistics(df, [_value(c) for c in columns], lambda n: [(n - 1) // 2, n // 2] if n else [])
+    return {c: (v[0] + v[1]) / 2.0 if v else None for c, v in zip(columns, found)}
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:

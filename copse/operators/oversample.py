@@ -20,55 +20,64 @@ def _hex(text, start: int, length: int):
 def synthetic_rows(
     df: DataFrame, row_id: str, label: str, features: Sequence[str], k: int = 5, seed: int = 42
 ) -> DataFrame:
-    """New rows that bring every class to the size of the largest.
+    """New rows that bring every class to the size of the largest. Labels must be whole numbers; NULL is no class.
 
     Row ``i`` of a class takes a member and the rank of one of its ``k``
     nearest members from the hash of ``i`` and the seed, and a point between
     the two. Members are addressed by their place in draw order, so drawing is
     an equi-join on evenly spread keys. Synthetic ids count down from -1.
     """
-    counts = {r["y"]: r["n"] for r in df.groupBy(F.col(label).alias("y")).agg(F.count("*").alias("n")).collect()}
+    y = F.col(label)
+    stats = df.groupBy(y.cast("double").alias("y")).agg(F.count("*").alias("n")).collect()
+    # NULL labels are no class: they neither set the target size nor get synthetic rows.
+    counts = {r["y"]: r["n"] for r in stats if r["y"] is not None}
+    if any(v != int(v) for v in counts):
+        raise ValueError(f"labels in {label} must be whole numbers")
+    counts = {int(v): n for v, n in counts.items()}
     largest = max(counts.values(), default=0)
-    short = sorted(y for y, n in counts.items() if y is not None and n < largest)
+    short = sorted(v for v, n in counts.items() if n < largest)
     kinds = ", ".join(f"`{c}` double" for c in features)
     if not short:
         return df.sparkSession.createDataFrame([], f"`{row_id}` bigint, `{label}` int, {kinds}")
-    for y in short:
-        if counts[y] < 2:
-            raise ValueError(f"class {y} has a single row and so no neighbour")
-    members = df.filter(F.col(label).isin(short)).select(
-        F.col(row_id).cast("long").alias("id"),
-        F.col(label).cast("int").alias("cls"),
-        F.array(*[F.col(c).cast("double") for c in features]).alias("x"),
+    for v in short:
+        if counts[v] < 2:
+            raise ValueError(f"class {v} has a single row and so no neighbour")
+    # Inside, all names are reserved ones, so the caller's may be any.
+    members = df.filter(y.isin(short)).select(
+        F.col(row_id).cast("long").alias("_id"),
+        y.cast("int").alias("_cls"),
+        F.array(*[F.col(c).cast("double") for c in features]).alias("_x"),
     )
-    placed = ranked(members.withColumn("key", draw_key("id", seed)), [F.col("cls"), F.col("key"), F.col("id")])
+    members = cut(members, "members")
+    placed = ranked(members.withColumn("_key", draw_key("_id", seed)), [F.col("_cls"), F.col("_key"), F.col("_id")], "_rank")
     draws, first, made = [], 0, 0
-    for y in short:
-        n, new = counts[y], largest - counts[y]
+    for v in short:
+        n, new = counts[v], largest - counts[v]
         ways = min(k, n - 1)
-        h = F.md5(F.concat(F.col("i").cast("string"), F.lit(f":{y}:{seed}")))
+        h = F.md5(F.concat(F.col("id").cast("string"), F.lit(f":{v}:{seed}")))
         pick = F.pmod(_hex(h, 1, 15).cast("long"), F.lit(n * ways))
         draws.append(
-            df.sparkSession.range(new).withColumnRenamed("id", "i").select(
-                (-1 - made - F.col("i")).alias(row_id),
-                F.lit(y).cast("int").alias("cls"),
-                (F.floor(pick / ways) + first + 1).alias("rank"),
-                (F.pmod(pick, F.lit(ways)) + 1).cast("int").alias("nn_rank"),
-                (_hex(h, 16, 13).cast("double") / float(1 << 52)).alias("u"),
+            df.sparkSession.range(new).select(
+                (-1 - made - F.col("id")).alias("_new"),
+                F.lit(v).cast("int").alias("_cls"),
+                (F.floor(pick / ways) + first + 1).alias("_rank"),
+                (F.pmod(pick, F.lit(ways)) + 1).cast("int").alias("_nn_rank"),
+                (_hex(h, 16, 13).cast("double") / float(1 << 52)).alias("_u"),
             )
         )
         first, made = first + n, made + new
     drawn = reduce(DataFrame.unionByName, draws)
-    near = cut(knn(members, "id", "cls", "x", k), "neighbors").select(
-        F.col("row_id").alias("id"), F.col("rank").alias("nn_rank"), "nn_id"
+    near = cut(knn(members, "_id", "_cls", "_x", k), "neighbors").select(
+        F.col("row_id").alias("_id"), F.col("rank").alias("_nn_rank"), F.col("nn_id").alias("_nn_id")
     )
-    started = drawn.join(placed.select("rank", "id", "x"), "rank").join(near, ["id", "nn_rank"])
+    started = drawn.join(placed.select("_rank", "_id", "_x"), "_rank").join(near, ["_id", "_nn_rank"])
     # Many rows may share a neighbour, copies above all; draws repeat their shares.
-    ends = members.select(F.col("id").alias("nn_id"), F.col("x").alias("nn_x"))
-    paired = skew_join(started, ends, ["nn_id"], row_id, counted=near)
-    mixed = paired.withColumn("z", F.zip_with("x", "nn_x", lambda a, b: a + F.col("u") * (b - a)))
+    ends = members.select(F.col("_id").alias("_nn_id"), F.col("_x").alias("_nn_x"))
+    paired = skew_join(started, ends, ["_nn_id"], "_new", counted=near)
+    mixed = paired.withColumn("_z", F.zip_with("_x", "_nn_x", lambda a, b: a + F.col("_u") * (b - a)))
     return mixed.select(
-        row_id, F.col("cls").alias(label), *[F.get("z", F.lit(i)).alias(c) for i, c in enumerate(features)]
+        F.col("_new").alias(row_id), F.col("_cls").alias(label),
+        *[F.get("_z", F.lit(i)).alias(c) for i, c in enumerate(features)],
     )
 
 
@@ -81,7 +90,7 @@ def oversample(
         F.col(label).cast("int").alias(label),
         *[F.col(c).cast("double").alias(c) for c in features],
     )
-    new = synthetic_rows(own, row_id, label, features, k, seed)
+    new = synthetic_rows(df, row_id, label, features, k, seed)
     return own.withColumn("synthetic", F.lit(False)).unionByName(new.withColumn("synthetic", F.lit(True)))
 
 

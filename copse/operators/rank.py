@@ -106,15 +106,15 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFr
     )
 
 
-def sort_column(df: DataFrame, column: str, ascending: bool = True) -> DataFrame:
-    """The frame ordered by one column, either way."""
-    return df.orderBy(F.col(column).asc() if ascending else F.col(column).desc())
+def sort_column(df: DataFrame, column: str, row_id: str, ascending: bool = True) -> DataFrame:
+    """The frame ordered by one column, either way, and on ties by ``row_id``, which spreads a frequent value over tasks."""
+    return df.orderBy(F.col(column).asc() if ascending else F.col(column).desc(), F.col(row_id))
 
 
-def merge_sorted(first: DataFrame, second: DataFrame, column: str, source: str = "src") -> DataFrame:
-    """Two runs as one ordered frame; on ties rows of the first come first."""
+def merge_sorted(first: DataFrame, second: DataFrame, column: str, row_id: str, source: str = "src", name: str = "rank") -> DataFrame:
+    """Two runs as one, numbered in their common order; on ties rows of the first come first, then smaller ids."""
     both = first.withColumn(source, F.lit(0)).unionByName(second.withColumn(source, F.lit(1)))
-    return both.orderBy(column, source)
+    return ranked(both, [F.col(column), F.col(source), F.col(row_id)], name)
 
 
 def value_rank(df: DataFrame, value: str, idx: str, name: str = "rank") -> DataFrame:

@@ -23,7 +23,6 @@ from .route import literal_array
 
 GAIN_STEPS = 1e9
 """Gains are compared in steps of one over this: nine decimal places."""
-DIRECT_ROWS = 1_000_000
 FINE_BLOCK_ROWS = 2_000_000
 SUB_QUANTILES = 255
 
@@ -282,25 +281,15 @@ def _merge(best: dict[int, Split], found: Sequence[Split]) -> None:
             best[s.node] = s
 
 
-def direct_candidates(rows: DataFrame, features: Sequence[int], params: BoostParams) -> DataFrame:
-    """All exact candidates by one window per node and feature, for few rows only."""
-    group = ("node", "f")
-    cells = _prefix(node_hist(rows, features), group, "v", _next(group, "v", "v", "v_next"))
-    return _valid(_right_side(_with_midpoint(cells)), params)
-
-
 def exact_best(
     rows: DataFrame,
     features: Sequence[int],
     params: BoostParams,
-    row_count: int | None = None,
     fine_block_rows: int = FINE_BLOCK_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> dict[int, Split]:
     """The best exact split of every node, from coarse blocks to single values.
 
-    With at most ``DIRECT_ROWS`` rows all values are looked at in one go. Else:
-
     1. Sum the rows per block of neighbouring values. Splits between blocks are
        exact candidates already.
     2. Drop each block whose upper bound cannot reach the node's best edge;
@@ -314,8 +303,6 @@ def exact_best(
     best: dict[int, Split] = {}
     if not features:
         return best
-    if row_count is not None and row_count <= DIRECT_ROWS:
-        return {s.node: s for s in _as_splits(best_of(direct_candidates(rows, features, params)))}
     held: list[DataFrame] = []
     long_rows = by_feature(rows, features)
     group = ("node", "f")

@@ -16,9 +16,7 @@ from ..operators.rank import row_sample
 from ..operators.route import Tree, bound, features_array, leaf_of, value_of
 from ..operators.tree import grow, sample_columns
 from ..params import BoostParams
-from ..session import cut_to, new_folder, remove_folder, spread
-
-SMALL_ROWS = 2_000_000
+from ..session import cut_to, new_folder, remove_folder
 
 NODE_SCHEMA = (
     "tree_id int, node_id bigint, depth int, n_rows bigint, var_idx int, split double, "
@@ -131,72 +129,53 @@ def feature_columns(df: DataFrame, array_column: str, size: int) -> tuple[DataFr
 
 @dataclass
 class Training:
-    """Rows ``x<i>, [b<i>,] label`` ready for a fit, their cuts, and where they are kept."""
+    """Rows ``x<i>, [b<i>,] label`` ready for a fit, written to a scratch folder, and their cuts."""
 
     rows: DataFrame
     cuts: list[list[float]] | None
-    count: int
-    folder: str | None = None
-    """Scratch folder of the rows; ``None`` while they are few and held in memory."""
-
-    @property
-    def small(self) -> bool:
-        return self.count <= SMALL_ROWS
+    folder: str
 
     def keep(self, rows: DataFrame) -> None:
         """Take ``rows``, computed from the present ones, in their place."""
-        spark = rows.sparkSession
-        before, folder = self.rows, self.folder
-        path = new_folder(spark, "training")
-        written = cut_to(rows, path)
-        self.rows, self.folder = (spread(written, self.count) if self.small else written), path
-        before.unpersist()
-        if folder:
-            remove_folder(spark, folder)
+        spark, before = rows.sparkSession, self.folder
+        self.folder = new_folder(spark, "training")
+        self.rows = cut_to(rows, self.folder)
+        remove_folder(spark, before)
 
     def release(self) -> None:
-        self.rows.unpersist()
-        if self.folder:
-            remove_folder(self.rows.sparkSession, self.folder)
+        remove_folder(self.rows.sparkSession, self.folder)
 
 
 def prepare(df: DataFrame, features: Sequence[str], label: str | Column, params: BoostParams) -> Training:
-    """Check the rows, find the cuts of the buckets, and keep what a fit reads over and over.
+    """Check the rows, find the cuts of the buckets, and write what a fit reads over and over.
 
-    One pass counts rows and missing values and finds the cuts; it ends in a
-    single small row. A second one writes large tables to the scratch folder,
-    with only the columns a fit needs; small ones stay in memory.
+    The columns that a fit needs are written once; that table is checked and searched for its quantiles, which takes a few passes, and is
+    then rewritten with bucket numbers, if the method has any.
     """
     label = F.col(label) if isinstance(label, str) else label
-    base = df.select(
-        *[scalars.one_zero(F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(features)],
-        label.cast("int").alias("label"),
-    )
     names = [f"x{i}" for i in range(len(features))]
     buckets = [f"b{i}" for i in range(len(features))]
+    plain = df.select(
+        *[scalars.one_zero(F.col(c).cast("double")).alias(x) for c, x in zip(features, names)],
+        label.cast("int").alias("label"),
+    )
+    path = new_folder(df.sparkSession, "training")
+    base = cut_to(plain, path)
     missing = F.greatest(*[F.col(c).isNull().cast("int") for c in ("label", *names)], F.lit(0))
-    points: list[float] = []
-    if params.method == "exact":
-        points = bins.quantile_points(bins.BLOCK_QUANTILES)
-    elif params.method == "quantile":
-        points = bins.eps_points(params.eps)
-    sketches = bins.quantile_sketches(names, points) if points else []
-    checked = base.agg(F.count("*").alias("n"), F.sum(missing).alias("bad"), *sketches).first()
-    if not checked["n"]:
-        raise ValueError("no rows to fit on")
-    if checked["bad"]:
+    checked = base.agg(F.count("*").alias("n"), F.sum(missing).alias("bad")).first()
+    if not checked["n"] or checked["bad"]:
+        remove_folder(df.sparkSession, path)
+        if not checked["n"]:
+            raise ValueError("no rows to fit on")
         raise ValueError(f"{checked['bad']} rows have a missing label or feature; impute or drop them first")
-    cuts = None
-    if params.method == "exact" and checked["n"] > splits.DIRECT_ROWS:
-        cuts = bins.cuts_of(checked, names)
-        base = bins.with_blocks(base, names, buckets, cuts)
+    data = Training(base, None, path)
+    if params.method == "exact":
+        data.cuts = bins.quantile_cuts(base, names, bins.quantile_points(bins.BLOCK_QUANTILES), bins.BLOCK_ROUNDS)
+        data.keep(bins.with_blocks(base, names, buckets, data.cuts))
     elif params.method == "quantile":
-        cuts = bins.cuts_of(checked, names) if points else [[] for _ in names]
-        base = bins.with_right_closed_bins(base, names, buckets, cuts)
-    if checked["n"] <= SMALL_ROWS:
-        return Training(spread(base, checked["n"]), cuts, checked["n"])
-    path = new_folder(df.sparkSession, "training")
-    return Training(cut_to(base, path), cuts, checked["n"], path)
+        data.cuts = bins.quantile_cuts(base, names, bins.eps_points(params.eps))
+        data.keep(bins.with_right_closed_bins(base, names, buckets, data.cuts))
+    return data
 
 
 def _with_gradients(rows: DataFrame) -> DataFrame:
@@ -247,7 +226,7 @@ def _boost(model: BoostedModel, data: Training, total: int, params: BoostParams)
         began = time.monotonic()
         chosen = sample_columns(total, params.subsample_cols, params.seed, tree_id)
         scored = _with_gradients(_advance(rows, pending, total, params))
-        tree = grow(scored, total, chosen, params, data.cuts, data.count)
+        tree = grow(scored, total, chosen, params, data.cuts)
         model.trees.append(tree)
         model.elapsed_ms.append((time.monotonic() - began) * 1000.0)
         pending.append(tree)

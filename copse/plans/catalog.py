@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars
@@ -22,6 +22,7 @@ from ..streaming.score import score_stream as start_scoring
 from . import views
 from .boost import BoostedModel, feature_columns, fit
 from .clean import clean
+from .evaluate import train_and_evaluate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,7 +49,8 @@ def node_rows(spark: SparkSession, folder: str, node=None, bucket: str | None =
     rows = li.select(*[F.col(c).alias(f"x{i}") for i, c in enumerate(LI)], "label").withColumn("margin", F.lit(0.5))
     if bucket:
         names, out = [f"x{i}" for i in range(len(LI))], [f"b{i}" for i in range(len(LI))]
-        cuts = bins.quantile_cuts(rows, names, bins.quantile_points(bins.BLOCK_QUANTILES))
+        rows = cut(rows, "node-rows")
+        cuts = bins.quantile_cuts(rows, names, bins.quantile_points(bins.BLOCK_QUANTILES), bins.BLOCK_ROUNDS)
         rows = bins.with_blocks(rows, names, out, cuts)
     rows = rows.withColumns(
         {"g": scalars.gradient(F.col("margin"), F.col("label")), "h": scalars.hessian(F.col("margin"))}
@@ -116,12 +118,14 @@ def split_histogram(spark, folder):
 
 
 def split_quantile(spark, folder):
+    """Every candidate at a quantile, not only the best."""
     params = BoostParams(gamma=0.0, subsample_cols=1.0, method="quantile", eps=0.05)
     rows = node_rows(spark, folder, halves())
     names, out = [f"x{i}" for i in range(len(LI))], [f"b{i}" for i in range(len(LI))]
-    cuts = bins.quantile_cuts(rows, names, bins.eps_points(params.eps), accuracy=100_000)
+    cuts = bins.quantile_cuts(rows, names, bins.eps_points(params.eps))
     rows = bins.with_right_closed_bins(rows, names, out, cuts)
-    return split_table(spark, best_splits(rows, range(len(LI)), params, cuts))
+    found = splits.quantile_candidates(rows, range(len(LI)), cuts, params)
+    return found.select("node", "f", r6("split"), r6("gain", digits=3), "nl", "nr")
 
 
 def split_col_sample(spark, folder):
@@ -152,7 +156,10 @@ def tree_nodes(spark, folder):
 
 
 def fit_loss(spark, folder):
-    return _fit(spark, folder).training_log(spark).select("tree_id", r6("loss"))
+    """The losses as the loss file has them."""
+    path = new_folder(spark, "losses")
+    sinks.write_losses(_fit(spark, folder).training_log(spark), path)
+    return spark.read.schema("tree_id int, loss double").csv(path).select("tree_id", r6("loss"))
 
 
 def strategy_loss(spark, folder):
@@ -163,7 +170,18 @@ def strategy_loss(spark, folder):
 
 
 def training_time(spark, folder):
-    return _fit(spark, folder, method="quantile", eps=0.1).training_log(spark).select("tree_id", "elapsed_ms", "total_ms")
+    """Measured times differ from run to run, so what is shown is whether they add up, in the log and in the file."""
+    log = _fit(spark, folder, method="quantile", eps=0.1).training_log(spark)
+    path = new_folder(spark, "times")
+    sinks.write_times(log, path)
+    written = spark.read.schema("tree_id int, written double").csv(path, header=True)
+    earlier = log.select((F.col("tree_id") + 1).alias("tree_id"), F.col("total_ms").alias("before"))
+    both = log.join(earlier, "tree_id", "left").join(written, "tree_id")
+    step = F.col("total_ms") - F.coalesce("before", F.lit(0.0))
+    return both.select(
+        "tree_id", (F.col("elapsed_ms") >= 0).alias("timed"), (F.abs(step - F.col("elapsed_ms")) < 1e-6).alias("adds_up"),
+        (F.abs(F.col("written") - F.col("total_ms")) < 1e-6).alias("written"),
+    )
 
 
 # --- scoring ----------------------------------------------------------------------------
@@ -262,12 +280,22 @@ def row_sample(spark, folder):
     return rank.row_sample(views.ord_xy(spark, folder), "row_id", 0.35, 3).select("row_id", "o_totalprice")
 
 
-def sort_column(spark, folder):
-    """Descending order, shown as a rank since results are compared unordered."""
+def sort_column(spark, folder, ascending=False):
+    """The order is shown as a place, since results are compared unordered: parts of a sorted frame follow each other."""
     orders = views.table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
-    return rank.ranked(orders, [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()]).select(
-        "o_orderkey", "o_totalprice", "rank"
-    )
+    path = new_folder(spark, "sorted")
+    rank.sort_column(orders, "o_totalprice", "o_orderkey", ascending).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.parquet(path)
+    part = F.shiftright("_at", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.col("_at") - F.shiftleft("_part", 33) + 1
+    return placed.withColumn("_part", part).join(sizes, "_part").select("o_orderkey", "o_totalprice", place.alias("rank"))
+
+
+def sort_column_ascending(spark, folder):
+    return sort_column(spark, folder, ascending=True)
 
 
 def merge_sorted(spark, folder):
@@ -275,7 +303,7 @@ def merge_sorted(spark, folder):
     customer = views.table(spark, folder, "customer").select(
         F.col("c_custkey").alias("o_orderkey"), F.col("c_acctbal").alias("v")
     )
-    return rank.merge_sorted(orders, customer, "v")
+    return rank.merge_sorted(orders, customer, "v", "o_orderkey")
 
 
 def value_rank(spark, folder):
@@ -422,7 +450,7 @@ def knn(spark, folder):
 
 def oversample(spark, folder):
     rows, names = _balanced(spark, folder)
-    return rows.select("row_id", "label", "synthetic", *[r6(c) for c in names[:8]])
+    return rows.select("row_id", "label", "synthetic", *[r6(c) for c in names])
 
 
 def prep_clean(spark, folder):
@@ -437,6 +465,21 @@ def prep_clean(spark, folder):
     return cleaned.rows.select("row_id", "label", "synthetic", "part", *[r6(c) for c in cleaned.features])
 
 
+def run_from_files(spark, folder):
+    """The run from a feature and a label file to its reports, which are read back: counts, measures and the loss of each tree."""
+    ordered = views.ord_xy(spark, folder).orderBy("row_id")  # so lines are numbered by id
+    data, labels, out = new_folder(spark, "features"), new_folder(spark, "labels"), new_folder(spark, "reports")
+    sinks.write_matrix(ordered, data, views.ORD_FEATURES)
+    sinks.write_matrix(ordered, labels, ["label"])
+    params = BoostParams(trees=2, depth=2, learning_rate=0.1, gamma=0.0, subsample_cols=1.0)
+    train_and_evaluate(spark, data, labels, views.ORD_FEATURES, params, out, 0.2)
+    runs = spark.read.parquet(f"{out}/runs").select("tn", "fp", "fn", "tp", "n", r6("accuracy"), r6("precision"), r6("recall"))
+    losses = spark.read.schema("tree_id int, loss double").csv(f"{out}/loss_per_tree")
+    times = spark.read.schema("tree_id int, ms double").csv(f"{out}/time_per_tree", header=True)
+    logged = losses.join(times.filter("ms >= 0"), "tree_id").select(F.lit(1).alias("run"), "tree_id", r6("loss"))
+    return logged.join(runs.withColumn("run", F.lit(1)), "run").drop("run")
+
+
 def end_to_end(spark, folder):
     """Split, fit, score the test rows, measure."""
     split = rank.train_test_split(views.ord_xy(spark, folder), "row_id", 0.2, 0)
@@ -475,6 +518,7 @@ QUERIES: dict[str, Query] = {
     "train_test_split": train_test_split,
     "row_sample": row_sample,
     "sort_column": sort_column,
+    "sort_column_ascending": sort_column_ascending,
     "merge_sorted": merge_sorted,
     "value_rank": value_rank,
     "null_rates": null_rates,
@@ -496,5 +540,6 @@ QUERIES: dict[str, Query] = {
     "knn": knn,
     "oversample": oversample,
     "prep_clean": prep_clean,
+    "run_from_files": run_from_files,
     "end_to_end": end_to_end,
 }

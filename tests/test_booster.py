@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 import brute
 from copse.operators import bins, splits
+from copse.operators.select import order_statistics
 from copse.operators.tree import sample_columns
 from copse.params import BoostParams
-from copse.plans import boost, views
+from copse.plans import views
 from copse.plans.boost import BoostedModel, fit
 
 LI = views.LI_FEATURES
@@ -51,25 +52,22 @@ def test_fit_matches_plain_model(sample, rules):
     assert scored["probability"].to_numpy() == pytest.approx(want)
 
 
-def test_block_search_and_refinement_equal_direct_search(spark, sample, monkeypatch):
+def test_block_search_and_refinement_equal_plain_search(spark, sample, monkeypatch):
     df, x, y = sample
     expected, _ = brute.fit(x, y, 2, 3, 0.3, 1.0, 0.0)
-    monkeypatch.setattr(splits, "DIRECT_ROWS", 0)
     check_same(fit(df, LI, "label", params()), expected)
     monkeypatch.setattr(bins, "BLOCK_QUANTILES", 4)
     monkeypatch.setattr(splits, "SUB_QUANTILES", 3)
-    monkeypatch.setattr(splits.exact_best, "__defaults__", (None, 8, 3))
+    monkeypatch.setattr(splits.exact_best, "__defaults__", (8, 3))
     check_same(fit(df, LI, "label", params()), expected)
 
 
-def test_rewriting_rows_between_trees_changes_nothing(sample, monkeypatch):
+def test_rewriting_rows_between_trees_changes_nothing(sample):
     df, x, y = sample
     expected, losses = brute.fit(x, y, 3, 2, 0.3, 1.0, 0.0)
-    for small in (boost.SMALL_ROWS, 0):
-        monkeypatch.setattr(boost, "SMALL_ROWS", small)
-        model = fit(df, LI, "label", params(trees=3, depth=2, trees_per_write=1))
-        check_same(model, expected)
-        assert model.losses == pytest.approx(losses)
+    model = fit(df, LI, "label", params(trees=3, depth=2, trees_per_write=1))
+    check_same(model, expected)
+    assert model.losses == pytest.approx(losses)
 
 
 def test_partitioning_does_not_matter(sample):
@@ -100,15 +98,25 @@ def test_histogram_equals_exact_partition_for_few_values(spark):
     assert exact.node_rows()[0][6] == pytest.approx(hist.node_rows()[0][6])
 
 
-def test_quantile_cuts_have_small_rank_error(spark, folder):
-    li = views.li_xy(spark, folder)
+@pytest.mark.parametrize("partitions", [1, 16])
+def test_quantile_cuts_are_exact_on_any_partitioning(spark, folder, partitions):
+    li = views.li_xy(spark, folder).repartition(partitions)
     points = bins.eps_points(0.05)
     assert points == pytest.approx([0.05 * i for i in range(1, 20)])
-    cuts = bins.quantile_cuts(li, ["l_extendedprice"], points)[0]
-    values = np.sort(li.select("l_extendedprice").toPandas()["l_extendedprice"].to_numpy())
-    for p, c in zip(points, cuts):
-        below, upto = np.searchsorted(values, c, "left"), np.searchsorted(values, c, "right")
-        assert below - 2 <= p * len(values) + len(values) / 1000 and upto + 2 >= p * len(values) - len(values) / 1000
+    cuts = bins.quantile_cuts(li, list(LI), points)
+    for c, found in zip(LI, cuts):
+        values = np.sort(li.select(c).toPandas()[c].to_numpy())
+        assert found == sorted({values[math.ceil(round(p * len(values), 6)) - 1] for p in points})
+
+
+def test_order_statistics_of_odd_values(spark):
+    tiny, huge = 5e-324, 1.7e308
+    values = [0.0, -0.0, 1.0, 1.0, 1.0, -1.0, tiny, -tiny, 2 * tiny, huge, -huge, math.inf, -math.inf, math.nan, None, 0.1, 0.1 + 1e-17, 1e-300, 3.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    plain = sorted(v for v in values if v is not None and not math.isnan(v))
+    got = order_statistics(df, [F.col("v"), F.col("v") * 0], lambda n: range(n), grid=4)
+    assert got[0] == plain and len(got[1]) == 15
+    assert order_statistics(df.filter("v is null"), [F.col("v")], lambda n: [0]) == [[]]
 
 
 def test_quantile_splits_are_consistent_with_routing(sample):
@@ -118,9 +126,7 @@ def test_quantile_splits_are_consistent_with_routing(sample):
     assert leaves == {n: r[3] for n, r in nodes_of(model, 1).items() if r[10]}
 
 
-@pytest.mark.parametrize("direct", [splits.DIRECT_ROWS, 0])
-def test_nan_goes_right_and_is_never_split_off(spark, monkeypatch, direct):
-    monkeypatch.setattr(splits, "DIRECT_ROWS", direct)
+def test_nan_goes_right_and_is_never_split_off(spark):
     nan = float("nan")
     rows = [(1.0, 0), (2.0, 0), (3.0, 1), (nan, 1), (nan, 1), (4.0, 1)]
     df = spark.createDataFrame(rows, "x double, label int")

@@ -52,17 +52,21 @@ class TargetEncoder:
         )
         return cls(tuple(columns), prior, table, size.get["rows"] or 0)
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Replace each category by its number; unknown and missing ones by the prior."""
+    def transform(self, df: DataFrame, row_id: str | None = None) -> DataFrame:
+        """Replace each category by its number; unknown and missing ones by the prior.
+
+        Rows of a hot category are spread by ``row_id``, or without one by all columns together.
+        """
         names = df.columns
+        spread_by = F.col(row_id) if row_id else F.struct(*names)
         for c in self.columns:
             numbers = self.table.filter(F.col("column") == c).select(
                 F.col("category").alias("_category"), F.col("encoded").alias("_encoded")
             )
-            keyed = df.withColumn("_category", F.col(c).cast("string"))
+            keyed = df.withColumn("_category", F.col(c).cast("string")).withColumn("_spread", F.xxhash64(spread_by))
             if self.rows <= BROADCAST_ROWS:
                 joined = keyed.join(numbers.hint("broadcast"), "_category", "left")
             else:
-                joined = skew_join(keyed, numbers, ["_category"], names[0], how="left")
+                joined = skew_join(keyed, numbers, ["_category"], "_spread", how="left")
             df = joined.withColumn(c, F.coalesce("_encoded", F.lit(self.prior))).select(*names)
         return df

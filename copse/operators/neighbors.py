@@ -112,24 +112,31 @@ def _send(pivots: dict, reach: dict):
 
 def _nearest(k: int):
     def run(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple] = []
         names = ["cls", "vid", "nvid", "dist", "nids"]
         if queries.empty or candidates.empty:
-            return pd.DataFrame(found, columns=names, dtype=object)
+            return pd.DataFrame([], columns=names, dtype=object)
         others = np.stack(candidates["vec"].to_numpy())
         vids = candidates["vid"].to_numpy()
         ids = candidates["ids"].to_numpy()
         vectors = np.stack(queries["vec"].to_numpy())
+        keep = min(k + 1, len(others))
         step = max(1, 4_000_000 // len(others))
+        parts = []
         for at in range(0, len(vectors), step):
             d = _distances(vectors[at : at + step], others)
-            keep = min(k + 1, len(others))
             limit = np.partition(d, keep - 1, axis=1)[:, keep - 1]
-            for row, (vid, cls) in enumerate(zip(queries["vid"].iloc[at : at + step], queries["cls"].iloc[at : at + step])):
-                at_most = np.nonzero(d[row] <= limit[row])[0]
-                best = at_most[np.lexsort((vids[at_most], d[row][at_most]))][:keep]
-                found += [(cls, vid, vids[b], d[row][b], ids[b]) for b in best]
-        return pd.DataFrame(found, columns=names)
+            row, col = np.nonzero(d <= limit[:, None])
+            order = np.lexsort((vids[col], d[row, col], row))
+            row, col = row[order], col[order]
+            # Ties at the limit may leave more than ``keep`` of a row.
+            first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            place = np.arange(len(row)) - np.repeat(first, np.diff(np.r_[first, len(row)]))
+            row, col = row[place < keep], col[place < keep]
+            query = queries.iloc[at + row]
+            parts.append(pd.DataFrame({
+                "cls": query["cls"].to_numpy(), "vid": query["vid"].to_numpy(), "nvid": vids[col], "dist": d[row, col], "nids": ids[col],
+            }))
+        return pd.concat(parts)
 
     return run
 
@@ -141,13 +148,16 @@ def knn(
 
     ``features`` names numeric columns or one array column. Returns
     ``row_id, cls, rank, nn_id, distance``; rows of small classes get fewer
-    than ``k`` neighbours. Copies of a vector are compared once and at most
+    than ``k`` neighbours. The class must be a whole number; rows where it is
+    NULL belong to no class and have no neighbours. Copies of a vector are compared once and at most
     ``k + 1`` of their ids travel with it, which is all a result can hold.
     """
     vec = F.col(features).cast("array<double>") if isinstance(features, str) else F.array(
         *[F.col(c).cast("double") for c in features]
     )
-    rows = df.select(F.col(row_id).cast("long").alias("id"), F.col(cls).cast("int").alias("cls"), vec.alias("vec"))
+    whole = F.col(cls).cast("double") == F.col(cls).cast("int")
+    known = F.when(whole, F.col(cls).cast("int")).otherwise(F.raise_error(F.lit(f"{cls} must hold whole numbers")))
+    rows = df.filter(F.col(cls).isNotNull()).select(F.col(row_id).cast("long").alias("id"), known.cast("int").alias("cls"), vec.alias("vec"))
     copies = Window.partitionBy("cls", "vec").orderBy("id")
     points = cut(
         rows.withColumn("r", F.row_number().over(copies))

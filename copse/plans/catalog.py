@@ -225,8 +225,8 @@ def score_stream(spark, folder):
     """Score the events table as a stream; the result is what the stream wrote."""
     model = BoostedModel(BoostParams(learning_rate=1.0), ("value", "hour"), [_event_tree()])
     schema = views.table(spark, folder, "events").schema
-    # A glob, as a streaming source lists a folder: it matches the one table.
-    events = spark.readStream.schema(schema).parquet(f"{folder}/events*.parquet")
+    # A glob, as a streaming source lists a folder: it matches the one name.
+    events = spark.readStream.schema(schema).parquet(f"{folder}/events.parque[t]")
     out, state = new_folder(spark, "scored"), new_folder(spark, "scoring-state")
     start_scoring(views.ev_xy(events), model, out, state, once=True).awaitTermination()
     return spark.read.parquet(out).select("event_id", "label", r6("probability"))

@@ -12,6 +12,7 @@ from ..operators.encode import TargetEncoder
 from ..operators.impute import impute
 from ..operators.oversample import split_and_oversample
 from ..operators.profile import drop_sparse, label_distribution
+from ..session import cut
 
 
 @dataclass
@@ -39,13 +40,14 @@ def clean(
     ``drop_first`` counts columns that survive the sparse ones, the row id
     aside. Category columns dropped on the way are skipped by the encoder.
     """
+    df = cut(df, "raw")  # the steps below read their input several times
     kept = drop_sparse(df.drop(row_id), null_threshold).columns
     table = df.select(row_id, *kept)
     distribution = label_distribution(table, label)
     table = impute(table, skip=[row_id])
     table = drop_by_name(drop_by_position(table, 1, 1 + drop_first), *drop_names)
     encoder = TargetEncoder.fit(table, [c for c in categories if c in table.columns], label)
-    table = encoder.transform(table)
+    table = cut(encoder.transform(table, row_id), "encoded")
     features = [c for c in table.columns if c not in (row_id, label)]
     rows = split_and_oversample(table, row_id, label, features, test_size, seed=seed)
     return Cleaned(rows, features, distribution, encoder)

@@ -193,3 +193,19 @@ def test_knn_refuses_missing_features(spark):
     df = spark.createDataFrame([(1, 0, 1.0), (2, 0, None), (3, 0, 2.0)], "i long, c int, x double")
     with pytest.raises(Exception, match="feature is missing"):
         knn(df, "i", "c", ["x"], 1).collect()
+
+
+@pytest.mark.parametrize("name", ["id", "rank", "x", "z", "u", "i", "cls", "nn_id", "nn_x", "nn_rank", "key"])
+def test_oversample_with_any_name_of_the_id(spark, name):
+    rows = [(i, 1 if i < 12 else 0, float(i % 7), float(i)) for i in range(60)]
+    out = oversample(spark.createDataFrame(rows, f"`{name}` long, y int, a double, b double"), name, "y", ["a", "b"]).toPandas()
+    assert out["y"].value_counts().to_dict() == {0: 48, 1: 48} and out[name].is_unique
+
+
+def test_oversample_leaves_missing_labels_alone(spark):
+    rows = [(i, None if i < 60 else int(i >= 90), float(i)) for i in range(100)]
+    out = oversample(spark.createDataFrame(rows, "i long, y int, a double"), "i", "y", ["a"]).toPandas()
+    assert out["y"].isna().sum() == 60 and out["y"].value_counts().to_dict() == {0.0: 30, 1.0: 30}
+    halves = spark.createDataFrame([(1, 0.5, 1.0), (2, 0.0, 2.0), (3, 0.0, 3.0)], "i long, y double, a double")
+    with pytest.raises(ValueError, match="whole"):
+        oversample(halves, "i", "y", ["a"])

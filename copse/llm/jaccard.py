@@ -41,7 +41,10 @@ SALT_ROWS = 200_000
 """A shingle expected in more sets than this has its list dealt out over several tasks."""
 
 MAX_BROADCAST_IDS = 500_000
-"""Candidate ids (8 bytes each) are broadcast up to so many, to keep other texts out of the shuffle; beyond, they are joined by a shuffle."""
+"""Tables of two ids a row are broadcast up to so many rows, 8 MB, to keep texts and lists out of the shuffle; beyond, they are joined by one."""
+
+MAX_SEEN = 1_000_000
+"""Sets that a task remembers having sent; later ones may be sent twice, which changes nothing but work."""
 
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 _MIX = np.uint64(0x9FB21C651E98DF25)
@@ -116,11 +119,32 @@ def _least(n: int) -> int:
     return -(-3 * n // 4)
 
 
+def parity_bits(found: np.ndarray) -> bytes:
+    """A bit for each residue of the hashes, set where an odd number of them falls; two bits or more for each shingle."""
+    size = max(16, 1 << int(2 * len(found) - 1).bit_length())
+    odd = np.bincount((found & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the number of shingles on one side only: each turns one bit. The longer map is folded to the shorter."""
+    x, y = sorted((np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _prefix(found: np.ndarray, common: Frequencies) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that a partner must share some of, longer by one than for one shared shingle, and their expected documents."""
+    ordered, expected = _ordered(found, common)
+    size = min(len(found), len(found) - _least(len(found)) + 2)
+    return ordered[:size], expected[:size]
+
+
 def signature_pass(common) -> object:
-    """docs (doc_id, text) to doc_id, n_shingles, node and the prefix, longer by one, as packed hashes with expected frequencies."""
+    """docs (doc_id, text) to doc_id, n_shingles, node, bits, and the cost of scanning its lists."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
         for batch in batches:
             rows = []
             for key, text in zip(batch.doc_id, batch.text, strict=True):
@@ -128,15 +152,9 @@ def signature_pass(common) -> object:
                 if not len(found):
                     rows.append((key, 0, None, None, 0.0))
                     continue
-                node, prefix, cost = node_of(found), None, 0.0
-                if node not in seen and len(found) > 2:  # sets of one or two link with equal ones only
-                    if len(seen) < 1_000_000:
-                        seen.add(node)
-                    ordered, expected = _ordered(found, common.value)
-                    size = min(len(found), len(found) - _least(len(found)) + 2)
-                    prefix, cost = ordered[:size].tobytes(), float(expected[: size - 1].sum() + size)
-                rows.append((key, len(found), node, prefix, cost))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "node", "prefix", "cost"])
+                _, expected = _prefix(found, common.value)
+                rows.append((key, len(found), node_of(found), parity_bits(found), float(expected[:-1].sum() + len(expected))))
+            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "node", "bits", "cost"])
             yield out.astype({"doc_id": "Int64", "node": "Int64"})
 
     return run
@@ -145,7 +163,7 @@ def signature_pass(common) -> object:
 def choose_boundary(signatures: DataFrame) -> int:
     """The size up to which sets are light: where keys made plus lists scanned are fewest."""
     size = F.least("n_shingles", F.lit(2 * MAX_LIGHT))
-    found = signatures.filter("prefix is not null").groupBy(size.alias("size")).agg(F.count("*").alias("n"), F.sum("cost").alias("cost")).collect()
+    found = signatures.filter("n_shingles > 2").groupBy(size.alias("size")).agg(F.count("*").alias("n"), F.sum("cost").alias("cost")).collect()
     n, cost = {r["size"]: r["n"] for r in found}, {r["size"]: r["cost"] for r in found}
 
     def total(boundary: int) -> float:
@@ -156,13 +174,23 @@ def choose_boundary(signatures: DataFrame) -> int:
 
 
 def key_pass(common, boundary: int) -> object:
-    """Signatures to list entries: key, salt, node, n, pos (shingles known to be before the first shared one), heavy."""
+    """docs (text) to list entries: key, salt (0 where the list is not dealt out), node, n, pos (shingles known to be before the first shared one), kind.
+
+    A task sends each set once, so many copies of one text make no long lists.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()
         for batch in batches:
             keys, poss, nodes, sizes, kinds = [], [], [], [], []
-            for node, n, raw in zip(batch.node, batch.n_shingles, batch.prefix, strict=True):
-                prefix = np.frombuffer(raw, dtype=np.uint64)
+            for text in batch.text:
+                found = shingles(text)
+                n = len(found)
+                if n < 3 or (node := node_of(found)) in seen:  # sets of one or two link with equal ones only
+                    continue
+                if len(seen) < MAX_SEEN:
+                    seen.add(node)
+                prefix, _ = _prefix(found, common.value)
                 made = []
                 if n <= boundary:
                     i, j = np.triu_indices(len(prefix), 1)
@@ -173,34 +201,34 @@ def key_pass(common, boundary: int) -> object:
                 for key, pos, kind in made:
                     keys.append(key)
                     poss.append(pos)
-                    nodes.append(np.full(len(key), node))
+                    nodes.append(np.full(len(key), node, dtype=np.int64))
                     sizes.append(np.full(len(key), n))
                     kinds.append(np.full(len(key), kind))
             if not keys:
                 continue
             key, node = np.concatenate(keys), np.concatenate(nodes)
-            parts = np.maximum(1, np.ceil(expected_documents(key, common.value) / SALT_ROWS)).astype(np.int64)
+            parts = np.ceil(expected_documents(key, common.value) / SALT_ROWS).astype(np.int64)
+            salt = 1 + (node.astype(np.uint64) >> np.uint64(7)).astype(np.int64) % np.maximum(parts, 1)
             yield pd.DataFrame({
-                "key": key.astype(np.int64), "salt": ((node.astype(np.uint64) >> np.uint64(7)).astype(np.int64) % parts).astype(np.int32),
-                "parts": parts.astype(np.int32), "node": node.astype(np.int64), "n": np.concatenate(sizes).astype(np.int32),
+                "key": key.astype(np.int64), "salt": np.where(parts > 1, salt, 0).astype(np.int32), "node": node, "n": np.concatenate(sizes).astype(np.int32),
                 "pos": np.concatenate(poss).astype(np.int32), "kind": np.concatenate(kinds).astype(np.int8),
             })
 
     return run
 
 
-def shared_lists(signatures: DataFrame, common, boundary: int) -> DataFrame:
-    """The entries of all lists that hold more than one set (written): key, node, n, pos, kind, reach.
+def shared_lists(docs: DataFrame, common, boundary: int) -> DataFrame:
+    """The entries of all lists that hold more than one set (written): key, node, n, kind, at, reach.
 
-    ``reach`` is the largest partner that an entry's place leaves room for.
+    ``at`` is the share of a set that is rarer than the key; ``reach`` the largest partner that an entry's place leaves room for.
     """
-    rows = signatures.filter("prefix is not null").select("node", "n_shingles", "prefix")
-    entries = rows.mapInPandas(key_pass(common, boundary), "key long, salt int, parts int, node long, n int, pos int, kind byte")
+    entries = docs.select("text").mapInPandas(key_pass(common, boundary), "key long, salt int, node long, n int, pos int, kind byte")
     # A list that is salted is long by expectation; the others are kept if they have two different sets.
     w = Window.partitionBy("key", "salt")
-    several = (F.min("node").over(w) < F.max("node").over(w)) | (F.col("parts") > 1)
+    several = (F.min("node").over(w) < F.max("node").over(w)) | (F.col("salt") > 0)
     reach = F.least(F.floor(F.col("n") * 4 / 3), F.floor((F.col("n") - F.col("pos")) * 7 / 3) - F.col("n")).cast("int")
-    kept = entries.withColumn("_several", several).filter("_several").select("key", "node", "n", "pos", "kind", reach.alias("reach"))
+    at = (F.col("pos") / F.col("n")).cast("float").alias("at")
+    kept = entries.withColumn("_several", several).filter("_several").select("key", "node", "n", "kind", at, reach.alias("reach"))
     return cut(kept, "jaccard-lists")
 
 
@@ -215,26 +243,43 @@ def _pairs(joined: DataFrame, a: str, b: str) -> DataFrame:
 
 def hub_pairs(lists: DataFrame) -> DataFrame:
     """Each list's members with its hub, where sizes and places allow a link."""
-    best = F.min(F.struct((F.col("pos") / F.col("n")).alias("_at"), "node", "n", "kind", "reach")).alias("_hub")
+    best = F.min(F.struct("at", "node", "n", "kind", "reach")).alias("_hub")
     hubs = lists.groupBy("key").agg(best).select("key", "_hub.node", "_hub.n", "_hub.kind", "_hub.reach")
     return _pairs(lists.alias("m").join(hubs.alias("h"), F.expr(f"m.key = h.key and {_fits('m', 'h')}")), "m", "h")
 
 
 def cross_pairs(lists: DataFrame, linked: DataFrame) -> DataFrame:
-    """Members of a list that no common hub connects, where sizes and places allow a link. ``linked``: a, b.
+    """Members of a list that no common hub connects, where sizes and places allow a link. ``linked``: a, b (written)."""
+    # The smallest node within two links: the same for all that link with one hub.
+    ends = linked.select(F.col("a").alias("node"), F.col("b").alias("_near")).union(linked.select("b", "a"))
+    first = ends.groupBy("node").agg(F.min(F.least("node", "_near")).alias("_label"))
+    label = ends.join(first.withColumnRenamed("node", "_near"), "_near").groupBy("node").agg(F.min("_label").alias("_label"))
+    label = _small_side(cut(label, "jaccard-labels"))
+    rows = lists.join(label, "node", "left").withColumn("label", F.coalesce("_label", "node")).drop("_label", "at")
+    w = Window.partitionBy("key")
+    mixed = rows.withColumn("_mixed", F.min("label").over(w) < F.max("label").over(w)).filter("_mixed").drop("_mixed")
+    mixed = cut(mixed, "jaccard-mixed")
+    on = f"x.key = y.key and x.label <> y.label and (x.n < y.n or (x.n = y.n and x.node < y.node)) and {_fits('x', 'y')}"
+    return _pairs(mixed.alias("x").join(mixed.alias("y"), F.expr(on)), "x", "y")
+
+
+def _small_side(written: DataFrame) -> DataFrame:
+    """A written table of a few longs a row, to be broadcast if it has few enough rows, else to be joined by a shuffle."""
+    return F.broadcast(written) if written.count() <= MAX_BROADCAST_IDS else written
+
+
+def _may_link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        columns = (batch.a, batch.b, batch.n_a, batch.n_b, batch.bits_a, batch.bits_b)
+        found = [(a, b) for a, b, n, m, x, y in zip(*columns, strict=True) if 7 * least_difference(x, y) <= n + m]
+        yield pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
-    Sizes are cut into classes by a factor of 4/3, so that a link joins equal or neighbouring classes only.
-    """
-    ends = linked.select(F.col("a").alias("node"), F.col("b").alias("_hub")).union(linked.select("b", "a"))
-    label = ends.groupBy("node").agg(F.min(F.least("node", "_hub")).alias("_label"))
-    rows = lists.join(label, "node", "left").withColumn("label", F.coalesce("_label", "node")).drop("_label")
-    mixed = rows.groupBy("key").agg((F.min("label") < F.max("label")).alias("_mixed")).filter("_mixed").select("key")
-    rows = cut(rows.join(mixed, "key", "left_semi"), "jaccard-mixed")
-    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))).cast("int")
-    left = rows.withColumn("level", level)
-    right = rows.withColumn("level", F.explode(F.array(level - 1, level, level + 1)))
-    on = f"x.key = y.key and x.level = y.level and x.label <> y.label and (x.n < y.n or (x.n = y.n and x.node < y.node)) and {_fits('x', 'y')}"
-    return _pairs(left.alias("x").join(right.alias("y"), F.expr(on)), "x", "y")
+
+def screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose parity bits leave room for a link (written); no link is lost, and most others end here."""
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return cut(both.mapInPandas(_may_link, "a long, b long"), "jaccard-pairs")
 
 
 def _of_node(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -256,12 +301,11 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes that link by their whole texts (written). ``nodes``: node, doc_id of one document each."""
-    pairs = cut(pairs, "jaccard-pairs")
+    """The pairs (a, b) of nodes that link by their whole texts (written). ``nodes``: node, doc_id of one document, n, bits."""
+    pairs = screened(pairs, nodes)
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = cut(nodes.join(ends, "node", "left_semi"), "jaccard-wanted")
-    ids = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_IDS else wanted
-    found = docs.alias("d").join(ids.alias("w"), F.expr("d.doc_id <=> w.doc_id")).select("w.node", "d.text")
+    wanted = cut(nodes.select("node", "doc_id").join(ends, "node", "left_semi"), "jaccard-wanted")
+    found = docs.alias("d").join(_small_side(wanted).alias("w"), F.expr("d.doc_id <=> w.doc_id")).select("w.node", "d.text")
     texts = cut(found.mapInPandas(_of_node, "node long, text string").dropDuplicates(["node"]), "jaccard-texts")
     with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -302,15 +346,16 @@ def join_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     spark = docs.sparkSession
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     common = spark.sparkContext.broadcast(frequencies(docs))  # two arrays
-    schema = "doc_id long, n_shingles long, node long, prefix binary, cost double"
+    schema = "doc_id long, n_shingles long, node long, bits binary, cost double"
     signatures = cut(docs.mapInPandas(signature_pass(common), schema), "jaccard-signatures")
-    lists = shared_lists(signatures, common, choose_boundary(signatures))
-    nodes = cut(signatures.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "jaccard-nodes")
+    lists = shared_lists(docs, common, choose_boundary(signatures))
+    of_node = (F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.min("bits").alias("bits"))
+    nodes = cut(signatures.filter("node is not null").groupBy("node").agg(*of_node), "jaccard-nodes")
     linked = verified(hub_pairs(lists), docs, nodes)
     more = cross_pairs(lists, linked).join(linked, ["a", "b"], "left_anti")
     linked = cut(linked.union(verified(more, docs, nodes)), "jaccard-links")
     # The name of a component is its smallest doc_id.
-    members = components(spark, linked).join(nodes, "node", "right").withColumn("component", F.coalesce("component", "node"))
+    members = components(spark, linked).join(nodes.select("node", "doc_id"), "node", "right").withColumn("component", F.coalesce("component", "node"))
     names = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = skew_join(members.select("node", "component"), names, ["component"], "node").select("node", "component_id")
     rows = skew_join(signatures.select("doc_id", "n_shingles", "node"), named, ["node"], "doc_id", how="left")

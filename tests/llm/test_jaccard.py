@@ -79,6 +79,17 @@ def test_messy(spark):
     assert jaccard.component_table(messy.empty(spark)).count() == 0
 
 
+def test_bits_bound_the_difference():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    for n in (1, 3, 20, 500, 4_000):
+        for other in (1, n, 2 * n):
+            a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            b = np.concatenate([a[: n // 2], rng.integers(0, 1 << 63, other).astype(np.uint64)])
+            assert jaccard.least_difference(jaccard.parity_bits(np.unique(a)), jaccard.parity_bits(np.unique(b))) <= len(np.setxor1d(a, b))
+
+
 def test_one_id_for_several_texts(spark):
     rows = [(1, "a b c d e f g h"), (1, "p q r s t u v w"), (2, "a b c d e f g h"), (3, "p q r s t u v w x"), (None, "p q r s t u v w x y")]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -41,7 +41,8 @@ class Bracket:
         """Starts of the cells, the bracket's own start and the first value after it."""
         found = {self.lo, math.nextafter(self.hi, math.inf)}
         a, b, half = _ordinal(self.lo), _ordinal(self.hi), max(2, cells // 2)
-        found |= {_double(a + (b - a) * j // half) for j in range(1, half)}
+        # Rounded up, so even neighbouring doubles are told apart.
+        found |= {_double(a - (a - b) * j // half) for j in range(1, half)}
         width = self.hi / half - self.lo / half
         if math.isfinite(width):
             found |= {x for j in range(1, half) if self.lo < (x := self.lo + width * j) <= self.hi}

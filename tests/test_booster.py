@@ -1,7 +1,6 @@
 """Split search, growth, fitting and scoring against a plain model on few rows."""
 
 import math
-import os
 
 import numpy as np
 import pytest
@@ -114,7 +113,7 @@ def test_order_statistics_of_odd_values(spark):
     values = [0.0, -0.0, 1.0, 1.0, 1.0, -1.0, tiny, -tiny, 2 * tiny, huge, -huge, math.inf, -math.inf, math.nan, None, 0.1, 0.1 + 1e-17, 1e-300, 3.0]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     plain = sorted(v for v in values if v is not None and not math.isnan(v))
-    got = order_statistics(df, [F.col("v"), F.col("v") * 0], lambda n: range(n), grid=4)
+    got = order_statistics(df, [F.col("v"), F.col("v") * 0], lambda n: range(n), grid=400)
     assert got[0] == plain and len(got[1]) == 15
     assert order_statistics(df.filter("v is null"), [F.col("v")], lambda n: [0]) == [[]]
 
@@ -198,29 +197,16 @@ def test_scoring_needs_no_shuffle_and_reads_only_used_columns(spark, folder, sam
         assert (name in read) == (i in model.trees[0].used_features())
 
 
-PIMA = os.environ.get("COPSE_PIMA_CSV")
-
-
-@pytest.mark.skipif(not PIMA, reason="COPSE_PIMA_CSV names no copy of the PIMA diabetes table (label first)")
-@pytest.mark.parametrize("case", ["shallow", "deep", "pruned"])
-def test_pima(spark, case):
-    data = np.loadtxt(PIMA, delimiter=",")
-    names = [f"f{i}" for i in range(8)]
-    df = spark.createDataFrame([(i, int(r[0]), *map(float, r[1:])) for i, r in enumerate(data)], ["i", "label", *names])
-    changes = {
-        "shallow": dict(trees=3, depth=2, reg_lambda=1.0),
-        "deep": dict(trees=3, depth=8, reg_lambda=0.0),
-        "pruned": dict(trees=3, depth=8, reg_lambda=0.0, gamma=1.0, min_gain=0.0),
-    }[case]
-    model = fit(df.filter("i < 615"), names, "label", params(learning_rate=0.1, **changes))
-    losses = {
-        "shallow": [1.740851, 1.554361, 1.419216],
-        "deep": [2.071671, 1.736445, 1.560225],
-        "pruned": [2.037965, 1.702623, 1.533963],
-    }[case]
+def test_the_usual_configuration(spark, folder):
+    """Depth 8, ten trees, rate 0.1, no regularization, against the plain model on the customers."""
+    rows = views.table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("double").alias("a"), (F.col("c_custkey") * 7919 % 31).cast("double").alias("b"),
+        F.col("c_acctbal").alias("c"), (F.col("c_mktsegment") < "C").cast("int").alias("label"),
+    )
+    data = rows.toPandas()
+    names = ["a", "b", "c"]
+    config = dict(trees=10, depth=8, learning_rate=0.1, reg_lambda=0.0, gamma=0.0)
+    model = fit(rows, names, "label", params(**config))
+    expected, losses = brute.fit(data[names].to_numpy(float), data["label"].to_numpy(), 10, 8, 0.1, 0.0, 0.0)
     assert model.losses == pytest.approx(losses, abs=1e-6)
-    if case == "shallow":
-        scored = model.predict_proba(df.filter("i >= 615"))
-        cell = (F.col("label") * 2 + (F.col("probability") >= 0.5).cast("int")).alias("cell")
-        counts = {r["cell"]: r["count"] for r in scored.groupBy(cell).count().collect()}
-        assert [counts[i] for i in range(4)] == [93, 6, 35, 19]
+    assert [len(nodes_of(model, t)) for t in range(10)] == [len(t) for t in expected]

@@ -46,6 +46,7 @@ MAX_BROADCAST_IDS = 500_000
 MAX_SEEN = 1_000_000
 """Sets that a task remembers having sent; later ones may be sent twice, which changes nothing but work."""
 
+MAPS = ("m0", "m1", "m2", "m3")
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 _MIX = np.uint64(0x9FB21C651E98DF25)
 
@@ -126,6 +127,12 @@ def parity_bits(found: np.ndarray) -> bytes:
     return np.packbits(odd.astype(bool)).tobytes()
 
 
+def small_maps(found: np.ndarray) -> list[int]:
+    """Parity bits of 256 residues, as four signed longs: coarse, but cheap to compare while lists are joined."""
+    odd = np.bincount((found & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64).tolist()
+
+
 def least_difference(a: bytes, b: bytes) -> int:
     """A lower bound of the number of shingles on one side only: each turns one bit. The longer map is folded to the shorter."""
     x, y = sorted((np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)), key=len)
@@ -150,12 +157,12 @@ def signature_pass(common) -> object:
             for key, text in zip(batch.doc_id, batch.text, strict=True):
                 found = shingles(text)
                 if not len(found):
-                    rows.append((key, 0, None, None, 0.0))
+                    rows.append((key, 0, None, None, 0.0, None, None, None, None))
                     continue
                 _, expected = _prefix(found, common.value)
-                rows.append((key, len(found), node_of(found), parity_bits(found), float(expected[:-1].sum() + len(expected))))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "node", "bits", "cost"])
-            yield out.astype({"doc_id": "Int64", "node": "Int64"})
+                rows.append((key, len(found), node_of(found), parity_bits(found), float(expected[:-1].sum() + len(expected)), *small_maps(found)))
+            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "node", "bits", "cost", *MAPS])
+            yield out.astype(dict.fromkeys(["doc_id", "node", *MAPS], "Int64"))
 
     return run
 
@@ -248,8 +255,8 @@ def hub_pairs(lists: DataFrame) -> DataFrame:
     return _pairs(lists.alias("m").join(hubs.alias("h"), F.expr(f"m.key = h.key and {_fits('m', 'h')}")), "m", "h")
 
 
-def cross_pairs(lists: DataFrame, linked: DataFrame) -> DataFrame:
-    """Members of a list that no common hub connects, where sizes and places allow a link. ``linked``: a, b (written)."""
+def cross_pairs(lists: DataFrame, linked: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of a list that no common hub connects, where sizes, places and small parity maps allow a link. ``linked``: a, b (written)."""
     # The smallest node within two links: the same for all that link with one hub.
     ends = linked.select(F.col("a").alias("node"), F.col("b").alias("_near")).union(linked.select("b", "a"))
     first = ends.groupBy("node").agg(F.min(F.least("node", "_near")).alias("_label"))
@@ -258,8 +265,9 @@ def cross_pairs(lists: DataFrame, linked: DataFrame) -> DataFrame:
     rows = lists.join(label, "node", "left").withColumn("label", F.coalesce("_label", "node")).drop("_label", "at")
     w = Window.partitionBy("key")
     mixed = rows.withColumn("_mixed", F.min("label").over(w) < F.max("label").over(w)).filter("_mixed").drop("_mixed")
-    mixed = cut(mixed, "jaccard-mixed")
-    on = f"x.key = y.key and x.label <> y.label and (x.n < y.n or (x.n = y.n and x.node < y.node)) and {_fits('x', 'y')}"
+    mixed = cut(mixed.join(nodes.select("node", *MAPS), "node"), "jaccard-mixed")
+    turned = " + ".join(f"bit_count(x.{m} ^ y.{m})" for m in MAPS)
+    on = f"7 * ({turned}) <= x.n + y.n and x.key = y.key and x.label <> y.label and (x.n < y.n or (x.n = y.n and x.node < y.node)) and {_fits('x', 'y')}"
     return _pairs(mixed.alias("x").join(mixed.alias("y"), F.expr(on)), "x", "y")
 
 
@@ -346,13 +354,13 @@ def join_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     spark = docs.sparkSession
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     common = spark.sparkContext.broadcast(frequencies(docs))  # two arrays
-    schema = "doc_id long, n_shingles long, node long, bits binary, cost double"
+    schema = "doc_id long, n_shingles long, node long, bits binary, cost double, " + ", ".join(f"{m} long" for m in MAPS)
     signatures = cut(docs.mapInPandas(signature_pass(common), schema), "jaccard-signatures")
     lists = shared_lists(docs, common, choose_boundary(signatures))
-    of_node = (F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.min("bits").alias("bits"))
+    of_node = (F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.min("bits").alias("bits"), *(F.min(m).alias(m) for m in MAPS))
     nodes = cut(signatures.filter("node is not null").groupBy("node").agg(*of_node), "jaccard-nodes")
     linked = verified(hub_pairs(lists), docs, nodes)
-    more = cross_pairs(lists, linked).join(linked, ["a", "b"], "left_anti")
+    more = cross_pairs(lists, linked, nodes).join(linked, ["a", "b"], "left_anti")
     linked = cut(linked.union(verified(more, docs, nodes)), "jaccard-links")
     # The name of a component is its smallest doc_id.
     members = components(spark, linked).join(nodes.select("node", "doc_id"), "node", "right").withColumn("component", F.coalesce("component", "node"))

@@ -14,9 +14,6 @@ BROADCAST_ROWS = 200_000
 HOT_ROWS = 1_000_000
 """A join key with more rows than this is spread over several tasks."""
 
-ROWS_PER_CORE = 25_000
-"""Rows of a small in-memory table that are worth a task of their own."""
-
 
 def build_session(app: str = "copse", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on and UTC timestamps."""
@@ -114,14 +111,3 @@ def skew_join(
     dealt = left.join(hot, keys, "left").withColumn("_salt", salt).drop("_parts")
     copied = right.join(hot, keys, "left").withColumn("_salt", copies).drop("_parts")
     return dealt.join(copied, [*keys, "_salt"], how).drop("_salt")
-
-
-def spread(df: DataFrame, rows: int) -> DataFrame:
-    """A table of a known, small number of rows, in memory and over as many cores as are worth it.
-
-    Small files have fewer splits than there are cores; very small tables are
-    kept in one partition, where aggregates and windows need no shuffle. Lost
-    blocks are computed again from the source.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(1, min(cores, rows // ROWS_PER_CORE))).persist()

@@ -149,7 +149,7 @@ def _prefix(found: np.ndarray, common: Frequencies) -> tuple[np.ndarray, np.ndar
 
 
 def signature_pass(common) -> object:
-    """docs (doc_id, text) to doc_id, n_shingles, node, bits, and the cost of scanning its lists."""
+    """docs (doc_id as a string, text) to doc_id, n_shingles, node, bits, and the cost of scanning its lists."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -161,8 +161,9 @@ def signature_pass(common) -> object:
                     continue
                 _, expected = _prefix(found, common.value)
                 rows.append((key, len(found), node_of(found), parity_bits(found), float(expected[:-1].sum() + len(expected)), *small_maps(found)))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "node", "bits", "cost", *MAPS])
-            yield out.astype(dict.fromkeys(["doc_id", "node", *MAPS], "Int64"))
+            # As objects: beside a missing one, 64-bit numbers would become floats and lose their last digits.
+            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "node", "bits", "cost", *MAPS], dtype=object)
+            yield out.astype({"n_shingles": "int64", "cost": float, **dict.fromkeys(["node", *MAPS], "Int64")})
 
     return run
 
@@ -345,17 +346,19 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 
 def join_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """One row for each row of ``docs`` (doc_id, n_shingles, node, component_id), and the verified links between nodes (a, b).
+    """One row for each row of ``docs`` (doc_id, n_shingles, node, component, component_id), and the verified links between nodes (a, b).
 
     ``component_id`` is the smallest doc_id reachable by links of similarity 0.75 or more, the document's own included. Texts
     that are NULL, empty or without words have no shingles and link with nothing, so each is its own component. Copies are one node;
-    repeated rows are answered alike. A NULL doc_id takes part, but never names a component unless no other is there. Further columns are not read.
+    repeated rows are answered alike. A NULL doc_id takes part, but never names a component unless no other is there. Where ids are NULL or
+    repeated, components may share a ``component_id``; ``component``, the smallest of a component's nodes, tells them apart. Further columns are not read.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     common = spark.sparkContext.broadcast(frequencies(docs))  # two arrays
-    schema = "doc_id long, n_shingles long, node long, bits binary, cost double, " + ", ".join(f"{m} long" for m in MAPS)
-    signatures = cut(docs.mapInPandas(signature_pass(common), schema), "jaccard-signatures")
+    schema = "doc_id string, n_shingles long, node long, bits binary, cost double, " + ", ".join(f"{m} long" for m in MAPS)
+    named = docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(signature_pass(common), schema)
+    signatures = cut(named.withColumn("doc_id", F.col("doc_id").cast("long")), "jaccard-signatures")
     lists = shared_lists(docs, common, choose_boundary(signatures))
     of_node = (F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.min("bits").alias("bits"), *(F.min(m).alias(m) for m in MAPS))
     nodes = cut(signatures.filter("node is not null").groupBy("node").agg(*of_node), "jaccard-nodes")
@@ -365,14 +368,14 @@ def join_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     # The name of a component is its smallest doc_id.
     members = components(spark, linked).join(nodes.select("node", "doc_id"), "node", "right").withColumn("component", F.coalesce("component", "node"))
     names = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = skew_join(members.select("node", "component"), names, ["component"], "node").select("node", "component_id")
+    named = skew_join(members.select("node", "component"), names, ["component"], "node").select("node", "component", "component_id")
     rows = skew_join(signatures.select("doc_id", "n_shingles", "node"), named, ["node"], "doc_id", how="left")
     rows = rows.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return rows.select("doc_id", "n_shingles", "node", "component_id"), linked
+    return rows.select("doc_id", "n_shingles", "node", "component", "component_id"), linked
 
 
 def component_table(docs: DataFrame) -> DataFrame:
-    return join_groups(docs)[0].drop("node")
+    return join_groups(docs)[0].drop("node", "component")
 
 
 def _nodes(texts: pd.Series) -> pd.Series:
@@ -383,12 +386,12 @@ def _nodes(texts: pd.Series) -> pd.Series:
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component of ``docs``, all columns as they were: that with its smallest id, and of several rows with that id, one.
 
-    Rows without words are components of their own and stay, repeated ones too.
+    Unlinked texts stay all, also those without id or under one id. Rows without words are components of their own and stay, repeated ones too.
     """
     groups = join_groups(docs, doc_id, text)[0].filter("node is not null")
     # Of a component, the smallest id and of its nodes the smallest.
-    best = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("node").alias("_node"))
-    best = best.select(F.col("component_id").alias("_id"), "_node")
+    named = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component")
+    best = named.agg(F.min("component_id").alias("_id"), F.min("node").alias("_node"))
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
     rows = docs.select(whole, F.col(f"`{doc_id}`").cast("long").alias("_id"), F.pandas_udf(_nodes, "long")(F.col(f"`{text}`")).alias("_node"))
     rows = cut(rows, "jaccard-rows")

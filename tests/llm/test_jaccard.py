@@ -129,3 +129,16 @@ def test_filter_messy(spark):
     with_words = {key[2] for key in want if key[1]}
     assert sorted(k for k, t in kept if shingle_set(t)) == sorted(with_words)
     assert len([k for k, t in kept if not shingle_set(t)]) == sum(n for key, n in want.items() if not key[1])
+
+
+def test_filter_keeps_unlinked_texts_without_id_or_under_one(spark):
+    far = [" ".join(f"t{i}w{j}" for j in range(12)) for i in range(5)]
+    near = far[0] + " more"
+    rows = [(None, t) for t in far] + [(None, near), (None, far[1]), (7, "p q r s t u v w"), (7, "k l m n o p q r"), (7, "k l m n o p q r s"), (8, "p q r s t u v w")]
+    rows += [((1 << 60) + 1, "big one of many words"), ((1 << 60) + 3, "big two of many words"), (9, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [(r.doc_id, r.text) for r in jaccard.keep_one(df).collect()]
+    assert len(kept) == 11 and {k for k, _ in kept} == {None, 7, 9, (1 << 60) + 1, (1 << 60) + 3}
+    texts = {t for _, t in kept}
+    assert set(far[1:]) | {"p q r s t u v w"} <= texts
+    assert len(texts & {far[0], near}) == 1 and len(texts & {"k l m n o p q r", "k l m n o p q r s"}) == 1

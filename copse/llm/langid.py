@@ -7,6 +7,9 @@ for the share of false positives that the language's own fill predicts, and the
 Learning reads a bounded sample of labelled rows, ``SAMPLE_DOCS`` of each language, chosen by a hash. Counting, and
 choosing the ``TOP_GRAMS`` most frequent trigrams of each language, is done by Spark; what reaches the driver is bounded by
 these parameters and the number of languages. Classifying reads every character of every text.
+
+Whether a text is in any learnt language at all is decided by the share of its trigrams that its best language knows. What share to expect
+is taken from labelled documents kept out of learning: those of the language, and those of others that come closest to it.
 """
 
 from __future__ import annotations
@@ -29,6 +32,9 @@ TOP_GRAMS = 8_000
 MIN_RATIO = 0.5
 """A trigram belongs to a language if it is at least this share as frequent there as where it is most frequent."""
 
+DEVIATIONS = 3.0
+"""A text's hits may stay this many standard deviations below the limit, and must be as many above chance, so short texts are judged mildly."""
+
 SLOT_BITS = 18
 PROBES = 2
 MAX_LANGUAGES = 1_024
@@ -85,8 +91,8 @@ class LanguageFilter:
         h *= np.uint64(_MIX[1])
         return [(h >> np.uint64(64 - SLOT_BITS)).astype(np.int64), (h & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)]
 
-    def classify(self, text: str | None) -> tuple[str, float]:
-        """Language and score of one text; ``und`` and 0 without any letter."""
+    def hits(self, text: str | None) -> tuple[int, np.ndarray]:
+        """The number of a text's trigrams, and for each language of those it knows, corrected for false positives."""
         total, hits = 0, np.zeros(len(self.languages))
         for grams in _grams(text or ""):
             total += len(grams)
@@ -95,12 +101,34 @@ class LanguageFilter:
                 found = bits[first] & bits[second]
                 for i in range(64 * w, min(64 * w + 64, len(self.languages))):
                     hits[i] += np.count_nonzero(found & np.uint64(1 << (i % 64)))
+        return total, np.clip((hits - total * self.false_share) / (1 - self.false_share), 0, None)
+
+    def classify(self, text: str | None) -> tuple[str, float]:
+        """Language and score of one text; ``und`` and 0 without any letter."""
+        total, true = self.hits(text)
         if not total or not self.languages:
             return UNKNOWN, 0.0
-        true = np.clip((hits - total * self.false_share) / (1 - self.false_share), 0, None)
         best = int(true.argmax())
         return self.languages[best], float(true[best] / true.sum()) if true.sum() else 0.0
 
+    def knows(self, text: str | None, limits: np.ndarray) -> bool:
+        """Whether the best language's hits are more than chance, and no less than a share ``limits`` of the trigrams would make likely."""
+        total, true = self.hits(text)
+        if not total or not self.languages:
+            return False
+        best = int(true.argmax())
+        limit, false = limits[best], self.false_share[best]
+        chance = DEVIATIONS * np.sqrt(total * false / (1 - false))
+        least = total * limit - DEVIATIONS * np.sqrt(total * limit * (1 - limit))
+        return bool(true[best] > chance and true[best] >= least)
+
+
+def _sampled(rows: DataFrame, sizes: dict[str, int], sample_docs: int) -> DataFrame:
+    """About ``sample_docs`` rows (text, lang, key) of each language, chosen by a hash of the key."""
+    shares = F.create_map(*(F.lit(x) for k, n in sorted(sizes.items()) for x in (k, sample_docs / n)))
+    drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30)
+    return rows.filter(drawn < shares[F.col("lang")]).select("lang", "text")
+
 
 def learn(rows: DataFrame, text: str, lang: str, key: str, sample_docs: int = SAMPLE_DOCS) -> LanguageFilter:
     """Fit the filter on labelled rows.
@@ -116,9 +144,7 @@ def learn(rows: DataFrame, text: str, lang: str, key: str, sample_docs: int = SA
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not sizes:
         return LanguageFilter.of([], [])
-    shares = F.create_map(*(F.lit(x) for k, n in sorted(sizes.items()) for x in (k, sample_docs / n)))
-    drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.filter(drawn < shares[F.col("lang")]).select("lang", "text")
+    sample = _sampled(rows, sizes, sample_docs)
     counts = sample.mapInPandas(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     counts = counts.withColumn("_rank", F.row_number().over(top)).filter(F.col("_rank") <= TOP_GRAMS).drop("_rank")
@@ -160,11 +186,61 @@ def predict(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
     return rows.select("doc_id", "held_out", "_answer.lang_pred", "_answer.score")
 
 
+def known_shares(docs: DataFrame, model: LanguageFilter, doc_id: str, text: str, lang: str, sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
+    """For each language, the share of trigrams that a text in it must have known: midway between the median of its own documents and that
+    of documents of other languages for which it comes next.
+
+    Documents that are not held out are asked only for languages that have no others. Without other languages' documents, the lower end is 0.
+    """
+    key = F.col(f"`{doc_id}`")
+    rows = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"), key.alias("key"), held_out(key).alias("held"))
+    rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isin(model.languages))
+    sizes: dict[str, dict[bool, int]] = {}
+    for r in rows.groupBy("lang", "held").count().collect():
+        sizes.setdefault(r["lang"], {})[r["held"]] = r["count"]
+    if not sizes:
+        return np.zeros(len(model.languages))
+    asked = [F.col("held") & F.col("lang").isin([k for k, n in sizes.items() if True in n]), ~F.col("held") & F.col("lang").isin([k for k, n in sizes.items() if True not in n])]
+    sample = _sampled(rows.filter(asked[0] | asked[1]), {k: n.get(True) or n[False] for k, n in sizes.items()}, sample_docs)
+    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.slices))
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = LanguageFilter(*sent.value)
+        place = {x: i for i, x in enumerate(model.languages)}
+        for batch in batches:
+            found = []
+            for label, t in zip(batch.lang, batch.text, strict=True):
+                total, true = model.hits(t)
+                if not total:
+                    continue
+                own, share = place[label], true / total
+                found.append((label, True, share[own]))
+                share[own] = -1
+                if len(share) > 1:
+                    found.append((model.languages[int(share.argmax())], False, share.max()))
+            yield pd.DataFrame(found, columns=["lang", "own", "share"]).astype({"lang": str, "own": bool, "share": float})
+
+    # Shares in thousandths, so a median needs no more than as many counts.
+    measured = sample.mapInPandas(measure, "lang string, own boolean, share double").withColumn("share", F.round("share", 3))
+    middle = {(r.lang, r.own): r.middle for r in measured.groupBy("lang", "own").agg(F.percentile("share", 0.5).alias("middle")).collect()}
+    ends = [(middle.get((x, True), 0.0), middle.get((x, False), 0.0)) for x in model.languages]
+    return np.array([(own + other) / 2 if own else 0.0 for own, other in ends])
+
+
 def filter_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose text has a language, all columns as they were. Rejected are texts that are ``und`` and those with score 0."""
+    """The rows of ``docs`` whose text is in a learnt language, all columns as they were.
+
+    Rejected are texts without letters, and those of whose trigrams too few are known to their best language (``known_shares``): noise,
+    and languages that were never learnt.
+    """
     key = F.col(f"`{doc_id}`")
     model = learn(docs.filter(~held_out(key)), text, lang, doc_id)
-    answer = classifier(docs.sparkSession, model)(F.col(f"`{text}`"))
+    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.slices, known_shares(docs, model, doc_id, text, lang)))
+
+    def known(texts: pd.Series) -> pd.Series:
+        model, limits = LanguageFilter(*sent.value[:2]), sent.value[2]
+        return pd.Series([model.knows(t, limits) for t in texts], dtype=bool)
+
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    kept = docs.select(whole, answer.alias("_answer")).filter("_answer.score > 0")
+    kept = docs.select(whole, F.pandas_udf(known, "boolean")(F.col(f"`{text}`")).alias("_known")).filter("_known")
     return kept.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns))

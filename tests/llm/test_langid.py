@@ -71,3 +71,18 @@ def test_messy(spark):
     assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
     kept = langid.filter_documents(df)
     assert kept.columns == df.columns and not kept.filter("text is null").count()
+
+
+def test_junk_and_unlearnt_languages_are_rejected(spark, folder):
+    import random
+
+    rng = random.Random(3)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    noise = [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(3, 9))) for _ in range(n)) for n in (60, 400, 3_000) for letters in ("abcdefghijklmnopqrstuvwxyz", "бвгджзклмн", "ᚠᚢᚦᚨᚱᚲ")]
+    finnish = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. "
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa. "
+    greek = "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. "
+    bad = [*noise, finnish, polish, greek, finnish * 50, polish * 50, greek * 50]
+    more = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(bad)], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in langid.filter_documents(docs.unionByName(more)).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}

@@ -30,8 +30,9 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ids of each document's text."""
-    return pieces.encode(_documents(spark, sf_dir)).withColumn("n_ids", F.size("ids"))
+    """The ids of each document's text, and the text that they decode to."""
+    encoded = pieces.encode(_documents(spark, sf_dir)).withColumn("n_ids", F.size("ids"))
+    return pieces.with_decoded(encoded)
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

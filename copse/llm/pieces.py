@@ -248,6 +248,22 @@ def _decoder(spelling: list[bytes]):
     return run
 
 
+def _beside(spelling: list[bytes]):
+    decoded = _decoder(spelling)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(doc_id=batch.doc_id.astype("Int64"), decoded=next(decoded(iter([batch]))).text.to_numpy())
+
+    return run
+
+
+def with_decoded(encoded: DataFrame, path: str | None = None) -> DataFrame:
+    """Rows (doc_id, ids, n_ids) with ``decoded``, the text that ``decode`` gives, beside the ids it comes from; without a shuffle."""
+    schema = "doc_id long, ids array<int>, n_ids int, decoded string"
+    return encoded.select("doc_id", "ids", "n_ids").mapInPandas(_beside(Vocabulary(path).spelling), schema)
+
+
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, text of rows (doc_id, ids): pieces and bytes in order, without the blank put in front. NULL ids are an empty text; bytes that are no UTF-8 become U+FFFD."""
     return encoded.select("doc_id", "ids").mapInPandas(_decoder(Vocabulary(path).spelling), "doc_id long, text string")

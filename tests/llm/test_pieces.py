@@ -72,3 +72,11 @@ def test_viterbi_equals_brute_force(spark):
         assert text == r.word and abs(sum(score[i] for i in known) + low * unknown - best_path(r.word, table)) < 1e-6
     with pytest.raises(ValueError):
         pieces.fold(lattices, vocabulary, "other")
+
+
+def test_query_decodes_to_the_texts(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = catalog.op3_sentencepiece(spark, folder)
+    assert out.columns == ["doc_id", "ids", "n_ids", "decoded"]
+    assert {r.doc_id: r.decoded for r in out.collect()} == {r.doc_id: r.text or "" for r in docs.collect()}
+    assert pieces.with_decoded(pieces.encode(messy.frame(spark)).withColumn("n_ids", F.size("ids"))).count() == messy.frame(spark).count()

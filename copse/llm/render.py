@@ -8,8 +8,10 @@ aligned in columns. Each page is handled on its own, without recursion, so deep
 from __future__ import annotations
 
 import html as entities
+import itertools
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript title meta link iframe object svg math datalist audio video canvas noembed noframes".split())
+HIDDEN = frozenset("head script style template noscript title meta link iframe object datalist audio video canvas noembed noframes".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -46,14 +48,25 @@ IMPLIED = {
     "tfoot": ({"tbody", "thead", "tfoot", "caption", "colgroup"}, {"table"}),
     "body": ({"head"}, {"body"}),
 }
+# Parts of a table, each with those that it may stand in; what is neither a part nor may stand in one goes before the table.
+PARTS = frozenset("table tbody thead tfoot tr".split())
+PART_IN = {
+    **dict.fromkeys(("td", "th"), PARTS), "tr": PARTS - {"tr"},
+    **dict.fromkeys(("tbody", "thead", "tfoot", "caption", "colgroup", "col"), frozenset({"table"})),
+}
+STAYS = frozenset(PART_IN) | {"script", "style", "template"}
+# Of drawings and formulas, what is not shown.
+UNSHOWN = {
+    "svg": frozenset("defs desc metadata symbol clippath lineargradient radialgradient pattern marker mask filter".split()),
+    "math": frozenset({"annotation", "annotation-xml"}),
+}
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
-MAX_CELLS = 100_000
-"""Tables with more cells than this are written row by row without aligning columns."""
+_BARE_VALUE = re.compile(r"=\s*[^\s\"'>]+\Z")
 
 
 class Element:
@@ -83,24 +96,34 @@ def tree(page: str) -> Element:
             if stack[i].name in stop:
                 return
 
+    def back_to(names: frozenset[str]) -> None:
+        while stack[-1].name not in names and len(stack) > 1:
+            opened[stack.pop().name] -= 1
+
+    def add(node: Element | str) -> None:
+        """Append to the open element; in a part of a table, what cannot stand there goes before the table."""
+        if stack[-1].name in PARTS and opened["table"] and (node.strip() if isinstance(node, str) else node.name not in STAYS):
+            table = next(i for i in range(len(stack) - 1, 0, -1) if stack[i].name == "table")
+            stack[table - 1].children.insert(-1, node)  # an open table is the last child
+        else:
+            stack[-1].children.append(node)
+
     at = 0
-    for m in _TAG.finditer(page):
-        if m.start() < at:
-            continue  # inside raw text
+    while m := _TAG.search(page, at):
         if m.start() > at:
-            stack[-1].children.append(entities.unescape(page[at : m.start()]))
+            add(entities.unescape(page[at : m.start()]))
         at = m.end()
         if m[1] is not None:
-            stack[-1].children.append(m[1])
+            add(m[1])
             continue
         if m[3] is None:
             continue
         name = m[3].lower()
         if m[2]:
             if name == "p" and not opened["p"]:
-                stack[-1].children.append(Element("p", {}))
+                add(Element("p", {}))
             elif name == "br":
-                stack[-1].children.append(Element("br", {}))
+                add(Element("br", {}))
             elif name not in ("html", "body"):
                 close_through({name}, {"td", "th", "table"} - {name} if name not in ("table", "tr", "tbody", "thead", "tfoot") else {"table"} - {name})
             continue
@@ -111,8 +134,25 @@ def tree(page: str) -> Element:
             close_through(*IMPLIED[name])
         if name in CLOSES_P:
             close_through({"p"}, SCOPE | {"button"})
+        if opened["table"]:
+            if name in PART_IN:
+                back_to(PART_IN[name])
+                if name in ("td", "th") and stack[-1].name != "tr":
+                    add(Element("tr", {}))
+                    stack.append(stack[-1].children[-1])
+                    opened["tr"] += 1
+            elif name == "table" and stack[-1].name in PARTS:
+                close_through({"table"}, frozenset())
         element = Element(name, _attrs(m[4]))
-        stack[-1].children.append(element)
+        if name == "form" and stack[-1].name in PARTS and opened["table"]:
+            stack[-1].children.append(element)  # holds nothing
+            continue
+        add(element)
+        foreign = [x for x in UNSHOWN if opened[x]]
+        if any(name in UNSHOWN[x] for x in foreign):
+            element.attrs["hidden"] = ""
+        if (foreign or name in UNSHOWN) and m[4].endswith("/") and not _BARE_VALUE.search(m[4]):
+            continue
         if name in RAW:
             end = _RAW_END[name].search(page, at)
             stop = end.start() if end else len(page)
@@ -124,7 +164,7 @@ def tree(page: str) -> Element:
             stack.append(element)
             opened[name] += 1
     if at < len(page):
-        stack[-1].children.append(entities.unescape(page[at:]))
+        add(entities.unescape(page[at:]))
     return root
 
 
@@ -193,42 +233,79 @@ class Writer:
         return "\n".join(self.lines)
 
 
-def _rows(table: Element) -> list[list[Element]]:
-    rows, waiting = [], [c for c in table.children if isinstance(c, Element)][::-1]
-    while waiting:
-        e = waiting.pop()
-        if not visible(e):
+def _sections(table: Element) -> list[list[list[Element]]]:
+    """The rows of each section; rows straight in the table are sections too."""
+    made: list[list[list[Element]]] = [[]]
+    for e in table.children:
+        if not isinstance(e, Element) or not visible(e):
             continue
         if e.name in ("tbody", "thead", "tfoot"):
-            waiting += [c for c in e.children if isinstance(c, Element)][::-1]
+            made += [[_cells(c) for c in e.children if isinstance(c, Element) and c.name == "tr" and visible(c)], []]
         elif e.name == "tr":
-            rows.append([c for c in e.children if isinstance(c, Element) and c.name in ("td", "th") and visible(c)])
-    return rows
+            made[-1].append(_cells(e))
+    return made
+
 
+def _cells(row: Element) -> list[Element]:
+    return [c for c in row.children if isinstance(c, Element) and c.name in ("td", "th") and visible(c)]
 
-def _span(cell: Element) -> int:
-    value = cell.attrs.get("colspan", "")
-    return min(int(value), 1000) if value.isdecimal() and value.isascii() and len(value) < 9 and int(value) else 1
+
+def _rows(table: Element) -> list[list[Element]]:
+    return [row for section in _sections(table) for row in section]
+
+
+def _span(cell: Element, name: str = "colspan", most: int = 1000, zero: int = 1) -> int:
+    value = cell.attrs.get(name, "")
+    return min(int(value), most) or zero if value.isdecimal() and value.isascii() and len(value) < 9 else 1
+
+
+def _grid(table: Element, done: dict[int, str]) -> list[list[tuple[str, int]]]:
+    """Rows of (text, span) with an empty cell where one from a row above reaches down."""
+    out = []
+    for section in _sections(table):
+        down: list[tuple[int, int, int]] = []  # column, span and last row of the cells that reach below their own, from left to right
+        for i, cells in enumerate(section):
+            row, column, more, over = [], 0, [], [d for d in down if d[2] >= i]
+            at = 0
+            for cell in cells:
+                while at < len(over) and over[at][0] <= column:
+                    row.append(("", over[at][1]))
+                    column = over[at][0] + over[at][1]
+                    at += 1
+                span, rows = _span(cell), _span(cell, "rowspan", 65_534, len(section))
+                row.append((done.get(id(cell), ""), span))
+                if rows > 1:
+                    more.append((column, span, i + rows - 1))
+                column += span
+            # To the right of a row's own cells only those that follow at once, so columns stay in place.
+            while cells and at < len(over) and over[at][0] <= column:
+                row.append(("", over[at][1]))
+                column = over[at][0] + over[at][1]
+                at += 1
+            down = sorted(over + more)
+            out.append(row)
+    return out
 
 
 def _align(rows: list[list[tuple[str, int]]]) -> list[str]:
     """Rows of (text, span) as lines; a cell of several lines fills several, and each column is as wide as its widest line."""
     widths: dict[int, int] = {}
     split = [[(text.split("\n"), span) for text, span in row] for row in rows]
-    if sum(map(len, split)) <= MAX_CELLS:
-        for row in split:
-            column = 0
-            for lines, span in row:
-                if span == 1:
-                    widths[column] = max(widths.get(column, 0), *map(width, lines))
-                column += span
+    for row in split:
+        column = 0
+        for lines, span in row:
+            if span == 1:
+                widths[column] = max(widths.get(column, 0), *map(width, lines))
+            column += span
+    columns = sorted(widths)
+    total = [0, *itertools.accumulate(widths[c] for c in columns)]
     out = []
     for row in split:
         for i in range(max((len(lines) for lines, _ in row), default=0)):
             made, column = [], 0
             for lines, span in row:
                 line = lines[i] if i < len(lines) else ""
-                room = sum(widths.get(c, 0) for c in range(column, column + span)) + 3 * (span - 1)
+                room = total[bisect_left(columns, column + span)] - total[bisect_left(columns, column)] + 3 * (span - 1)
                 made.append(line + " " * max(0, room - width(line)))
                 column += span
             out.append(" | ".join(made).rstrip())
@@ -294,9 +371,8 @@ def _render_one(top: Element, done: dict[int, str]) -> str:
                 after.append(("end", None))
             inside = node.children
             if name == "table":
-                rows = _rows(node)
                 inside = [c for c in node.children if not isinstance(c, Element) or c.name not in ("tr", "tbody", "thead", "tfoot", "colgroup")]
-                after.insert(0, ("rows", _align([[(done.get(id(c), ""), _span(c)) for c in row] for row in rows])))
+                after.insert(0, ("rows", _align(_grid(node, done))))
             elif name in ("ul", "ol", "menu", "dir"):
                 start = node.attrs.get("start", "")
                 first = int(start) if re.fullmatch(r"-?[0-9]{1,9}", start or "") else 1
@@ -315,6 +391,9 @@ def _render_one(top: Element, done: dict[int, str]) -> str:
             elif name in ("pre", "textarea", "xmp"):
                 pre += 1
                 after.append(("pre", None))
+            elif name == "text":
+                out.text(" ")
+                after.append(("blank", None))
             elif name == "q":
                 out.text('"')
                 after.append(("quote", None))
@@ -336,6 +415,8 @@ def _render_one(top: Element, done: dict[int, str]) -> str:
             lists.pop()
         elif kind == "pre":
             pre -= 1
+        elif kind == "blank":
+            out.text(" ")
         elif kind == "quote":
             out.text('"')
     return out.result()

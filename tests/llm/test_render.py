@@ -52,6 +52,31 @@ def test_deep_and_broken_pages():
     assert render.render("<" * 10_000 + " a") == "<" * 10_000 + " a" and render.render("<!--" * 5_000) == ""
 
 
+WHOLE = {
+    "<table><thead><th>A<th>B</thead><tbody><td>x<td>y</table>": "A | B\nx | y",
+    "<table><td>x</td></table>": "x",
+    "<table><tr><form><td>x</td></form></tr></table>": "x",
+    "<table><tr>lost<td>x</tr></table>": "lost\n\nx",
+    "<table><tbody>a<tr><div>b</div><td>x</td><b>c</b><td>y</table>z": "a\nb\nc\n\nx | y\n\nz",
+    "<table><tr><table><tr><td>x</table>": "x",
+    "<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>": "a | b\n  | c\nd | e",
+    "<table><tr><td>a<td rowspan=0>b<tr><td>c<tr><td>d</table>": "a | b\nc |\nd |",
+    "<p>a <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>tex</annotation></math>": "a x=1",
+    "<svg><defs/><title/><desc>d</desc><text>one</text><text>two</text></svg> b": "one two b",
+    "<script>for (i = 0; i <n; i++) { // don't\n}</script><p>shown<p title='x'>more": "shown\n\nmore",
+}
+
+
+@pytest.mark.parametrize("page", WHOLE)
+def test_nothing_shown_is_lost(page):
+    assert render.render(page) == WHOLE[page]
+
+
+def test_large_tables_are_aligned():
+    lines = render.render("<table>" + "<tr><td>a<td>b" * 60_000 + "<tr><td>long<td>c</table>").split("\n")
+    assert len(lines) == 60_001 and set(lines[:-1]) == {"a    | b"} and lines[-1] == "long | c"
+
+
 def words_shown(page):
     """The words of a page by a plain rule: everything outside tags but for scripts and the like."""
     import html

@@ -30,6 +30,9 @@ BUCKET_ROWS = 500
 MAX_BUCKETS = 20_000
 """Runs of neighbouring documents are sorted together; the first of each, at most this many, are known to the driver."""
 
+MAX_PART = 512
+"""A longer sentence is cut after words chosen by their hash, one of eight; what is still longer, after so many characters."""
+
 _CELL = "struct<n:int,key:bigint,check:bigint>"
 
 
@@ -44,6 +47,20 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x)))
 
 
+def part_digests(text: Column) -> Column:
+    """Distinct digests of shorter parts, cut where the content says so: lines, their sentences, and parts of these of bounded length."""
+    long = lambda x: F.length(x) > MAX_PART
+    marked = lambda x: F.array_join(F.transform(F.split(x, " "), lambda w: F.when(F.pmod(F.xxhash64(w), F.lit(8)) == 0, F.concat(w, F.lit("\n"))).otherwise(w)), " ")
+    parts = F.split(text, "\n|(?<=[.!?]) +|(?<=[。！？])")
+    parts = F.flatten(F.transform(parts, lambda x: F.when(long(x), F.split(marked(x), "\n ?")).otherwise(F.array(x))))
+    parts = F.flatten(F.transform(parts, lambda x: F.when(long(x), F.regexp_extract_all(x, F.lit(f"(?s).{{1,{MAX_PART}}}"), F.lit(0))).otherwise(F.array(x))))
+    return F.array_distinct(F.transform(F.filter(parts, lambda x: F.length(F.trim(x)) > 0), lambda x: F.xxhash64(x)))
+
+
+KINDS = {"": digests, "_parts": part_digests}
+"""What a text is divided into, by the ending of the columns that hold the comparison."""
+
+
 def _check(key: Column) -> Column:
     return F.xxhash64(key, F.lit(7))
 
@@ -169,7 +186,9 @@ def with_next(docs: DataFrame) -> DataFrame:
 
 
 def compare(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each row.
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each row, and the last four by parts (``_parts``).
+
+    The first four compare paragraphs; those by parts tell near copies also among texts of few or no line ends.
 
     The edited text has its last half (rounded down) replaced by the first as many code points of the next document by descending id. A NULL text counts as
     empty; it has no paragraphs, and two texts without any are alike (1). Repeated rows, and texts under one id, follow each other
@@ -185,7 +204,7 @@ def compare(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     )
     rows = rows.select(
         "doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "text", "edited",
-        digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next")).alias("x"),
+        *(of(F.col(c)).alias(f"{s}{kind}") for kind, of in KINDS.items() for s, c in (("a", "text"), ("e", "edited"), ("x", "next"))),
     )
 
     def all_of(a: Column, e: Column, x: Column) -> Column:
@@ -194,28 +213,33 @@ def compare(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
             peel(subtract(a, e), CELLS).alias("edited"), peel(subtract(a, x), CELLS).alias("next"),
         )
 
-    made = _let(
-        F.struct(sketch(F.col("a"), CELLS).alias("a"), sketch(F.col("e"), CELLS).alias("e"), sketch(F.col("x"), CELLS).alias("x")),
-        lambda s: all_of(s["a"], s["e"], s["x"]),
-    )
-    first = rows.select("doc_id", "n_chars", "edited_sha256", "a", "e", "x", made.alias("m"))
-    first = cut(
-        first.select(
-            F.monotonically_increasing_id().alias("row"), "doc_id", "n_chars", "edited_sha256", F.size("a").alias("n"),
-            F.col("m.fingerprint").alias("fingerprint"), F.col("m.edited_fingerprint").alias("edited_fingerprint"),
-            F.when(F.col("m.edited.done"), F.col("m.edited")).alias("edited"), F.when(F.col("m.next.done"), F.col("m.next")).alias("next"),
-            *(F.when(~(F.col("m.edited.done") & F.col("m.next.done")), F.col(c)).alias(c) for c in ("a", "e", "x")),
-        ),
-        "fingerprints",
-    )
-    retried = retry(first.filter("a is not null").select("row", "a", "e", "x"))
-    joined = first.drop("a", "e", "x").join(retried, "row", "left")
-    side = lambda name, s: F.coalesce(F.col(f"{name}.{s}"), F.col(f"_{name}.{s}"))
-    near = lambda name: likeness(F.col("n"), side(name, "left"), side(name, "right"))
-    return joined.select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        near("edited").cast("double").alias("near_edited"), near("next").cast("double").alias("near_next"),
-    )
+    def made(k: str) -> Column:
+        sketches = F.struct(*(sketch(F.col(f"{s}{k}"), CELLS).alias(s) for s in ("a", "e", "x")))
+        return _let(sketches, lambda s: all_of(s["a"], s["e"], s["x"])).alias(f"m{k}")
+
+    def tried(k: str) -> list[Column]:
+        edited, after = F.col(f"m{k}.edited"), F.col(f"m{k}.next")
+        return [
+            F.size(f"a{k}").alias(f"n{k}"), F.col(f"m{k}.fingerprint").alias(f"fingerprint{k}"), F.col(f"m{k}.edited_fingerprint").alias(f"edited_fingerprint{k}"),
+            F.when(edited["done"], edited).alias(f"edited{k}"), F.when(after["done"], after).alias(f"next{k}"),
+            *(F.when(~(edited["done"] & after["done"]), F.col(f"{s}{k}")).alias(f"{s}{k}") for s in ("a", "e", "x")),
+        ]
+
+    sets = [f"{s}{k}" for k in KINDS for s in ("a", "e", "x")]
+    first = rows.select("doc_id", "n_chars", "edited_sha256", *sets, *(made(k) for k in KINDS))
+    own = F.monotonically_increasing_id().alias("row")
+    first = cut(first.select(own, "doc_id", "n_chars", "edited_sha256", *(c for k in KINDS for c in tried(k))), "fingerprints")
+    joined = first.drop(*sets)
+    for k in KINDS:
+        retried = retry(first.filter(f"a{k} is not null").select("row", *(F.col(f"{s}{k}").alias(s) for s in ("a", "e", "x"))))
+        joined = joined.join(retried.select("row", F.col("_edited").alias(f"_edited{k}"), F.col("_next").alias(f"_next{k}")), "row", "left")
+
+    def near(name: str, k: str) -> Column:
+        side = lambda s: F.coalesce(F.col(f"{name}{k}.{s}"), F.col(f"_{name}{k}.{s}"))
+        return likeness(F.col(f"n{k}"), side("left"), side("right")).cast("double").alias(f"near_{name}{k}")
+
+    answers = [c for k in KINDS for c in (f"fingerprint{k}", f"edited_fingerprint{k}", near("edited", k), near("next", k))]
+    return joined.select("doc_id", "n_chars", "edited_sha256", *answers)
 
 
 def _parts(rows: DataFrame, count: Column, bits: int) -> DataFrame:

@@ -93,3 +93,16 @@ def test_main_path_is_native(spark, folder):
 
     plan = fingerprint.compare(spark.read.parquet(f"{folder}/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_texts_without_line_ends_are_compared_by_parts(spark):
+    sentences = [f"this is sentence number {i} of a text without any line end." for i in range(40)]
+    words = [f"word{i * 7919 % 4_001}" for i in range(3_000)]  # no sentence ends
+    texts = [" ".join(sentences), " ".join([*sentences[:20], "this one differs.", *sentences[21:]]), " ".join(words), " ".join([*words[:1_500], "other", *words[1_501:]]), "x" * 5_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in fingerprint.compare(df).collect()}
+    assert abs(out[1].near_next_parts - 39 / 41) < 1e-9 and out[1].near_next == 0
+    assert out[3].near_next_parts > 0.98 and out[3].near_next == 0
+    assert 0.3 < out[1].near_edited_parts < 0.5 and out[4].near_next_parts == 0
+    long = spark.createDataFrame([(t,) for t in texts], "text string").select(F.size(fingerprint.part_digests(F.col("text"))).alias("n"))
+    assert all(r.n >= 2 for r in long.collect())

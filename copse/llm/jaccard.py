@@ -346,7 +346,9 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 
 def join_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """One row for each row of ``docs`` (doc_id, n_shingles, node, component, component_id), and the verified links between nodes (a, b).
+    """One row for each row of ``docs`` (doc_id, n_shingles, node, component, component_id), and verified links between nodes (a, b).
+
+    The links connect each component but are a subset of all: pairs that a common hub connects are not verified, so links cannot be counted here.
 
     ``component_id`` is the smallest doc_id reachable by links of similarity 0.75 or more, the document's own included. Texts
     that are NULL, empty or without words have no shingles and link with nothing, so each is its own component. Copies are one node;

@@ -91,4 +91,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM m LEFT JOIN v ON v.rid = m.rid
 """
 
-SQL = {"op4_warc": ARCHIVE, "op6_ngram_jaccard": JACCARD, "op9_quality_rules": QUALITY}
+
+
+def _told(*values: str) -> str:
+    """Digest of values written as a length, a colon and a text."""
+    return "sha256(concat(" + ", ".join(f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR) END" for v in values) + "))"
+
+
+# CRC-32 of the id's decimal text, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(doc_id AS VARCHAR)[i]) AS BIGINT))),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)))))"""
+
+MANIFEST = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, {_told("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+    CASE WHEN n_chars IS NOT NULL AND {_CRC} % 7 = 0 THEN {_told("doc_id", "source", "lang", "(n_chars + 1)", "text")} END AS changed
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM d),
+tree(lang, level, pos, h, n) AS (
+  SELECT lang, 0, pos, leaf, n FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2 FROM tree WHERE n > 1 GROUP BY lang, level, pos // 2),
+subroots AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1),
+upper(level, pos, h, n) AS (
+  SELECT 0, pos, subroot, n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2 FROM upper WHERE n > 1 GROUP BY level, pos // 2),
+path(rid, lang, level, pos, n, h, beside) AS (
+  SELECT rid, lang, 0, pos, n, coalesce(changed, leaf), '' FROM leaves
+  UNION ALL
+  SELECT p.rid, p.lang, p.level + 1, p.pos // 2, (p.n + 1) // 2,
+    sha256(CASE WHEN p.pos % 2 = 1 THEN coalesce(s.h, '') || p.h ELSE p.h || coalesce(s.h, '') END), p.beside || coalesce(s.h, '')
+  FROM path p LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM p.lang AND s.level = p.level AND s.pos = xor(p.pos, 1) WHERE p.n > 1),
+rest(rid, level, pos, n, h, beside) AS (
+  SELECT p.rid, 0, s.pos, s.n, p.h, p.beside FROM path p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang WHERE p.n = 1
+  UNION ALL
+  SELECT p.rid, p.level + 1, p.pos // 2, (p.n + 1) // 2,
+    sha256(CASE WHEN p.pos % 2 = 1 THEN coalesce(s.h, '') || p.h ELSE p.h || coalesce(s.h, '') END), p.beside || coalesce(s.h, '')
+  FROM rest p LEFT JOIN upper s ON s.level = p.level AND s.pos = xor(p.pos, 1) WHERE p.n > 1)
+SELECT d.doc_id, d.leaf, s.subroot, t.h AS root, sha256(r.beside) AS proof_sha256, r.h AS folded_root, r.h = t.h AS verified
+FROM d JOIN subroots s ON s.lang IS NOT DISTINCT FROM d.lang JOIN rest r ON r.rid = d.rid AND r.n = 1 JOIN upper t ON t.n = 1
+"""
+
+SQL = {"op13_merkle_manifest": MANIFEST, "op4_warc": ARCHIVE, "op6_ngram_jaccard": JACCARD, "op9_quality_rules": QUALITY}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from copse.llm import fingerprint, jaccard, langid, licenses, merkle, packing, pieces, quality, render, sharding, slack, twins, warc
+from copse.llm import fingerprint, jaccard, langid, licenses, merkle, negatives, packing, pieces, quality, render, sharding, slack, twins, warc
 
 SHARDS = [f"shard-{i:04d}" for i in range(256)]
 
@@ -67,6 +67,10 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slack.pack(_documents(spark, sf_dir))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(_documents(spark, sf_dir))
 
@@ -75,7 +79,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_sharding, op2_language_id, op3_sentencepiece, op4_warc, op5_license_scan, op6_ngram_jaccard, op7_html_text,
-        op8_packing, op9_quality_rules, op10_fingerprints, op11_best_fit_packing, op13_merkle_manifest,
+        op8_packing, op9_quality_rules, op10_fingerprints, op11_best_fit_packing, op12_hard_negatives, op13_merkle_manifest,
     )
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from copse.llm import quality
+from copse.llm import negatives, quality
 
 ARCHIVE = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
@@ -134,4 +134,20 @@ SELECT d.doc_id, d.leaf, s.subroot, t.h AS root, sha256(r.beside) AS proof_sha25
 FROM d JOIN subroots s ON s.lang IS NOT DISTINCT FROM d.lang JOIN rest r ON r.rid = d.rid AND r.n = 1 JOIN upper t ON t.n = 1
 """
 
-SQL = {"op13_merkle_manifest": MANIFEST, "op4_warc": ARCHIVE, "op6_ngram_jaccard": JACCARD, "op9_quality_rules": QUALITY}
+NEGATIVES = f"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor({negatives.SCALE} * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= {negatives.POSITIVES})
+SELECT p.anchor_id, p.other AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS INTEGER) AS rank,
+  n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND {negatives.FARTHEST} * p.score <= 100 * n.score AND 100 * n.score <= {negatives.CLOSEST} * p.score
+QUALIFY rank <= {negatives.NEGATIVES}
+"""
+
+SQL = {"op12_hard_negatives": NEGATIVES, "op13_merkle_manifest": MANIFEST, "op4_warc": ARCHIVE, "op6_ngram_jaccard": JACCARD, "op9_quality_rules": QUALITY}

@@ -113,9 +113,24 @@ def test_order_statistics_of_odd_values(spark):
     values = [0.0, -0.0, 1.0, 1.0, 1.0, -1.0, tiny, -tiny, 2 * tiny, huge, -huge, math.inf, -math.inf, math.nan, None, 0.1, 0.1 + 1e-17, 1e-300, 3.0]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     plain = sorted(v for v in values if v is not None and not math.isnan(v))
-    got = order_statistics(df, [F.col("v"), F.col("v") * 0], lambda n: range(n), grid=400)
+    got = order_statistics(df, [F.col("v"), F.col("v") * 0], lambda n: range(n))
     assert got[0] == plain and len(got[1]) == 15
     assert order_statistics(df.filter("v is null"), [F.col("v")], lambda n: [0]) == [[]]
+    ends = spark.createDataFrame([(1.7976931348623157e308,), (math.inf,), (-5e-324,), (-0.0,)], "v double")
+    assert order_statistics(ends, [F.col("v")], lambda n: range(n)) == [[-5e-324, 0.0, 1.7976931348623157e308, math.inf]]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_order_statistics_of_random_bits(spark, seed):
+    """Doubles of any exponent, many equal: every rank, in six rounds at most (the search ends by itself)."""
+    rng = np.random.default_rng(seed)
+    values = rng.integers(0, 2**64, 400, dtype=np.uint64).view(np.float64)
+    values = np.concatenate([values[np.isfinite(values)], rng.integers(-3, 3, 200) * 0.1])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    plain = (np.sort(values) + 0.0).tolist()
+    got = order_statistics(df, [F.col("v"), -F.col("v")], lambda n: [0, 7, n // 2, n - 1], rounds=6)
+    n = len(plain)
+    assert got == [[plain[i] for i in (0, 7, n // 2, n - 1)], [-plain[n - 1 - i] + 0.0 for i in (0, 7, n // 2, n - 1)]]
 
 
 def test_quantile_splits_are_consistent_with_routing(sample):

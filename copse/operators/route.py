@@ -1,16 +1,15 @@
 """Trees as constants of a plan, and the walk of a row from the root to its leaf.
 
 A tree has at most ``2**(depth+1)`` nodes and comes from the driver anyway, so
-it enters a plan as literal arrays. The walk is one higher-order expression:
-no join, no shuffle, and a plan that does not grow with depth or tree count.
+it enters a plan as literal arrays: no join, no shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROOT = 1
@@ -71,41 +70,31 @@ def literal_array(values: Sequence, kind: str) -> Column:
     return F.split(F.lit(",".join(map(_text, values))), ",").cast(f"array<{kind}>")
 
 
-def walk(tree: Tree, x: Column) -> Column:
-    """Position (in the tree's node order) where the row with feature array ``x`` ends."""
-    if tree.height == 0:
-        return F.lit(0)
-    feature = literal_array(tree.feature, "int")
-    split = literal_array(tree.split, "double")
-    left = literal_array(tree.left, "int")
-
-    def step(at: Column, _: Column) -> Column:
-        # Right if above the split; a missing value counts as NaN, above all else.
-        value = F.coalesce(F.get(x, F.get(feature, at)), F.lit(float("nan")))
-        return F.get(left, at) + F.when(value > F.get(split, at), 1).otherwise(0)
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(tree.height)), F.lit(0), step)
-
-
-def leaf_of(tree: Tree, x: Column) -> Column:
-    """Heap number of the leaf."""
-    return F.get(literal_array(tree.heap, "bigint"), walk(tree, x))
-
-
-def value_of(tree: Tree, x: Column) -> Column:
-    """Output of the leaf; NaN where it is undefined."""
-    return F.get(literal_array(tree.value, "double"), walk(tree, x))
+def features_array(used: set[int], total: int) -> Column:
+    """Feature array with NULL for columns no tree looks at, so scans can skip them."""
+    return F.array(*[F.col(f"x{i}") if i in used else F.lit(None).cast("double") for i in range(total)])
 
 
-def bound(x: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(x)`` with the array ``x`` built once per row.
+def descend(rows: DataFrame, tree: Tree, total: int, since: int = 0) -> DataFrame:
+    """Add ``node``, the position (in the tree's node order) where each row ends.
 
-    Written straight into a walk, the array would be built anew at every step;
-    as a lambda argument it is a plain variable there.
+    With ``since`` the rows have a ``node`` already, as far as that depth. There is one projection for each level; they are compiled into
+    one loop over the rows, with the tree's arrays as constants, and each looks at one node.
     """
-    return F.get(F.transform(F.array(x), use), F.lit(0))
-
-
-def features_array(used: set[int], total: int) -> Column:
-    """Feature array with NULL for columns no tree looks at, so scans can skip them."""
-    return F.array(*[F.col(f"x{i}") if i in used else F.lit(None).cast("double") for i in range(total)])
+    if not since:
+        rows = rows.withColumn("node", F.lit(0))
+    if tree.height == since:
+        return rows
+    feature, split, left = literal_array(tree.feature, "int"), literal_array(tree.split, "double"), literal_array(tree.left, "int")
+    rows = rows.withColumn("_x", features_array(tree.used_features(), total))
+    at = F.col("node")
+    # Right if above the split; a missing value counts as NaN, above all else.
+    value = F.coalesce(F.get("_x", F.get(feature, at)), F.lit(float("nan")))
+    for _ in range(since, tree.height):
+        rows = rows.withColumn("node", F.get(left, at) + F.when(value > F.get(split, at), 1).otherwise(0))
+    return rows.drop("_x")
+
+
+def leaf_output(tree: Tree) -> Column:
+    """Output of the leaf in ``node``; NaN where it is undefined."""
+    return F.get(literal_array(tree.value, "double"), F.col("node"))

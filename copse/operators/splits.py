@@ -3,7 +3,9 @@
 Rows come with ``node, g, h`` and, per feature ``i``, a value column ``x<i>``
 and a bucket column ``b<i>``. Every search sums the rows of a bucket on the map
 side, so a shuffle carries ``nodes * features * buckets`` cells at most, and
-prefix sums over the cells of one node and feature are short windows.
+prefix sums over the cells of one node and feature are short windows. All sums
+are exact (see ``sums``), so the same rows give the same splits on any
+partitioning, and candidates that part the rows alike have equal gains.
 """
 
 from __future__ import annotations
@@ -20,9 +22,8 @@ from ..params import BoostParams
 from ..session import BROADCAST_ROWS, broadcast_if_small, cut
 from . import bins
 from .route import literal_array
+from .sums import SUMS, parts, real, reals, totals
 
-GAIN_STEPS = 1e9
-"""Gains are compared in steps of one over this: nine decimal places."""
 FINE_BLOCK_ROWS = 2_000_000
 SUB_QUANTILES = 255
 
@@ -42,24 +43,22 @@ class Split:
 
 
 def by_feature(rows: DataFrame, features: Sequence[int], buckets: bool = True) -> DataFrame:
-    """One row per row and feature: ``node, g, h, f, [b,] v``."""
-    parts: list[Column] = []
+    """One row per row and feature: ``node``, parts of ``g`` and ``h``, ``f, [b,] v``."""
+    stacked: list[Column] = []
     for i in features:
-        parts += [F.lit(i), *([F.col(f"b{i}")] if buckets else []), F.col(f"x{i}")]
+        stacked += [F.lit(i), *([F.col(f"b{i}")] if buckets else []), F.col(f"x{i}")]
     names = ("f", "b", "v") if buckets else ("f", "v")
-    return rows.select("node", "g", "h", F.stack(F.lit(len(features)), *parts).alias(*names))
+    return rows.select("node", *parts(), F.stack(F.lit(len(features)), *stacked).alias(*names))
 
 
 def value_cells(long_rows: DataFrame, *keys: str) -> DataFrame:
     """Gradient, hessian and row count of every distinct value."""
-    return long_rows.groupBy("node", "f", *keys, "v").agg(
-        F.sum("g").alias("g"), F.sum("h").alias("h"), F.count("*").alias("n")
-    )
+    return long_rows.groupBy("node", "f", *keys, "v").agg(*totals())
 
 
 def node_hist(rows: DataFrame, features: Sequence[int]) -> DataFrame:
-    """Sums per node, feature and distinct value."""
-    return value_cells(by_feature(rows, features, buckets=False))
+    """Sums per node, feature and distinct value, as numbers ``g, h, n`` and in exact parts."""
+    return value_cells(by_feature(rows, features, buckets=False)).selectExpr("*", *reals(""))
 
 
 def _gain(params: BoostParams) -> Column:
@@ -83,7 +82,9 @@ def _valid(df: DataFrame, params: BoostParams) -> DataFrame:
 
 
 def _right_side(df: DataFrame) -> DataFrame:
-    return df.selectExpr("*", *[f"{c}_all - {c}l AS {c}r" for c in ("g", "h", "n")])
+    """What is not left, and both sides as numbers."""
+    sides = df.selectExpr("*", *[f"{c}_all - {c}l AS {c}r" for c in SUMS])
+    return sides.selectExpr("*", *reals("l", "r"))
 
 
 def _over(group: Sequence[str], order: str, frame: str) -> str:
@@ -92,7 +93,7 @@ def _over(group: Sequence[str], order: str, frame: str) -> str:
 
 def _running(group: Sequence[str], order: str, suffix: str) -> list[str]:
     run = _over(group, order, "CURRENT ROW")
-    return [f"sum({c}) {run} AS {c}{suffix}" for c in ("g", "h", "n")]
+    return [f"sum({c}) {run} AS {c}{suffix}" for c in SUMS]
 
 
 def _next(group: Sequence[str], order: str, value: str, name: str) -> str:
@@ -102,13 +103,12 @@ def _next(group: Sequence[str], order: str, value: str, name: str) -> str:
 def _prefix(cells: DataFrame, group: Sequence[str], order: str, *more: str) -> DataFrame:
     """Left sums up to and including each cell, and the totals of its group."""
     whole = _over(group, order, "UNBOUNDED FOLLOWING")
-    totals = [f"sum({c}) {whole} AS {c}_all" for c in ("g", "h", "n")]
-    return cells.selectExpr("*", *_running(group, order, "l"), *totals, *more)
+    over_all = [f"sum({c}) {whole} AS {c}_all" for c in SUMS]
+    return cells.selectExpr("*", *_running(group, order, "l"), *over_all, *more)
 
 
-# Order of preference: highest gain after rounding off float noise, then the
-# smaller feature, then the smaller split value.
-_BEST = f"struct(-rint(gain * {GAIN_STEPS!r}D) AS key, f, split, gain, gl, hl, nl, gr, hr, nr)"
+# Order of preference: highest gain, then the smaller feature, then the smaller split value.
+_BEST = "struct(-gain AS key, f, split, gain, gl, hl, nl, gr, hr, nr)"
 
 
 def best_of(candidates: DataFrame) -> DataFrame:
@@ -139,11 +139,11 @@ def exact_candidates(hist: DataFrame, params: BoostParams) -> DataFrame:
     before, whole = _over(over_parts, "part", "1 PRECEDING"), _over(over_parts, "part", "UNBOUNDED FOLLOWING")
     offsets = (
         parts.groupBy("part", "node", "f")
-        .agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"), F.min("v").alias("lo"))
+        .agg(*[F.sum(c).alias(c) for c in SUMS], F.min("v").alias("lo"))
         .selectExpr(
             *inside,
-            *[f"coalesce(sum({c}) {before}, 0) AS {c}_off" for c in ("g", "h", "n")],
-            *[f"sum({c}) {whole} AS {c}_all" for c in ("g", "h", "n")],
+            *[f"coalesce(sum({c}) {before}, 0) AS {c}_off" for c in SUMS],
+            *[f"sum({c}) {whole} AS {c}_all" for c in SUMS],
             _next(over_parts, "part", "lo", "lo_next"),
         )
     )
@@ -155,7 +155,7 @@ def exact_candidates(hist: DataFrame, params: BoostParams) -> DataFrame:
 
 
 def _with_offsets(df: DataFrame) -> DataFrame:
-    return df.selectExpr("*", *[f"{c}_run + {c}_off AS {c}l" for c in ("g", "h", "n")])
+    return df.selectExpr("*", *[f"{c}_run + {c}_off AS {c}l" for c in SUMS])
 
 
 def _with_midpoint(df: DataFrame) -> DataFrame:
@@ -171,11 +171,7 @@ def quantile_candidates(rows: DataFrame, features: Sequence[int], cuts, params:
     features = [i for i in features if cuts[i]]
     if not features:
         return _none_of(rows)
-    cells = (
-        by_feature(rows, features)
-        .groupBy("node", "f", "b")
-        .agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count("*").alias("n"))
-    )
+    cells = by_feature(rows, features).groupBy("node", "f", "b").agg(*totals())
     listed = _right_side(_prefix(cells, ("node", "f"), "b"))
     # All cuts in one array, each feature's from its own start.
     flat = literal_array([c for cs in cuts for c in cs], "double")
@@ -197,15 +193,15 @@ def histogram_candidates(rows: DataFrame, features: Sequence[int], params: Boost
     )
     k = params.num_bins
     ranged = rows.join(broadcast_if_small(ranges, node_limit), "node")
-    parts: list[Column] = []
+    stacked: list[Column] = []
     for i in features:
-        parts += [F.lit(i), F.col(f"x{i}"), F.col(f"lo{i}"), F.col(f"hi{i}")]
-    long_rows = ranged.select("node", "g", "h", F.stack(F.lit(len(features)), *parts).alias("f", "v", "lo", "hi"))
+        stacked += [F.lit(i), F.col(f"x{i}"), F.col(f"lo{i}"), F.col(f"hi{i}")]
+    long_rows = ranged.select("node", *parts(), F.stack(F.lit(len(features)), *stacked).alias("f", "v", "lo", "hi"))
     v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
     cells = (
         long_rows.withColumn("b", F.when(F.isnan(v), k).otherwise(bins.equal_width_bin(v, lo, hi, k)))
         .groupBy("node", "f", "b", "lo", "hi")
-        .agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count("*").alias("n"))
+        .agg(*totals())
     )
     listed = _right_side(_prefix(cells, ("node", "f"), "b")).withColumn(
         "split", F.when(F.col("b") < k - 1, bins.equal_width_edge(lo, hi, F.col("b") + 1, k))
@@ -234,6 +230,7 @@ def _judge(blocks: DataFrame, best: dict[int, Split], params: BoostParams) -> Da
     and a corner without a defined gain counts as unbounded.
     """
     lam, gamma = params.reg_lambda, params.gamma
+    blocks = blocks.selectExpr("*", *reals("", "_all"), f"{real('p')} AS gp")
     if best:
         first, last = min(best), max(best)
         gains = [best[i].gain if i in best else None for i in range(first, last + 1)]
@@ -255,11 +252,11 @@ def _judge(blocks: DataFrame, best: dict[int, Split], params: BoostParams) -> Da
 
 
 def _blocks(long_rows: DataFrame, *outer: str) -> DataFrame:
+    rising = F.col("g1") >= 0
     return long_rows.groupBy("node", "f", *outer, "b").agg(
-        F.sum("g").alias("g"),
-        F.sum("h").alias("h"),
-        F.count("*").alias("n"),
-        F.sum(F.greatest("g", F.lit(0.0))).alias("gp"),
+        *totals(),
+        F.sum(F.when(rising, F.col("g1")).otherwise(0)).alias("p1"),
+        F.sum(F.when(rising, F.col("g0")).otherwise(0)).alias("p0"),
         F.min("v").alias("lo"),
         F.max("v").alias("hi"),
     )
@@ -274,7 +271,7 @@ def _with_edges(blocks: DataFrame, params: BoostParams) -> DataFrame:
 
 def _merge(best: dict[int, Split], found: Sequence[Split]) -> None:
     def key(s: Split) -> tuple:
-        return -round(s.gain * GAIN_STEPS), s.f, s.split
+        return -s.gain, s.f, s.split
 
     for s in found:
         if s.node not in best or key(s) < key(best[s.node]):
@@ -334,8 +331,8 @@ def exact_best(
             open_features = sorted({f for r in found for f in r["f"]})
             alive = blocks.filter("alive")
             base = alive.select(
-                "node", "f", "b", "g_all", "h_all", "n_all",
-                *[(F.col(f"{c}l") - F.col(c)).alias(f"{c}_off") for c in ("g", "h", "n")],
+                "node", "f", "b", *[f"{c}_all" for c in SUMS],
+                *[(F.col(f"{c}l") - F.col(c)).alias(f"{c}_off") for c in SUMS],
             )
             hinted = count <= broadcast_rows
             base = base.hint("broadcast") if hinted else base
@@ -368,7 +365,7 @@ def _subdivide(undecided: DataFrame, base: DataFrame, hinted: bool) -> tuple[Dat
     sketches = sketches.hint("broadcast") if hinted else sketches
     width = 2 * (SUB_QUANTILES + 1)
     finer = undecided.join(sketches, ["node", "f", "b"]).select(
-        "node", "g", "h", "f", F.col("b").cast("long").alias("outer"), "v",
+        "node", *SUMS[:-1], "f", F.col("b").cast("long").alias("outer"), "v",
         (F.col("b").cast("long") * width + bins.search(F.col("cuts"), F.col("v"), SUB_QUANTILES)).alias("b"),
     )
     group = ("node", "f", "outer")

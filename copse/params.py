@@ -33,16 +33,14 @@ class BoostParams:
     """Margin every row starts from while fitting; ``None`` starts from the log-odds."""
     score_margin: float = 0.0
     seed: int = 0
-    trees_per_write: int = 4
-    """Trees whose margin updates are recomputed on the fly before rows are rewritten."""
 
     def __post_init__(self) -> None:
         if self.method not in METHODS:
             raise ValueError(f"method must be one of {METHODS}")
         if not 0 <= self.depth <= 60:
             raise ValueError("depth must be between 0 and 60")
-        if self.trees < 0 or self.trees_per_write < 1:
-            raise ValueError("trees must be >= 0 and trees_per_write >= 1")
+        if self.trees < 0:
+            raise ValueError("trees must be >= 0")
         if self.method == "histogram" and self.num_bins < 1:
             raise ValueError("num_bins must be >= 1")
         if self.method == "quantile" and not 0 < self.eps < 1:

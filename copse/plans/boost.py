@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..operators import bins, splits
+from ..operators import bins, scoring
 from ..operators.rank import row_sample
-from ..operators.route import Tree, bound, features_array, leaf_of, value_of
+from ..operators.route import ROOT, Tree, descend, leaf_output
 from ..operators.tree import grow, sample_columns
 from ..params import BoostParams
 from ..session import cut_to, new_folder, remove_folder
@@ -34,17 +34,10 @@ class BoostedModel:
 
     # --- scoring: one projection, for batch and streaming frames alike ---------------
 
-    def _x(self) -> Column:
-        used = set().union(*[t.used_features() for t in self.trees])
-        return F.array(
-            *[F.col(c).cast("double") if i in used else F.lit(None).cast("double") for i, c in enumerate(self.features)]
-        )
-
     def margin(self) -> Column:
-        def total(x: Column) -> Column:
-            return added(F.lit(float(self.params.score_margin)), [value_of(t, x) for t in self.trees], self.params)
-
-        return bound(self._x(), total)
+        if not self.trees:
+            return F.lit(float(self.params.score_margin))
+        return scoring.margin(self.trees, self.features, float(self.params.score_margin), float(self.params.learning_rate))
 
     def probability(self) -> Column:
         """Probability of class 1; 0.0 for a model without trees."""
@@ -55,11 +48,8 @@ class BoostedModel:
 
     def predict_leaf(self, df: DataFrame, tree_id: int, leaf: str = "leaf", value: str = "leaf_value") -> DataFrame:
         """Leaf number and output of one tree."""
-        x = self._x()
-        tree = self.trees[tree_id]
-        return df.withColumns(
-            {leaf: bound(x, lambda a: leaf_of(tree, a)), value: bound(x, lambda a: value_of(tree, a))}
-        )
+        found = df.withColumn("_leaf", scoring.leaf(self.trees[tree_id], self.features))
+        return found.withColumns({leaf: F.col("_leaf.leaf"), value: F.col("_leaf.value")}).drop("_leaf")
 
     # --- tables ----------------------------------------------------------------------
 
@@ -160,22 +150,37 @@ def prepare(df: DataFrame, features: Sequence[str], label: str | Column, params:
         label.cast("int").alias("label"),
     )
     path = new_folder(df.sparkSession, "training")
-    base = cut_to(plain, path)
+    data = Training(cut_to(plain, path), None, path)
+    try:
+        data.keep(_started(data, names, buckets, params))
+    except BaseException:
+        data.release()
+        raise
+    return data
+
+
+def _started(data: Training, names: list[str], buckets: list[str], params: BoostParams) -> DataFrame:
+    """The rows with bucket numbers, if the method has any, and with the margin, gradient and hessian they start from."""
+    base = data.rows
     missing = F.greatest(*[F.col(c).isNull().cast("int") for c in ("label", *names)], F.lit(0))
-    checked = base.agg(F.count("*").alias("n"), F.sum(missing).alias("bad")).first()
-    if not checked["n"] or checked["bad"]:
-        remove_folder(df.sparkSession, path)
-        if not checked["n"]:
-            raise ValueError("no rows to fit on")
+    one = F.count_if(F.col("label") == 1)
+    checked = base.agg(
+        F.count("*").alias("n"), F.sum(missing).alias("bad"), scalars.log_odds(one, F.count("*") - one).alias("log_odds")
+    ).first()
+    if not checked["n"]:
+        raise ValueError("no rows to fit on")
+    if checked["bad"]:
         raise ValueError(f"{checked['bad']} rows have a missing label or feature; impute or drop them first")
-    data = Training(base, None, path)
+    start = checked["log_odds"] if params.train_margin is None else params.train_margin
+    if start is None:
+        raise ValueError("the log-odds of one class alone are undefined")
     if params.method == "exact":
         data.cuts = bins.quantile_cuts(base, names, bins.quantile_points(bins.BLOCK_QUANTILES), bins.BLOCK_ROUNDS)
-        data.keep(bins.with_blocks(base, names, buckets, data.cuts))
+        base = bins.with_blocks(base, names, buckets, data.cuts)
     elif params.method == "quantile":
         data.cuts = bins.quantile_cuts(base, names, bins.eps_points(params.eps))
-        data.keep(bins.with_right_closed_bins(base, names, buckets, data.cuts))
-    return data
+        base = bins.with_right_closed_bins(base, names, buckets, data.cuts)
+    return _with_gradients(base.withColumn("margin", F.lit(float(start))))
 
 
 def _with_gradients(rows: DataFrame) -> DataFrame:
@@ -193,10 +198,8 @@ def fit(
 ) -> BoostedModel:
     """Fit ``params.trees`` trees one after the other.
 
-    Margins of the last few trees are recomputed from the trees in each pass;
-    every ``trees_per_write`` trees the rows are rewritten with their margin,
-    which bounds that work and cuts the lineage. The losses come out of the
-    same write, and out of one closing pass for the trees after the last one.
+    After each tree the rows are rewritten with their new margin, gradient and hessian, which cuts the lineage; the
+    tree's loss comes out of the same pass. Once an output is undefined (a leaf whose denominator is zero), no later tree has a split.
     """
     if params.subsample_rows is not None:
         if row_id is None:
@@ -214,67 +217,28 @@ def fit(
 
 
 def _boost(model: BoostedModel, data: Training, total: int, params: BoostParams) -> None:
-    start = params.train_margin
-    if start is None:
-        one = F.count_if(F.col("label") == 1)
-        start = data.rows.agg(scalars.log_odds(one, F.count("*") - one)).first()[0]
-        if start is None:
-            raise ValueError("the log-odds of one class alone are undefined")
-    rows = data.rows.withColumn("margin", F.lit(float(start)))
-    pending: list[Tree] = []
     for tree_id in range(params.trees):
         began = time.monotonic()
         chosen = sample_columns(total, params.subsample_cols, params.seed, tree_id)
-        scored = _with_gradients(_advance(rows, pending, total, params))
-        tree = grow(scored, total, chosen, params, data.cuts)
+        if all(None not in (t.value[i] for i in range(len(t.heap)) if t.is_leaf(i)) for t in model.trees):
+            tree = grow(data.rows, total, chosen, params, data.cuts)
+        else:
+            tree = Tree(features=chosen)
+            tree.add(ROOT, 0, model.trees[0].n[0], float("nan"), float("nan"))
+            tree.value[0] = float("nan")
         model.trees.append(tree)
-        model.elapsed_ms.append((time.monotonic() - began) * 1000.0)
-        pending.append(tree)
+        moved = descend(data.rows, tree, total).withColumn("_out", leaf_output(tree))
         if tree_id == params.trees - 1:
-            model.losses += list(_losses(rows, pending, total).first())
-        elif len(pending) == params.trees_per_write:
-            loss = Observation("loss")
-            moved = _advance(rows, pending, total, params, leaves=True)
-            data.keep(moved.observe(loss, *_loss_columns(len(pending))).drop("leaves"))
-            model.losses += [loss.get[f"loss{i}"] for i in range(len(pending))]
-            rows, pending = data.rows, []
-
-
-def _advance(rows: DataFrame, trees: Sequence[Tree], total: int, params: BoostParams, leaves: bool = False) -> DataFrame:
-    """Add the trees' share to the margin; ``leaves`` keeps the array of their outputs too."""
-    if not trees:
-        return rows
-    rows = rows.withColumn("leaves", _outputs(trees, total))
-    margin = added(F.col("margin"), [F.get("leaves", F.lit(i)) for i in range(len(trees))], params)
-    moved = rows.withColumn("margin", margin)
-    return moved if leaves else moved.drop("leaves")
-
-
-def added(start: Column, values: Sequence[Column], params: BoostParams) -> Column:
-    """Margin after adding each tree's shrunken output, in the order of the trees."""
-    for v in values:
-        start = start + F.lit(float(params.learning_rate)) * v
-    return start
-
-
-def _used(trees: Sequence[Tree]) -> set[int]:
-    return set().union(*[t.used_features() for t in trees])
-
-
-def _outputs(trees: Sequence[Tree], total: int) -> Column:
-    """Array of the trees' raw outputs for a row."""
-    return bound(features_array(_used(trees), total), lambda a: F.array(*[value_of(t, a) for t in trees]))
+            loss = moved.agg(rmse(F.col("label"), F.col("_out")).alias("loss")).first()["loss"]
+        else:
+            seen = Observation("loss")
+            moved = moved.observe(seen, rmse(F.col("label"), F.col("_out")).alias("loss"))
+            data.keep(_with_gradients(moved.withColumn("margin", F.col("margin") + F.lit(float(params.learning_rate)) * F.col("_out")).drop("node", "_out")))
+            loss = seen.get["loss"]
+        model.losses.append(loss)
+        model.elapsed_ms.append((time.monotonic() - began) * 1000.0)
 
 
 def rmse(label: Column, output: Column) -> Column:
     """Root mean squared distance between a label and one tree's raw output."""
     return F.sqrt(F.avg((label - output) * (label - output)))
-
-
-def _loss_columns(count: int) -> list[Column]:
-    return [rmse(F.col("label"), F.get("leaves", F.lit(i))).alias(f"loss{i}") for i in range(count)]
-
-
-def _losses(rows: DataFrame, trees: Sequence[Tree], total: int) -> DataFrame:
-    out = rows.select("label", _outputs(trees, total).alias("leaves"))
-    return out.agg(*_loss_columns(len(trees)))

@@ -7,7 +7,12 @@ import math
 import numpy as np
 
 
-def best_split(x, g, h, idx, lam, gamma, digits=9, min_leaf=None, min_child_weight=None):
+def total(values):
+    """The sum of the values' multiples of 2^-52, without rounding until the end."""
+    return sum(math.floor(v * 2.0**52) for v in values.tolist()) / 2.0**52
+
+
+def best_split(x, g, h, idx, lam, gamma, min_leaf=None, min_child_weight=None):
     best = None
     for f in range(x.shape[1]):
         v = x[idx, f]
@@ -15,8 +20,8 @@ def best_split(x, g, h, idx, lam, gamma, digits=9, min_leaf=None, min_child_weig
         for a, b in zip(values[:-1], values[1:]):
             s = (a + b) / 2
             left = v <= s
-            gl, hl = g[idx][left].sum(), h[idx][left].sum()
-            gr, hr = g[idx][~left].sum(), h[idx][~left].sum()
+            gl, hl = total(g[idx][left]), total(h[idx][left])
+            gr, hr = total(g[idx][~left]), total(h[idx][~left])
             nl, nr = int(left.sum()), int((~left).sum())
             if min_leaf is not None and min(nl, nr) < min_leaf:
                 continue
@@ -25,21 +30,21 @@ def best_split(x, g, h, idx, lam, gamma, digits=9, min_leaf=None, min_child_weig
             if 0 in (hl + lam, hr + lam, hl + hr + lam):
                 continue
             gain = 0.5 * (gl * gl / (hl + lam) + gr * gr / (hr + lam) - (gl + gr) ** 2 / (hl + hr + lam)) - gamma
-            key = (-(round(gain, digits) if digits is not None else gain), f, s)
+            key = (-gain, f, s)
             if best is None or key < best[0]:
                 best = (key, f, s, gain)
     return best
 
 
-def grow(x, g, h, depth, lam, gamma, min_gain=None, digits=9, **rules):
+def grow(x, g, h, depth, lam, gamma, min_gain=None, **rules):
     nodes = {}
 
     def visit(node, idx, level):
-        leaf = {"n": len(idx), "val": -g[idx].sum() / (h[idx].sum() + lam)}
+        leaf = {"n": len(idx), "val": -total(g[idx]) / (total(h[idx]) + lam)}
         nodes[node] = leaf
         if len(idx) <= 1 or level >= depth:
             return
-        best = best_split(x, g, h, idx, lam, gamma, digits, **rules)
+        best = best_split(x, g, h, idx, lam, gamma, **rules)
         if best is None or (min_gain is not None and not best[3] > min_gain):
             return
         _, f, s, gain = best

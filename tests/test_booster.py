@@ -61,14 +61,6 @@ def test_block_search_and_refinement_equal_plain_search(spark, sample, monkeypat
     check_same(fit(df, LI, "label", params()), expected)
 
 
-def test_rewriting_rows_between_trees_changes_nothing(sample):
-    df, x, y = sample
-    expected, losses = brute.fit(x, y, 3, 2, 0.3, 1.0, 0.0)
-    model = fit(df, LI, "label", params(trees=3, depth=2, trees_per_write=1))
-    check_same(model, expected)
-    assert model.losses == pytest.approx(losses)
-
-
 def test_partitioning_does_not_matter(sample):
     df, _, _ = sample
     a = fit(df.coalesce(1), LI, "label", params())

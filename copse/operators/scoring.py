@@ -44,6 +44,11 @@ def _columns(trees: Sequence[Tree], names: Sequence[str]) -> tuple[list[Column],
     return cast or [F.lit(0.0)], {f: k for k, f in enumerate(used)}
 
 
+def or_nan(value: Column) -> Column:
+    """NaN leaves a vectorized function as NULL."""
+    return F.coalesce(value, F.lit(float("nan")))
+
+
 def margin(trees: Sequence[Tree], names: Sequence[str], start: float, rate: float) -> Column:
     """Start plus each tree's shrunken output, in the order of the trees; NaN where an output is undefined."""
     columns, place = _columns(trees, names)
@@ -56,7 +61,7 @@ def margin(trees: Sequence[Tree], names: Sequence[str], start: float, rate: floa
             out = out + rate * arrays[6][_ends(arrays, table)]
         return pd.Series(out)
 
-    return F.pandas_udf(total, "double")(*columns)
+    return or_nan(F.pandas_udf(total, "double")(*columns))
 
 
 def leaf(tree: Tree, names: Sequence[str]) -> Column:

@@ -45,6 +45,10 @@ class _Cell:
         return ((self.lo ^ self.hi) & (2 * _MASK + 1)).bit_length()
 
 
+def _run(number: int, shift: int) -> int:
+    return number >> shift if shift < 64 else 0
+
+
 def _part(number: Column, shift: int) -> Column:
     return F.shiftright(number, shift) if shift < 64 else F.lit(0).cast("long")
 
@@ -54,22 +58,22 @@ def _round(keys: DataFrame, cells: dict[int, dict[int, _Cell]], outer: dict[int,
     spark = keys.sparkSession
     stacked = [a for f in cells for a in (F.lit(f), _part(F.col(f"_k{f}"), outer[f]), _part(F.col(f"_k{f}"), inner[f]), F.col(f"_k{f}"))]
     rows = keys.select(F.stack(F.lit(len(cells)), *stacked).alias("f", "cell", "part", "k")).filter("k IS NOT NULL")
-    ranks: dict[tuple, list[int]] = {}
-    for f, by_rank in cells.items():
-        for rank, cell in by_rank.items():
-            ranks.setdefault((f, cell.lo >> min(outer[f], 63) if outer[f] < 64 else 0, cell.below), []).append(rank)
-    wanted = spark.createDataFrame([(*key, found) for key, found in ranks.items()], "f int, cell long, below long, ranks array<long>")
+    ranks = [(f, _run(cell.lo, outer[f]), cell.below, rank) for f, by_rank in cells.items() for rank, cell in by_rank.items()]
+    wanted = spark.createDataFrame(ranks, "f int, cell long, below long, rank long")
     # At most one row for each wanted rank.
-    wanted = F.broadcast(wanted)
-    counted = rows.join(wanted.select("f", "cell"), ["f", "cell"]).groupBy("f", "cell", "part").agg(
+    open_ = F.broadcast(spark.createDataFrame(sorted({r[:3] for r in ranks}), "f int, cell long, below long"))
+    counted = rows.join(open_, ["f", "cell"]).groupBy("f", "cell", "below", "part").agg(
         F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")
     )
     before = Window.partitionBy("f", "cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counted.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(wanted, ["f", "cell"])
-    start = F.col("below") + F.col("_before")
-    held = F.filter("ranks", lambda r: (r >= start) & (r < start + F.col("n")))
-    found = placed.select("f", "lo", "hi", start.alias("start"), held.alias("held")).filter(F.size("held") > 0).collect()
-    return {(r["f"], rank): _Cell(r["lo"], r["hi"], r["start"]) for r in found for rank in r["held"]}
+    start = F.col("below") + F.coalesce(F.sum("n").over(before), F.lit(0))
+    # A rank lies in the last part that starts at or before it.
+    parts = counted.select("f", "cell", start.alias("at"), "lo", "hi").withColumns({"start": F.col("at"), "rank": F.lit(None).cast("long")})
+    places = wanted.select("f", "cell", F.col("rank").alias("at"), *[F.lit(None).cast("long").alias(c) for c in ("lo", "hi", "start")], "rank")
+    so_far = Window.partitionBy("f", "cell").orderBy("at", F.col("rank").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    held = F.last(F.when(F.col("rank").isNull(), F.struct("lo", "hi", "start")), ignorenulls=True).over(so_far)
+    found = parts.unionByName(places).withColumn("held", held).filter("rank IS NOT NULL").select("f", "rank", "held.*").collect()
+    return {(r["f"], r["rank"]): _Cell(r["lo"], r["hi"], r["start"]) for r in found if r["lo"] is not None}
 
 
 def order_statistics(

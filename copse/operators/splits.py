@@ -166,12 +166,31 @@ def _with_midpoint(df: DataFrame) -> DataFrame:
 # --- search over buckets with fixed or per-node edges --------------------------------
 
 
-def quantile_candidates(rows: DataFrame, features: Sequence[int], cuts, params: BoostParams) -> DataFrame:
-    """Candidates at the given cuts; ``b<i>`` are right-closed bins of those cuts."""
-    features = [i for i in features if cuts[i]]
-    if not features:
-        return _none_of(rows)
-    cells = by_feature(rows, features).groupBy("node", "f", "b").agg(*totals())
+def cut_cells(rows: DataFrame, features: Sequence[int]) -> DataFrame:
+    """Sums per node, feature and bucket."""
+    return by_feature(rows, features).groupBy("node", "f", "b").agg(*totals())
+
+
+def with_siblings(cells: DataFrame, parents: DataFrame, pairs: dict[int, tuple[int, int]]) -> DataFrame:
+    """``cells`` of one child of each parent, and those of the other one: what the parent's cells hold beyond them.
+
+    ``pairs`` has the child with cells and the other one for each parent. The sums are exact, so the difference is too.
+    """
+    first, last = min(min(p) for p in pairs.values()), max(pairs)
+    other_of_parent, other_of_child = [-1] * (last + 1), {}
+    for parent, (known, other) in pairs.items():
+        other_of_parent[parent] = other
+        other_of_child[known] = other
+    siblings = [other_of_child.get(i, -1) for i in range(first, max(other_of_child) + 1)]
+    whole = parents.withColumn("node", F.get(literal_array(other_of_parent, "int"), F.col("node"))).filter("node >= 0")
+    taken = cells.withColumn("node", F.get(literal_array(siblings, "int"), F.col("node") - first))
+    taken = taken.withColumns({c: -F.col(c) for c in SUMS})
+    rest = whole.unionByName(taken).groupBy("node", "f", "b").agg(*[F.sum(c).alias(c) for c in SUMS]).filter("n > 0")
+    return cells.unionByName(rest)
+
+
+def cut_candidates(cells: DataFrame, cuts, params: BoostParams) -> DataFrame:
+    """Candidates at the given cuts, from sums per right-closed bin of those cuts."""
     listed = _right_side(_prefix(cells, ("node", "f"), "b"))
     # All cuts in one array, each feature's from its own start.
     flat = literal_array([c for cs in cuts for c in cs], "double")
@@ -213,11 +232,6 @@ def _finite(column: str) -> Column:
     return F.nanvl(F.col(column), F.lit(None))
 
 
-def _none_of(rows: DataFrame) -> DataFrame:
-    kinds = "f int, split double, gain double, gl double, hl double, nl bigint, gr double, hr double, nr bigint"
-    return rows.select("node", *[F.lit(None).cast(k.split()[1]).alias(k.split()[0]) for k in kinds.split(", ")]).limit(0)
-
-
 # --- exact search --------------------------------------------------------------------
 
 

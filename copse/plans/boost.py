@@ -49,7 +49,7 @@ class BoostedModel:
     def predict_leaf(self, df: DataFrame, tree_id: int, leaf: str = "leaf", value: str = "leaf_value") -> DataFrame:
         """Leaf number and output of one tree."""
         found = df.withColumn("_leaf", scoring.leaf(self.trees[tree_id], self.features))
-        return found.withColumns({leaf: F.col("_leaf.leaf"), value: F.col("_leaf.value")}).drop("_leaf")
+        return found.withColumns({leaf: F.col("_leaf.leaf"), value: scoring.or_nan(F.col("_leaf.value"))}).drop("_leaf")
 
     # --- tables ----------------------------------------------------------------------
 

@@ -84,8 +84,7 @@ def node_hist(spark, folder):
 def split_candidates(spark, folder):
     hist = splits.node_hist(node_rows(spark, folder), range(len(LI)))
     listed = splits.exact_candidates(hist, PLAIN)
-    # Gains are small differences of large sums: fewer digits, clear of float noise.
-    return listed.select("node", "f", r6("split"), r6("gain", digits=3), "nl", "nr")
+    return listed.select("node", "f", r6("split"), r6("gain"), "nl", "nr")
 
 
 def split_root(spark, folder):
@@ -124,8 +123,8 @@ def split_quantile(spark, folder):
     names, out = [f"x{i}" for i in range(len(LI))], [f"b{i}" for i in range(len(LI))]
     cuts = bins.quantile_cuts(rows, names, bins.eps_points(params.eps))
     rows = bins.with_right_closed_bins(rows, names, out, cuts)
-    found = splits.quantile_candidates(rows, range(len(LI)), cuts, params)
-    return found.select("node", "f", r6("split"), r6("gain", digits=3), "nl", "nr")
+    found = splits.cut_candidates(splits.cut_cells(rows, range(len(LI))), cuts, params)
+    return found.select("node", "f", r6("split"), r6("gain"), "nl", "nr")
 
 
 def split_col_sample(spark, folder):

@@ -33,8 +33,35 @@ def rows_at(node: str, base: str = LI_X) -> str:
 
 
 def long_rows(source: str, features, where: str = "true") -> str:
+    """One row per row and feature; gradients and hessians as multiples of 2^-26 and, of what is left, of 2^-52."""
+    cut = ", ".join(
+        f"floor({c} * 67108864.0::DOUBLE)::BIGINT AS {c}1, "
+        f"floor(({c} * 67108864.0::DOUBLE - floor({c} * 67108864.0::DOUBLE)) * 67108864.0::DOUBLE)::BIGINT AS {c}0"
+        for c in ("g", "h")
+    )
     return " UNION ALL ".join(
-        f"SELECT node, {i} AS f, x{i} AS v, g, h FROM {source} WHERE {where}" for i in features
+        f"SELECT node, {i} AS f, x{i} AS v, {cut} FROM {source} WHERE {where}" for i in features
+    )
+
+
+PARTS = ("g1", "g0", "h1", "h0")
+
+
+def summed(suffix: str = "") -> str:
+    """Sums of the parts, which are whole numbers, so their order does not matter."""
+    return ", ".join(f"sum({c}{suffix}) AS {c}{suffix}" for c in PARTS)
+
+
+def number(value: str, rest: str = "", minus: str | None = None) -> str:
+    """The number that a pair of parts stands for, or that the difference of two pairs does."""
+    one, none = (f"({value}{k}{rest} - {value}{k}{minus})" if minus else f"{value}{k}{rest}" for k in "10")
+    return f"({one}::DOUBLE * {2.0**-26!r}::DOUBLE + {none}::DOUBLE * {2.0**-52!r}::DOUBLE)"
+
+
+def sides(left: str, whole: str) -> str:
+    """Left and right sums as numbers, from left parts and parts of the whole."""
+    return ", ".join(
+        f"{number(c, left)} AS {c}l, {number(c, whole, left)} AS {c}r" for c in ("g", "h")
     )
 
 
@@ -45,17 +72,20 @@ def gain(lam: float, gamma: float) -> str:
     )
 
 
+def over_parts(*more: str) -> str:
+    """Running sums (window w) and whole sums (window t) of the parts and of the row count."""
+    return ", ".join(f"sum({c}) OVER w AS {c}l, sum({c}) OVER t AS {c}a" for c in (*PARTS, *more))
+
+
 def candidate_ctes(name: str, source: str, features, lam=1.0, gamma=0.0, where="true") -> str:
     """``<name>_cand``: every midpoint of neighbouring distinct values, with sums and gain."""
     return f"""
-    {name}_hist AS (SELECT node, f, v, sum(g) AS g, sum(h) AS h, count(*) AS n
+    {name}_hist AS (SELECT node, f, v, {summed()}, count(*) AS n
       FROM ({long_rows(source, features, where)}) GROUP BY node, f, v),
-    {name}_run AS (SELECT node, f, v, lead(v) OVER w AS nv,
-        sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(n) OVER w AS nl,
-        sum(g) OVER t AS ga, sum(h) OVER t AS ha, sum(n) OVER t AS na FROM {name}_hist
+    {name}_run AS (SELECT node, f, v, lead(v) OVER w AS nv, {over_parts("n")} FROM {name}_hist
       WINDOW w AS (PARTITION BY node, f ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
              t AS (PARTITION BY node, f)),
-    {name}_side AS (SELECT node, f, (v + nv) / 2 AS split, gl, hl, nl, ga - gl AS gr, ha - hl AS hr, na - nl AS nr
+    {name}_side AS (SELECT node, f, (v + nv) / 2 AS split, {sides("l", "a")}, nl, na - nl AS nr
       FROM {name}_run WHERE nv IS NOT NULL),
     {name}_cand AS (SELECT *, {gain(lam, gamma)} AS gain FROM {name}_side)"""
 
@@ -63,7 +93,7 @@ def candidate_ctes(name: str, source: str, features, lam=1.0, gamma=0.0, where="
 def best_cte(name: str, rule: str = "true") -> str:
     return f"""
     {name} AS (SELECT * FROM {name}_cand WHERE gain IS NOT NULL AND {rule}
-      QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, f, split) = 1)"""
+      QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, split) = 1)"""
 
 
 SPLIT_OUT = f"node, f, {r6('split', 'split')}, {r6('gain', 'gain')}, nl::BIGINT AS nl, nr::BIGINT AS nr"
@@ -88,12 +118,11 @@ def histogram_sql(num_bins: int) -> str:
     rough AS (SELECT *, least(greatest(floor((v - lo) / nullif(hi - lo, 0) * {k}), 0), {k - 1}) AS q FROM rg),
     binned AS (SELECT *, coalesce(q - CASE WHEN q > 0 AND v <= {edge('q')} THEN 1 ELSE 0 END
         + CASE WHEN q < {k - 1} AND v > {edge('q + 1')} THEN 1 ELSE 0 END, 0) AS b FROM rough),
-    cells AS (SELECT node, f, b, lo, hi, sum(g) AS g, sum(h) AS h, count(*) AS n FROM binned GROUP BY ALL),
-    run AS (SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(n) OVER w AS nl,
-        sum(g) OVER t AS ga, sum(h) OVER t AS ha, sum(n) OVER t AS na FROM cells
+    cells AS (SELECT node, f, b, lo, hi, {summed()}, count(*) AS n FROM binned GROUP BY ALL),
+    run AS (SELECT *, {over_parts("n")} FROM cells
       WINDOW w AS (PARTITION BY node, f ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
              t AS (PARTITION BY node, f)),
-    side AS (SELECT node, f, {edge('b + 1')} AS split, gl, hl, nl, ga - gl AS gr, ha - hl AS hr, na - nl AS nr
+    side AS (SELECT node, f, {edge('b + 1')} AS split, {sides("l", "a")}, nl, na - nl AS nr
       FROM run WHERE b < {k - 1} AND na > nl),
     b_cand AS (SELECT *, {gain(1.0, 0.0)} AS gain FROM side), {best_cte('b')}
     SELECT {SPLIT_OUT} FROM b"""
@@ -104,14 +133,14 @@ def quantile_sql() -> str:
     return f"""
     WITH r AS ({rows_at(HALF)}), lr AS ({long_rows('r', range(4))}),
     cuts AS (SELECT DISTINCT f, unnest(q) AS split FROM (SELECT f, quantile_disc(v, {points}) AS q FROM lr GROUP BY f)),
-    hist AS (SELECT node, f, v, sum(g) AS g, sum(h) AS h, count(*) AS n FROM lr GROUP BY node, f, v),
-    whole AS (SELECT node, f, sum(g) AS ga, sum(h) AS ha, sum(n) AS na FROM hist GROUP BY node, f),
-    lefts AS (SELECT node, f, split, sum(g) AS gl, sum(h) AS hl, sum(n) AS nl
+    hist AS (SELECT node, f, v, {summed()}, count(*) AS n FROM lr GROUP BY node, f, v),
+    whole AS (SELECT node, f, {", ".join(f"sum({c}) AS {c}a" for c in PARTS)}, sum(n) AS na FROM hist GROUP BY node, f),
+    lefts AS (SELECT node, f, split, {", ".join(f"sum({c}) AS {c}l" for c in PARTS)}, sum(n) AS nl
       FROM hist JOIN cuts USING (f) WHERE v <= split GROUP BY node, f, split),
-    side AS (SELECT node, f, split, gl, hl, nl, ga - gl AS gr, ha - hl AS hr, na - nl AS nr
+    side AS (SELECT node, f, split, {sides("l", "a")}, nl, na - nl AS nr
       FROM lefts JOIN whole USING (node, f) WHERE na > nl),
     b AS (SELECT *, {gain(1.0, 0.0)} AS gain FROM side)
-    SELECT node, f, {r6('split', 'split')}, {r6('gain', 'gain', 3)}, nl::BIGINT AS nl, nr::BIGINT AS nr FROM b WHERE gain IS NOT NULL"""
+    SELECT node, f, {r6('split', 'split')}, {r6('gain', 'gain')}, nl::BIGINT AS nl, nr::BIGINT AS nr FROM b WHERE gain IS NOT NULL"""
 
 
 def fit_ctes(base: str, k: int, trees: int, depth: int, lr=0.1, lam=1.0, gamma=0.0, min_gain=None, p="") -> str:
@@ -262,10 +291,10 @@ SQL: dict[str, str] = {
         SELECT l_orderkey, l_partkey, l_linenumber, {r6('s - label', 'g')}, {r6('s * (1.0::DOUBLE - s)', 'h')} FROM p""",
     "node_hist": f"""
         WITH r AS ({rows_at(HALF)}), lr AS ({long_rows('r', range(4))})
-        SELECT node, f, v, {r6('sum(g)', 'g')}, {r6('sum(h)', 'h')}, count(*) AS n FROM lr GROUP BY node, f, v""",
+        SELECT node, f, v, {r6(number('g'), 'g')}, {r6(number('h'), 'h')}, n FROM (SELECT node, f, v, {summed()}, count(*) AS n FROM lr GROUP BY node, f, v)""",
     "split_candidates": f"""
         WITH r AS ({rows_at('0')}), {candidate_ctes('c', 'r', range(4))}
-        SELECT node, f, {r6('split', 'split')}, {r6('gain', 'gain', 3)},
+        SELECT node, f, {r6('split', 'split')}, {r6('gain', 'gain')},
           nl::BIGINT AS nl, nr::BIGINT AS nr FROM c_cand""",
     "split_root": split_sql("0"),
     "split_level": split_sql(HALF),

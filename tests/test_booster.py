@@ -68,6 +68,47 @@ def test_partitioning_does_not_matter(sample):
     assert [r[:6] for r in a.node_rows()] == [r[:6] for r in b.node_rows()]
 
 
+@pytest.mark.parametrize("method", ["exact", "quantile", "histogram"])
+def test_same_tree_on_any_partitioning(spark, folder, method):
+    """Deep, without regularization, on rows with many ties: to the last digit."""
+    df = views.ord_xy(spark, folder).select("label", "o_totalprice", (F.col("c_acctbal") / 100).cast("int").alias("b"))
+    depth = 8 if method == "exact" else 4
+    config = params(trees=1, depth=depth, reg_lambda=0.0, method=method, eps=0.05, num_bins=8)
+    found = [fit(df.repartition(n, "o_totalprice"), ["o_totalprice", "b"], "label", config) for n in (1, 8, 64)]
+    assert found[0].node_rows() == found[1].node_rows() == found[2].node_rows()
+    assert max(r[2] for r in found[0].node_rows()) == depth
+
+
+def test_cells_of_siblings_are_what_is_left(spark, sample):
+    df, x, _ = sample
+    rows = df.select(*[F.col(c).alias(f"x{i}") for i, c in enumerate(LI)], (F.col("l_tax") * 0.37 - 0.01).alias("g"), (F.col("l_discount") + 0.1).alias("h"))
+    rows = rows.withColumns({f"b{i}": (F.col(f"x{i}") * 10 % 7).cast("int") for i in range(2)})
+    parent = splits.cut_cells(rows.withColumn("node", (F.col("x0") > 30).cast("int")), [0, 1])
+    child = F.when(F.col("x0") > 30, F.when(F.col("x1") > 30000, 4).otherwise(3)).otherwise(F.when(F.col("x1") > 20000, 6).otherwise(5))
+    below = rows.withColumn("node", child)
+    whole = splits.cut_cells(below, [0, 1])
+    got = splits.with_siblings(splits.cut_cells(below.filter("node IN (3, 6)"), [0, 1]), parent, {1: (3, 4), 0: (6, 5)})
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
+
+
+@pytest.mark.parametrize("carried", [1, 2])
+def test_nodes_written_between_levels(sample, monkeypatch, carried):
+    from copse.operators import tree
+
+    df, x, y = sample
+    monkeypatch.setattr(tree, "CARRIED_LEVELS", carried)
+    expected, _ = brute.fit(x, y, 1, 4, 0.3, 1.0, 0.0)
+    check_same(fit(df, LI, "label", params(trees=1, depth=4)), expected)
+
+
+def test_undefined_output(spark):
+    """Without regularization a leaf of rows that weigh nothing has no output; later trees have no split and no output either."""
+    df = spark.createDataFrame([(1.0, 1), (2.0, 0)], "x double, label int")
+    model = fit(df, ["x"], "label", params(trees=2, depth=1, reg_lambda=0.0, train_margin=800.0))
+    assert model.trees[0].value[0] is None and len(model.trees[1].heap) == 1 and math.isnan(model.trees[1].value[0])
+    assert math.isnan(model.predict_proba(df).first()["probability"])
+
+
 def test_children_add_up_and_every_row_has_one_leaf(sample):
     df, _, _ = sample
     model = fit(df, LI, "label", params())

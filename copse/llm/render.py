@@ -25,12 +25,12 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes".split(
 HIDDEN = frozenset("head script style template noscript title meta link iframe object datalist audio video canvas noembed noframes".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
-    "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
+    "header hgroup hr html legend li main menu nav ol optgroup option p plaintext pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table ul ol dl figure".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
-    "hgroup hr main menu nav ol p pre search section summary table ul li dd dt".split()
+    "hgroup hr main menu nav ol p plaintext pre search section summary table ul li dd dt".split()
 )
 SCOPE = frozenset("html body table td th caption template".split())
 # An opening tag closes an open element of the second set, unless one of the third set stands between.
@@ -61,8 +61,12 @@ UNSHOWN = {
     "math": frozenset({"annotation", "annotation-xml"}),
 }
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+# A quote opens a value only right after an equals sign; anywhere else it is part of a name, as the standard has it.
+_VALUE = r"\s*=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>\"'][^\s>]*)?"
+_TAG = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</(?![a-zA-Z])[^>]*(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|=?[^\s/>=]++(?:{_VALUE})?|=)*+)(?:>|\Z)", re.S)
+_ATTR = re.compile(r"(=?[^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>\"'][^\s>]*))?)?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
@@ -77,7 +81,9 @@ class Element:
 
 
 def _attrs(text: str) -> dict[str, str]:
-    return {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTR.findall(text)} if text.strip() else {}
+    """Names and values; of a name's several values the first counts."""
+    found = _ATTR.findall(text) if text.strip() else []
+    return {m[0].lower(): entities.unescape(m[1] or m[2] or m[3]) for m in reversed(found)}
 
 
 def tree(page: str) -> Element:
@@ -153,6 +159,9 @@ def tree(page: str) -> Element:
             element.attrs["hidden"] = ""
         if (foreign or name in UNSHOWN) and m[4].endswith("/") and not _BARE_VALUE.search(m[4]):
             continue
+        if name == "plaintext":  # nothing ends it
+            element.children.append(page[at:])
+            break
         if name in RAW:
             end = _RAW_END[name].search(page, at)
             stop = end.start() if end else len(page)
@@ -163,14 +172,17 @@ def tree(page: str) -> Element:
         elif name not in VOID:
             stack.append(element)
             opened[name] += 1
-    if at < len(page):
-        add(entities.unescape(page[at:]))
+    else:
+        if at < len(page):
+            add(entities.unescape(page[at:]))
     return root
 
 
 def visible(e: Element) -> bool:
     if e.name in HIDDEN or "hidden" in e.attrs or (e.attrs.get("aria-hidden") == "true" and e.name == "i"):
         return False
+    if e.name == "rp" or (e.name == "dialog" and "open" not in e.attrs):
+        return False
     if e.name == "input":
         return e.attrs.get("type", "").lower() in ("submit", "button", "reset")
     return not ("style" in e.attrs and _UNSEEN.search(e.attrs["style"]))
@@ -183,6 +195,33 @@ def width(text: str) -> int:
     return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
+CELL_WIDTH = 80
+"""Lines of a cell are broken at blanks beyond this width, and no column is padded further."""
+MOST_ROOM = 2 * CELL_WIDTH
+"""A cell over several columns, or a run of columns that cells from above reach into, is padded to no more, so a page's text stays a small multiple of it."""
+
+
+def broken(text: str) -> str:
+    """Lines of at most ``CELL_WIDTH`` columns, except for single words that are wider."""
+    out = []
+    for line in text.split("\n"):
+        if width(line) <= CELL_WIDTH:
+            out.append(line)
+            continue
+        lead = line[: len(line) - len(line.lstrip(" "))]
+        made, used = [], 0
+        for word in line.split(" "):
+            wide = width(word)
+            if used and used + 1 + wide > CELL_WIDTH:
+                out.append(" ".join(made))
+                made, used = [lead + word] if lead else [word], len(lead) + wide
+            else:
+                made.append(word)
+                used += wide + (len(made) > 1)
+        out.append(" ".join(made))
+    return "\n".join(out)
+
+
 class Writer:
     """Lines in the making: collapses blanks, and sets blocks apart by at most one empty line."""
 
@@ -193,6 +232,7 @@ class Writer:
         self.gap = False  # an empty line waits for the next text
         self.indent: list[str] = []
         self.bullet = ""
+        self.fixed = False  # some lines must stay as they are
 
     def text(self, text: str) -> None:
         words = _SPACE.split(text)
@@ -206,6 +246,7 @@ class Writer:
                 self.blank = False
 
     def literal(self, text: str) -> None:
+        self.fixed = True
         for i, line in enumerate(text.replace("\r\n", "\n").split("\n")):
             if i:
                 self.end(keep=True)
@@ -260,55 +301,70 @@ def _span(cell: Element, name: str = "colspan", most: int = 1000, zero: int = 1)
 
 
 def _grid(table: Element, done: dict[int, str]) -> list[list[tuple[str, int]]]:
-    """Rows of (text, span) with an empty cell where one from a row above reaches down."""
+    """Rows of (text, span) with an empty cell where cells from above reach down, one for neighbouring columns."""
     out = []
     for section in _sections(table):
         down: list[tuple[int, int, int]] = []  # column, span and last row of the cells that reach below their own, from left to right
         for i, cells in enumerate(section):
-            row, column, more, over = [], 0, [], [d for d in down if d[2] >= i]
-            at = 0
+            row, column, more, at = [], 0, [], 0
             for cell in cells:
-                while at < len(over) and over[at][0] <= column:
-                    row.append(("", over[at][1]))
-                    column = over[at][0] + over[at][1]
+                while at < len(down) and down[at][0] <= column:
+                    row.append(("", down[at][1]))
+                    column = down[at][0] + down[at][1]
                     at += 1
                 span, rows = _span(cell), _span(cell, "rowspan", 65_534, len(section))
                 row.append((done.get(id(cell), ""), span))
-                if rows > 1:
-                    more.append((column, span, i + rows - 1))
+                if rows > 1 and i + 1 < len(section):
+                    more.append((column, span, min(i + rows, len(section)) - 1))
                 column += span
             # To the right of a row's own cells only those that follow at once, so columns stay in place.
-            while cells and at < len(over) and over[at][0] <= column:
-                row.append(("", over[at][1]))
-                column = over[at][0] + over[at][1]
+            while cells and at < len(down) and down[at][0] <= column:
+                row.append(("", down[at][1]))
+                column = down[at][0] + down[at][1]
                 at += 1
-            down = sorted(over + more)
+            down = _joined(sorted(down + more), i + 1)
             out.append(row)
     return out
 
 
+def _joined(down: list[tuple[int, int, int]], row: int) -> list[tuple[int, int, int]]:
+    """The cells that reach ``row``; neighbours that end together count as one."""
+    out: list[tuple[int, int, int]] = []
+    for column, span, last in down:
+        if last < row:
+            continue
+        if out and out[-1][2] == last and out[-1][0] + out[-1][1] == column:
+            out[-1] = (out[-1][0], out[-1][1] + span, last)
+        else:
+            out.append((column, span, last))
+    return out
+
+
 def _align(rows: list[list[tuple[str, int]]]) -> list[str]:
-    """Rows of (text, span) as lines; a cell of several lines fills several, and each column is as wide as its widest line."""
+    """Rows of (text, span) as lines; a cell of several lines fills several, and each column is as wide as its widest line, ``CELL_WIDTH`` at most."""
     widths: dict[int, int] = {}
     split = [[(text.split("\n"), span) for text, span in row] for row in rows]
     for row in split:
         column = 0
         for lines, span in row:
             if span == 1:
-                widths[column] = max(widths.get(column, 0), *map(width, lines))
+                widths[column] = max(widths.get(column, 0), min(CELL_WIDTH, max(map(width, lines))))
             column += span
     columns = sorted(widths)
     total = [0, *itertools.accumulate(widths[c] for c in columns)]
     out = []
     for row in split:
+        rooms, column = [], 0
+        for _, span in row:
+            room = total[bisect_left(columns, column + span)] - total[bisect_left(columns, column)] + 3 * (span - 1)
+            rooms.append(min(room, MOST_ROOM))
+            column += span
         for i in range(max((len(lines) for lines, _ in row), default=0)):
-            made, column = [], 0
-            for lines, span in row:
-                line = lines[i] if i < len(lines) else ""
-                room = total[bisect_left(columns, column + span)] - total[bisect_left(columns, column)] + 3 * (span - 1)
-                made.append(line + " " * max(0, room - width(line)))
-                column += span
-            out.append(" | ".join(made).rstrip())
+            # What follows the last cell with text in this line would be blank.
+            last = max((k for k, (lines, _) in enumerate(row) if i < len(lines) and lines[i]), default=-1)
+            shown = [lines[i] if i < len(lines) else "" for lines, _ in row[: last + 1]]
+            made = [line + " " * max(0, room - width(line)) for line, room in zip(shown, rooms)]
+            out.append((" | ".join(made) + (" |" if last + 1 < len(row) else "")).rstrip())
     return out
 
 
@@ -332,11 +388,13 @@ def render(page: str | None) -> str:
                 else:
                     waiting += [c for c in e.children if isinstance(c, Element)]
         else:
-            done[id(top)] = _render_one(top, done)
+            made, fixed = _render_one(top, done)
+            done[id(top)] = made if fixed or top is root else broken(made)
     return done[id(root)]
 
 
-def _render_one(top: Element, done: dict[int, str]) -> str:
+def _render_one(top: Element, done: dict[int, str]) -> tuple[str, bool]:
+    """The text of an element, and whether its lines must stay as they are."""
     out, pre = Writer(), 0
     lists: list[list] = []  # [ordered, next number]
     actions: list[tuple[str, object]] = [("node", c) for c in reversed(top.children)]
@@ -388,7 +446,7 @@ def _render_one(top: Element, done: dict[int, str]) -> str:
             elif name in ("dd", "blockquote"):
                 out.indent.append("    " if name == "dd" else "> ")
                 after.append(("outdent", None))
-            elif name in ("pre", "textarea", "xmp"):
+            elif name in ("pre", "textarea", "xmp", "plaintext"):
                 pre += 1
                 after.append(("pre", None))
             elif name == "text":
@@ -419,7 +477,7 @@ def _render_one(top: Element, done: dict[int, str]) -> str:
             out.text(" ")
         elif kind == "quote":
             out.text('"')
-    return out.result()
+    return out.result(), out.fixed
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -433,7 +491,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> D
     """page_id, text, n_lines for each row, without a shuffle.
 
     A NULL or empty page, or one that shows nothing, has the empty text and no lines. Rows are rendered one by one, so repeated ones
-    are alike; further columns are not read.
+    are alike; further columns are not read. Lines of table cells are broken beyond ``CELL_WIDTH`` columns, in all tables alike; padding is bounded,
+    so time and text follow the page's length, whatever its spans.
     """
     rows = pages.select(F.col(f"`{page_id}`").cast("long").alias("page_id"), F.col(f"`{html}`").alias("html"))
     return rows.mapInPandas(_extract, "page_id long, text string, n_lines long")

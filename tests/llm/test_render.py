@@ -52,6 +52,54 @@ def test_deep_and_broken_pages():
     assert render.render("<" * 10_000 + " a") == "<" * 10_000 + " a" and render.render("<!--" * 5_000) == ""
 
 
+BROKEN = {
+    '<p><img src="a.png"">Hello world <a href="b">link</a></p><p>after</p>': "Hello world link\n\nafter",
+    "<p class=it's>Hello</p><p>don't go</p><p>z</p>": "Hello\n\ndon't go\n\nz",
+    "<p>a<!-->b<p>c": "ab\n\nc",
+    "<p>a<!--->b<p>c": "ab\n\nc",
+    "<p>a<!-- x --!>b<p>c": "ab\n\nc",
+    "<p>a</3>b</>c": "abc",
+    "<a title='x > y' href=q/>z</a>": "z",
+    "<img alt=first alt=second>": "first",
+    "<img alt='a &amp; b'>": "a & b",
+    '<p =x="hidden" hidden>a</p>b': "b",
+    "a<plaintext><b>x</b> &amp;": "a\n<b>x</b> &amp;",
+    "<ruby>漢<rp>(</rp><rt>kan</rt><rp>)</rp></ruby>": "漢kan",
+    "<dialog>shut</dialog><dialog open>said</dialog>": "said",
+}
+
+
+@pytest.mark.parametrize("page", BROKEN)
+def test_broken_pages_lose_nothing(page):
+    assert render.render(page) == BROKEN[page]
+
+
+def test_wide_cells_are_broken():
+    words = " ".join(f"word{i}" for i in range(60))
+    out = render.render(f"<table><tr><td>{words}<td>x<tr><td>a<td>b</table>").split("\n")
+    assert all(render.width(line) <= render.CELL_WIDTH + 4 for line in out) and out[0].endswith("| x")
+    assert " ".join(w for line in out[:-1] for w in line.split(" |")[0].split()) == words
+    address = "x" * 300
+    assert address in render.render(f"<table><tr><td>{address} y<td>z</table>")
+
+
+@pytest.mark.parametrize("row", ["<tr><td rowspan=65534>x", "<tr><td colspan=1000>x<td>y", "<tr><td>x<td rowspan=9>y", "<tr>" + "<td>" * 40])
+def test_hostile_tables_take_linear_time_and_room(row):
+    import time
+
+    def took(n):
+        page = "<table>" + row * n
+        began = time.process_time()
+        out = render.render(page)
+        assert len(out) <= 45 * len(page)
+        return time.process_time() - began
+
+    small, large = max(took(2_000), 0.02), took(16_000)
+    assert large < 24 * small
+    page = "<table><tr><td>" + "w " * 10_000 + "<td>z" + "<tr><td>a<td>b" * 2_000
+    assert len(render.render(page)) < 20 * len(page)
+
+
 WHOLE = {
     "<table><thead><th>A<th>B</thead><tbody><td>x<td>y</table>": "A | B\nx | y",
     "<table><td>x</td></table>": "x",

@@ -1,6 +1,6 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraph digests, by DataFrame functions alone.
 
-A fingerprint has ``CELLS`` cells. Each paragraph's digest goes to one cell in each of three parts; a cell holds the number, the XOR of the digests
+Lines are paragraphs; long ones, and those of texts with few, are cut further at sentence ends and words chosen by their content. A fingerprint has ``CELLS`` cells. Each paragraph's digest goes to one cell in each of three parts; a cell holds the number, the XOR of the digests
 and the XOR of their checks. Subtracting two versions' cells leaves the digests by which they differ, and peeling recovers those: a cell with a single
 digest gives it away, taking it out of its other cells may leave further single ones, and so on. Where that gets stuck, larger
 sketches are made: the digests are divided into small blocks by their bits, and each block gets a sketch that is doubled until it peels.
@@ -17,6 +17,9 @@ from copse.session import cut
 CELLS = 24
 """Cells of a fingerprint, in three parts; some 15 differing paragraphs can be recovered from it."""
 
+FIRST_KEYS = 16
+"""Sets with more digests on both sides together are divided at once."""
+
 BLOCK_KEYS = 8
 """Digests of the larger side in one block of a retry, about."""
 
@@ -30,6 +33,9 @@ BUCKET_ROWS = 500
 MAX_BUCKETS = 20_000
 """Runs of neighbouring documents are sorted together; the first of each, at most this many, are known to the driver."""
 
+LONG_LINE = 400
+"""A longer line is cut at sentence ends; of a line of up to this length the whole is one paragraph, unless the text is a single line."""
+
 MAX_PART = 512
 """A longer sentence is cut after words chosen by their hash, one of eight; what is still longer, after so many characters."""
 
@@ -42,23 +48,19 @@ def _let(value: Column, use) -> Column:
 
 
 def digests(text: Column) -> Column:
-    """Distinct 64-bit digests of the paragraphs: the lines of a text, without those that hold blanks only."""
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(x)) > 0)
-    return F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x)))
-
-
-def part_digests(text: Column) -> Column:
-    """Distinct digests of shorter parts, cut where the content says so: lines, their sentences, and parts of these of bounded length."""
+    """Distinct 64-bit digests of the paragraphs, cut where the content says so: lines, sentences of long or only lines, and parts of these of bounded length."""
     long = lambda x: F.length(x) > MAX_PART
     marked = lambda x: F.array_join(F.transform(F.split(x, " "), lambda w: F.when(F.pmod(F.xxhash64(w), F.lit(8)) == 0, F.concat(w, F.lit("\n"))).otherwise(w)), " ")
-    parts = F.split(text, "\n|(?<=[.!?]) +|(?<=[。！？])")
-    parts = F.flatten(F.transform(parts, lambda x: F.when(long(x), F.split(marked(x), "\n ?")).otherwise(F.array(x))))
-    parts = F.flatten(F.transform(parts, lambda x: F.when(long(x), F.regexp_extract_all(x, F.lit(f"(?s).{{1,{MAX_PART}}}"), F.lit(0))).otherwise(F.array(x))))
-    return F.array_distinct(F.transform(F.filter(parts, lambda x: F.length(F.trim(x)) > 0), lambda x: F.xxhash64(x)))
+    pieces = lambda x: F.when(long(x), F.regexp_extract_all(x, F.lit(f"(?s).{{1,{MAX_PART}}}"), F.lit(0))).otherwise(F.array(x))
+    parts = lambda x: F.when(long(x), F.flatten(F.transform(F.split(marked(x), "\n ?"), pieces))).otherwise(F.array(x))
+    sentences = lambda x: F.flatten(F.transform(F.split(x, "(?<=[.!?]) +|(?<=[。！？])"), parts))
 
+    def cut_up(lines: Column) -> Column:
+        return F.flatten(F.transform(lines, lambda x: F.when((F.length(x) > LONG_LINE) | (F.size(lines) == 1), sentences(x)).otherwise(F.array(x))))
 
-KINDS = {"": digests, "_parts": part_digests}
-"""What a text is divided into, by the ending of the columns that hold the comparison."""
+    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(x)) > 0)
+    made = F.filter(_let(lines, cut_up), lambda x: F.length(F.trim(x)) > 0)
+    return F.array_distinct(F.transform(made, lambda x: F.xxhash64(x)))
 
 
 def _check(key: Column) -> Column:
@@ -186,9 +188,7 @@ def with_next(docs: DataFrame) -> DataFrame:
 
 
 def compare(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each row, and the last four by parts (``_parts``).
-
-    The first four compare paragraphs; those by parts tell near copies also among texts of few or no line ends.
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each row.
 
     The edited text has its last half (rounded down) replaced by the first as many code points of the next document by descending id. A NULL text counts as
     empty; it has no paragraphs, and two texts without any are alike (1). Repeated rows, and texts under one id, follow each other
@@ -204,42 +204,36 @@ def compare(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     )
     rows = rows.select(
         "doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "text", "edited",
-        *(of(F.col(c)).alias(f"{s}{kind}") for kind, of in KINDS.items() for s, c in (("a", "text"), ("e", "edited"), ("x", "next"))),
+        *(digests(F.col(c)).alias(s) for s, c in (("a", "text"), ("e", "edited"), ("x", "next"))),
     )
 
-    def all_of(a: Column, e: Column, x: Column) -> Column:
+    def tried(a: Column, b: Column, size: Column) -> Column:
+        # More digests than a sketch of this size can give back are known by their numbers to need a larger one.
+        return F.when(size <= FIRST_KEYS, peel(subtract(a, b), CELLS))
+
+    def all_of(s: Column) -> Column:
         return F.struct(
-            as_text(a, F.col("text")).alias("fingerprint"), as_text(e, F.col("edited")).alias("edited_fingerprint"),
-            peel(subtract(a, e), CELLS).alias("edited"), peel(subtract(a, x), CELLS).alias("next"),
+            as_text(s["a"], F.col("text")).alias("fingerprint"), as_text(s["e"], F.col("edited")).alias("edited_fingerprint"),
+            tried(s["a"], s["e"], F.size("a") + F.size("e")).alias("edited"), tried(s["a"], s["x"], F.size("a") + F.size("x")).alias("next"),
         )
 
-    def made(k: str) -> Column:
-        sketches = F.struct(*(sketch(F.col(f"{s}{k}"), CELLS).alias(s) for s in ("a", "e", "x")))
-        return _let(sketches, lambda s: all_of(s["a"], s["e"], s["x"])).alias(f"m{k}")
-
-    def tried(k: str) -> list[Column]:
-        edited, after = F.col(f"m{k}.edited"), F.col(f"m{k}.next")
-        return [
-            F.size(f"a{k}").alias(f"n{k}"), F.col(f"m{k}.fingerprint").alias(f"fingerprint{k}"), F.col(f"m{k}.edited_fingerprint").alias(f"edited_fingerprint{k}"),
-            F.when(edited["done"], edited).alias(f"edited{k}"), F.when(after["done"], after).alias(f"next{k}"),
-            *(F.when(~(edited["done"] & after["done"]), F.col(f"{s}{k}")).alias(f"{s}{k}") for s in ("a", "e", "x")),
-        ]
-
-    sets = [f"{s}{k}" for k in KINDS for s in ("a", "e", "x")]
-    first = rows.select("doc_id", "n_chars", "edited_sha256", *sets, *(made(k) for k in KINDS))
-    own = F.monotonically_increasing_id().alias("row")
-    first = cut(first.select(own, "doc_id", "n_chars", "edited_sha256", *(c for k in KINDS for c in tried(k))), "fingerprints")
-    joined = first.drop(*sets)
-    for k in KINDS:
-        retried = retry(first.filter(f"a{k} is not null").select("row", *(F.col(f"{s}{k}").alias(s) for s in ("a", "e", "x"))))
-        joined = joined.join(retried.select("row", F.col("_edited").alias(f"_edited{k}"), F.col("_next").alias(f"_next{k}")), "row", "left")
-
-    def near(name: str, k: str) -> Column:
-        side = lambda s: F.coalesce(F.col(f"{name}{k}.{s}"), F.col(f"_{name}{k}.{s}"))
-        return likeness(F.col(f"n{k}"), side("left"), side("right")).cast("double").alias(f"near_{name}{k}")
-
-    answers = [c for k in KINDS for c in (f"fingerprint{k}", f"edited_fingerprint{k}", near("edited", k), near("next", k))]
-    return joined.select("doc_id", "n_chars", "edited_sha256", *answers)
+    small = F.struct(*(sketch(F.col(s), CELLS).alias(s) for s in ("a", "e", "x")))
+    first = rows.select("doc_id", "n_chars", "edited_sha256", "a", "e", "x", _let(small, all_of).alias("m"))
+    edited, after = F.col("m.edited"), F.col("m.next")
+    done = F.coalesce(edited["done"] & after["done"], F.lit(False))
+    first = first.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "n_chars", "edited_sha256", "m.fingerprint", "m.edited_fingerprint", F.size("a").alias("n"),
+        F.when(edited["done"], edited).alias("edited"), F.when(after["done"], after).alias("next"),
+        *(F.when(~done, F.col(s)).alias(s) for s in ("a", "e", "x")),
+    )
+    first = cut(first, "fingerprints")
+    joined = first.drop("a", "e", "x").join(retry(first.filter("a is not null").select("row", "a", "e", "x")), "row", "left")
+
+    def near(name: str) -> Column:
+        side = lambda s: F.coalesce(F.col(f"{name}.{s}"), F.col(f"_{name}.{s}"))
+        return likeness(F.col("n"), side("left"), side("right")).cast("double").alias(f"near_{name}")
+
+    return joined.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near("edited"), near("next"))
 
 
 def _parts(rows: DataFrame, count: Column, bits: int) -> DataFrame:

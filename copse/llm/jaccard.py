@@ -9,8 +9,8 @@ bring candidates together, divided at a set size chosen by cost:
   are in these lists too.
 
 Lists with one set are dropped at once. Each other list first elects a hub, the set with the fewest rarer shingles, and its members
-are compared with that hub only. Members that link with the same hub are known to be connected, so only pairs without a
-common hub are then compared with each other. That loses no connection, and a group of near copies costs its size, not its square.
+are compared with that hub only. Only members that all these links together leave unconnected are then compared with each
+other. That loses no connection, and a group of near copies costs its size, not its square.
 Candidates are verified on the whole texts, and groups are closed by alternating star contraction in written rounds.
 """
 
@@ -46,7 +46,7 @@ MAX_BROADCAST_IDS = 500_000
 MAX_SEEN = 1_000_000
 """Sets that a task remembers having sent; later ones may be sent twice, which changes nothing but work."""
 
-MAPS = ("m0", "m1", "m2", "m3")
+MAPS = tuple(f"m{i}" for i in range(16))
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 _MIX = np.uint64(0x9FB21C651E98DF25)
 
@@ -128,8 +128,9 @@ def parity_bits(found: np.ndarray) -> bytes:
 
 
 def small_maps(found: np.ndarray) -> list[int]:
-    """Parity bits of 256 residues, as four signed longs: coarse, but cheap to compare while lists are joined."""
-    odd = np.bincount((found & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    """Parity bits of 1,024 residues, as signed longs: coarse, but cheap to compare while lists are joined."""
+    size = 64 * len(MAPS)
+    odd = np.bincount((found & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(bool)).view(np.int64).tolist()
 
 
@@ -257,12 +258,10 @@ def hub_pairs(lists: DataFrame) -> DataFrame:
 
 
 def cross_pairs(lists: DataFrame, linked: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Members of a list that no common hub connects, where sizes, places and small parity maps allow a link. ``linked``: a, b (written)."""
-    # The smallest node within two links: the same for all that link with one hub.
-    ends = linked.select(F.col("a").alias("node"), F.col("b").alias("_near")).union(linked.select("b", "a"))
-    first = ends.groupBy("node").agg(F.min(F.least("node", "_near")).alias("_label"))
-    label = ends.join(first.withColumnRenamed("node", "_near"), "_near").groupBy("node").agg(F.min("_label").alias("_label"))
-    label = _small_side(cut(label, "jaccard-labels"))
+    """Members of a list that no links connect, where sizes, places and small parity maps allow a link. ``linked``: a, b (written)."""
+    # Members of one component are connected already, by however many links.
+    label = components(lists.sparkSession, linked).withColumnRenamed("component", "_label")
+    label = _small_side(label)
     rows = lists.join(label, "node", "left").withColumn("label", F.coalesce("_label", "node")).drop("_label", "at")
     w = Window.partitionBy("key")
     mixed = rows.withColumn("_mixed", F.min("label").over(w) < F.max("label").over(w)).filter("_mixed").drop("_mixed")
@@ -398,6 +397,6 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     rows = docs.select(whole, F.col(f"`{doc_id}`").cast("long").alias("_id"), F.pandas_udf(_nodes, "long")(F.col(f"`{text}`")).alias("_node"))
     rows = cut(rows, "jaccard-rows")
     chosen = rows.alias("r").join(best.alias("b"), F.expr("r._id <=> b._id and r._node = b._node"), "left_semi")
-    first = chosen.withColumn("_first", F.row_number().over(Window.partitionBy("_id", "_node").orderBy(F.lit(1)))).filter("_first = 1")
+    first = chosen.withColumn("_first", F.row_number().over(Window.partitionBy("_id", "_node").orderBy(F.to_json("_row")))).filter("_first = 1")
     names = [F.col("_row").getField(c).alias(c) for c in docs.columns]
     return first.select(*names).unionByName(rows.filter("_node is null").select(*names))

@@ -67,13 +67,16 @@ def place(df: DataFrame, keys: list[str], shards: list[str], slots: int = SLOTS,
     """
     spark = df.sparkSession
     owners = [(slot, shards[i]) for slot, i in enumerate(lookup_table(shards, slots).tolist())]
-    table = spark.createDataFrame(owners, "_slot int, _shard string")
-    kept = [F.col(f"`{c}`") for c in df.columns if c != out]
-    rows = df.select(*kept, slot_of(*(F.col(f"`{k}`") for k in keys), slots=slots).alias("_slot"))
-    return rows.join(F.broadcast(table), "_slot").withColumnRenamed("_shard", out).drop("_slot")
+    table = spark.createDataFrame(owners, "slot int, owner string")
+    # A row is carried as one value, so its columns may have any names.
+    kept = [c for c in df.columns if c != out]
+    whole = F.struct(*[F.col(f"`{c}`") for c in kept], F.lit(0)).alias("row")
+    rows = df.select(whole, slot_of(*(F.col(f"`{k}`") for k in keys), slots=slots).alias("slot"))
+    placed = rows.join(F.broadcast(table), "slot")
+    return placed.select(*[F.col("row").getField(c).alias(c) for c in kept], F.col("owner").alias(out))
 
 
 def write_shards(df: DataFrame, path: str, column: str = "shard", files: int = 1) -> None:
     """Write one folder for each shard, each in up to ``files`` files; rows are dealt out over these by a hash of all columns."""
     salt = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(files))
-    df.withColumn("_file", salt).repartition(column, "_file").drop("_file").write.partitionBy(column).parquet(path)
+    df.repartition(F.col(f"`{column}`"), salt).write.partitionBy(column).parquet(path)

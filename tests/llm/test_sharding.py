@@ -54,6 +54,29 @@ def test_place(spark):
     assert sharding.place(messy.empty(spark), ["doc_id"], ["x"], 31).count() == 0
 
 
+def test_clashing_names(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", "b", "c", "d"), (2, "e", "f", "g", "h")], "doc_id long, slot string, owner string, row string, _file string")
+    out = sharding.place(df, ["doc_id"], ["x"], 31, out="_shard")
+    assert out.columns == [*df.columns, "_shard"] and out.drop("_shard").exceptAll(df).count() == 0
+    sharding.write_shards(out, str(tmp_path / "out"), "_shard")
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(back.columns) == sorted(out.columns) and back.count() == 2
+    assert sharding.place(df, ["doc_id"], ["x"], 31, out="row").columns == ["doc_id", "slot", "owner", "_file", "row"]
+
+
+def xxh(text):
+    import xxhash
+
+    return (xxhash.xxh64_intdigest(text.encode(), seed=42) + 2**63) % 2**64 - 2**63
+
+
+def test_every_row_lies_where_the_table_says(spark, folder):
+    rows = catalog.op1_sharding(spark, folder).collect()
+    for shards, column in ((catalog.SHARDS, "shard"), ([*catalog.SHARDS, f"shard-{len(catalog.SHARDS):04d}"], "shard_if_added")):
+        table = sharding.lookup_table(shards)
+        assert all(r[column] == shards[table[xxh(f"={r.doc_id}") % sharding.SLOTS]] for r in rows)
+
+
 def test_write(spark, tmp_path):
     df = sharding.place(messy.frame(spark), ["doc_id"], ["x", "y"], 31)
     sharding.write_shards(df, str(tmp_path / "out"), files=2)

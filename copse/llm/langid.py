@@ -15,6 +15,7 @@ is taken from labelled documents kept out of learning: those of the language, an
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,9 @@ PROBES = 2
 MAX_LANGUAGES = 1_024
 UNKNOWN = "und"
 
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+# Digits of other kinds, fractions and numerals count as word characters, but are no letters.
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_NO_LETTERS = re.compile(rf"[\W\d_{_NUMERALS}]+")
 _CHUNK = 1 << 20
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -124,9 +127,9 @@ class LanguageFilter:
 
 
 def _sampled(rows: DataFrame, sizes: dict[str, int], sample_docs: int) -> DataFrame:
-    """About ``sample_docs`` rows (text, lang, key) of each language, chosen by a hash of the key."""
+    """About ``sample_docs`` rows (text, lang, key) of each language, chosen by a hash of key and text, so rows without key are spread too."""
     shares = F.create_map(*(F.lit(x) for k, n in sorted(sizes.items()) for x in (k, sample_docs / n)))
-    drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30)
+    drawn = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 30)) / float(1 << 30)
     return rows.filter(drawn < shares[F.col("lang")]).select("lang", "text")
 
 

@@ -6,22 +6,26 @@ from pyspark.sql import functions as F
 from copse.llm import catalog, langid
 
 
-def brute(texts_by_lang, text):
-    """Exact sets instead of filters."""
+def exact_sets(texts_by_lang):
+    """What the filters hold, as sets."""
     counts = {}
     for lang, texts in texts_by_lang.items():
         for t in texts:
             for g in langid._grams(t):
                 for x in g.tolist():
                     counts.setdefault(lang, {})[x] = counts.get(lang, {}).get(x, 0) + 1
+    counts = {k: dict(sorted(c.items(), key=lambda x: (-x[1], x[0]))[: langid.TOP_GRAMS]) for k, c in counts.items()}
     share = {k: {g: n / sum(c.values()) for g, n in c.items()} for k, c in counts.items()}
     best = {}
     for c in share.values():
         for g, p in c.items():
             best[g] = max(best.get(g, 0), p)
-    members = {k: {g for g, p in c.items() if p >= langid.MIN_RATIO * best[g]} for k, c in share.items()}
+    return {k: {g for g, p in c.items() if p >= langid.MIN_RATIO * best[g]} for k, c in sorted(share.items())}
+
+
+def brute(members, text):
     grams = [x for g in langid._grams(text or "") for x in g.tolist()]
-    return {k: sum(x in m for x in grams) for k, m in sorted(members.items())}
+    return {k: sum(x in m for x in grams) for k, m in members.items()}
 
 
 def test_filters_return_the_languages_of_a_trigram():
@@ -45,10 +49,21 @@ def test_held_out_accuracy_and_brute_force(spark, folder):
     assert ((out.lang_pred == lang)[out.held_out]).mean() > 0.97
     assert out.score.between(0, 1).all()
     learnt = docs.loc[out.index[~out.held_out]].groupby("lang").text.apply(list).to_dict()
-    for i in out.index[out.held_out][:10]:
-        hits = brute(learnt, docs.text[i])
-        assert max(sorted(hits), key=hits.get) == out.lang_pred[i]
-        assert abs(max(hits.values()) / sum(hits.values()) - out.score[i]) < 0.02
+    members = exact_sets(learnt)
+    for i in out.index[out.held_out]:
+        hits = brute(members, docs.text[i])
+        first, second = sorted(hits.values())[-1], sorted(hits.values())[-2]
+        if first - second > 3:  # nearer ones may be turned by a false positive
+            assert max(sorted(hits), key=hits.get) == out.lang_pred[i]
+        if sum(hits.values()) > 50:
+            assert abs(first / sum(hits.values()) - out.score[i]) < 0.05
+
+
+def test_numerals_are_no_letters(spark):
+    texts = ["½ ²", "Ⅷ", "①", "٣ ४", "½a", "一"]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)] + [(99, "some text in english to learn from", "en")], "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in langid.predict(df).collect()}
+    assert [found[i] for i in range(6)] == ["und", "und", "und", "und", "en", "en"]
 
 
 def test_ids_and_labels_are_no_input(spark, folder):

@@ -1,9 +1,13 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraph digests, by DataFrame functions alone.
 
-Lines are paragraphs; long ones, and those of texts with few, are cut further at sentence ends and words chosen by their content. A fingerprint has ``CELLS`` cells. Each paragraph's digest goes to one cell in each of three parts; a cell holds the number, the XOR of the digests
-and the XOR of their checks. Subtracting two versions' cells leaves the digests by which they differ, and peeling recovers those: a cell with a single
-digest gives it away, taking it out of its other cells may leave further single ones, and so on. Where that gets stuck, larger
-sketches are made: the digests are divided into small blocks by their bits, and each block gets a sketch that is doubled until it peels.
+Lines are paragraphs; long ones, and those of texts with few, are cut further at sentence ends and words chosen by their content. Each paragraph's
+digest goes to one cell in each of three parts; a cell holds the number, the XOR of the digests and the XOR of their checks. Subtracting two
+versions' cells leaves the digests by which they differ, and peeling recovers those: a cell with a single digest gives it away, taking
+it out of its other cells may leave further single ones, and so on. A fingerprint is a sketch of ``CELLS`` cells as text. For comparing, sketches are sized by
+the number of digests, so most peel at the first attempt; the others are made again with twice the cells until they do.
+
+Cells are rows, summed by one aggregate; a step of peeling looks at one part, where no digest has two cells, and is one more aggregate. All of them keep
+the partitioning by document, so digests are shuffled once.
 """
 
 from __future__ import annotations
@@ -15,19 +19,13 @@ from pyspark.sql.window import Window
 from copse.session import cut
 
 CELLS = 24
-"""Cells of a fingerprint, in three parts; some 15 differing paragraphs can be recovered from it."""
+"""Cells of a fingerprint's text, in three parts."""
 
-FIRST_KEYS = 16
-"""Sets with more digests on both sides together are divided at once."""
+CELLS_PER_KEY = 2
+"""Cells of a sketch for each digest of both versions, before rounding up to a power of two a part; below 0.8 digests a cell, peeling ends well."""
 
-BLOCK_KEYS = 8
-"""Digests of the larger side in one block of a retry, about."""
-
-RETRY_CELLS = (36, 72, 144)
-"""Sizes of the sketches of a block, tried in turn; what even the last leaves is compared digest by digest."""
-
-ROUNDS = 24
-"""Peeling stops after so many rounds; each takes out every digest that stands alone in a cell."""
+SWEEPS = 4
+"""Peeling goes over the three parts so many times in one attempt."""
 
 BUCKET_ROWS = 500
 MAX_BUCKETS = 20_000
@@ -100,46 +98,6 @@ def sketch(keys: Column, cells: int) -> Column:
     return _let(F.transform(keys, lambda k: _places(k, cells)), made)
 
 
-def subtract(a: Column, b: Column) -> Column:
-    """What is left of ``a`` when ``b`` is taken from it, cell by cell."""
-    return F.zip_with(a, b, lambda x, y: _cell(x["n"] - y["n"], x["key"].bitwiseXOR(y["key"]), x["check"].bitwiseXOR(y["check"])))
-
-
-def peel(difference: Column, cells: int) -> Column:
-    """``struct(done, left, right)``: whether all was recovered, and the numbers of digests on one side only."""
-
-    def alone(now: Column) -> Column:
-        # A digest alone in several cells is seen in each; it counts once.
-        single = F.filter(now, lambda c: (F.abs(c["n"]) == 1) & (_check(c["key"]) == c["check"]))
-        return F.array_distinct(F.transform(single, lambda c: F.struct(c["n"].alias("sign"), _places(c["key"], cells).alias("p"))))
-
-    def out_of(cell: Column, i: Column, found: Column) -> Column:
-        return F.aggregate(
-            found, cell,
-            lambda acc, f: F.when(
-                _in_cell(f["p"], i),
-                _cell(acc["n"] - f["sign"], acc["key"].bitwiseXOR(f["p"]["key"]), acc["check"].bitwiseXOR(f["p"]["check"])),
-            ).otherwise(acc),
-        )
-
-    def state(now: Column, left: Column, right: Column, open_: Column) -> Column:
-        return F.struct(now.alias("cells"), left.cast("int").alias("left"), right.cast("int").alias("right"), open_.alias("open"))
-
-    def round_(acc: Column, _: Column) -> Column:
-        def use(found: Column) -> Column:
-            rest = F.transform(acc["cells"], lambda c, i: out_of(c, i, found))
-            left = acc["left"] + F.size(F.filter(found, lambda f: f["sign"] > 0))
-            right = acc["right"] + F.size(F.filter(found, lambda f: f["sign"] < 0))
-            return F.when(F.size(found) > 0, state(rest, left, right, F.lit(True))).otherwise(state(acc["cells"], acc["left"], acc["right"], F.lit(False)))
-
-        return F.when(acc["open"], _let(alone(acc["cells"]), use)).otherwise(acc)
-
-    start = state(difference, F.lit(0), F.lit(0), F.lit(True))
-    empty = lambda now: ~F.exists(now, lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0))
-    end = lambda acc: F.struct(empty(acc["cells"]).alias("done"), acc["left"].alias("left"), acc["right"].alias("right"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_, end)
-
-
 def as_text(cells: Column, text: Column) -> Column:
     """A fingerprint as a string: its cells in hexadecimal, and a digest of the whole text, which also tells orders of paragraphs apart."""
     parts = F.transform(cells, lambda c: F.concat_ws(".", F.hex(c["n"].cast("long")), F.lower(F.hex(c["key"])), F.lower(F.hex(c["check"]))))
@@ -207,62 +165,84 @@ def compare(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         *(digests(F.col(c)).alias(s) for s, c in (("a", "text"), ("e", "edited"), ("x", "next"))),
     )
 
-    def tried(a: Column, b: Column, size: Column) -> Column:
-        # More digests than a sketch of this size can give back are known by their numbers to need a larger one.
-        return F.when(size <= FIRST_KEYS, peel(subtract(a, b), CELLS))
-
-    def all_of(s: Column) -> Column:
-        return F.struct(
-            as_text(s["a"], F.col("text")).alias("fingerprint"), as_text(s["e"], F.col("edited")).alias("edited_fingerprint"),
-            tried(s["a"], s["e"], F.size("a") + F.size("e")).alias("edited"), tried(s["a"], s["x"], F.size("a") + F.size("x")).alias("next"),
-        )
-
-    small = F.struct(*(sketch(F.col(s), CELLS).alias(s) for s in ("a", "e", "x")))
-    first = rows.select("doc_id", "n_chars", "edited_sha256", "a", "e", "x", _let(small, all_of).alias("m"))
-    edited, after = F.col("m.edited"), F.col("m.next")
-    done = F.coalesce(edited["done"] & after["done"], F.lit(False))
-    first = first.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "n_chars", "edited_sha256", "m.fingerprint", "m.edited_fingerprint", F.size("a").alias("n"),
-        F.when(edited["done"], edited).alias("edited"), F.when(after["done"], after).alias("next"),
-        *(F.when(~done, F.col(s)).alias(s) for s in ("a", "e", "x")),
-    )
+    small = F.struct(*(sketch(F.col(s), CELLS).alias(s) for s in ("a", "e")))
+    texts = _let(small, lambda s: F.struct(as_text(s["a"], F.col("text")).alias("own"), as_text(s["e"], F.col("edited")).alias("edited")))
+    first = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_chars", "edited_sha256", "a", "e", "x", texts.alias("t"))
+    first = first.select("row", "doc_id", "n_chars", "edited_sha256", F.col("t.own").alias("fingerprint"), F.col("t.edited").alias("edited_fingerprint"), "a", "e", "x")
     first = cut(first, "fingerprints")
-    joined = first.drop("a", "e", "x").join(retry(first.filter("a is not null").select("row", "a", "e", "x")), "row", "left")
+    sizes = first.select("row", "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", F.size("a").alias("n"))
+    joined = sizes.join(differences(first.select("row", "a", "e", "x")), "row", "left")
 
     def near(name: str) -> Column:
-        side = lambda s: F.coalesce(F.col(f"{name}.{s}"), F.col(f"_{name}.{s}"))
+        side = lambda s: F.coalesce(F.col(f"{s}_{name}"), F.lit(0))  # noqa: E731  no row: no difference
         return likeness(F.col("n"), side("left"), side("right")).cast("double").alias(f"near_{name}")
 
     return joined.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near("edited"), near("next"))
 
 
-def _parts(rows: DataFrame, count: Column, bits: int) -> DataFrame:
-    """Each row's digests divided into ``count`` parts by their value."""
+PAIRS = {"edited": "e", "next": "x"}
+"""What the text's digests (column ``a``) are compared with: the name of a comparison and the column of the other digests."""
 
-    def part(i: Column) -> Column:
-        own = lambda c: F.filter(F.col(c), lambda k: F.pmod(F.shiftrightunsigned(k, bits), count) == i).alias(c)
-        return F.struct(own("a"), own("e"), own("x"))
 
-    made = rows.select("row", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), count - 1), part)).alias("p"), count.alias("parts"))
-    return made.select("row", "p.a", "p.e", "p.x")
+def _hashed(key: Column, part: int, share: Column) -> Column:
+    """The cell of a digest in a part of a sketch whose parts have ``share`` cells each, a power of two."""
+    return F.xxhash64(key, F.lit(part)).bitwiseAND(share - 1) + share * part
 
 
-def retry(rows: DataFrame) -> DataFrame:
-    """row, _edited, _next (left, right) for rows (row, a, e, x) whose small sketches did not peel; work and memory follow the number of digests.
+def cells_of(rows: DataFrame, attempt: int) -> DataFrame:
+    """The cells, as rows, of the difference of each pair of digest sets (row, a, e, x): row, pair, share, cell, n, key, check; empty ones left out."""
 
-    Digests are divided twice by the square root of the number of blocks, so even very long documents need no quadratic work.
-    """
-    most = F.greatest(F.size("a"), F.size("e"), F.size("x"))
-    side = lambda: F.greatest(F.lit(1), F.ceil(F.sqrt(most / BLOCK_KEYS))).cast("long")
-    blocks = _parts(_parts(rows, side(), 3), side(), 33)
-
-    def solve(a: Column, b: Column, sizes: tuple[int, ...]) -> Column:
-        if not sizes:
-            exact = lambda x, y: F.size(F.array_except(x, y))
-            return F.struct(F.lit(True).alias("done"), exact(a, b).alias("left"), exact(b, a).alias("right"))
-        tried = peel(subtract(sketch(a, sizes[0]), sketch(b, sizes[0])), sizes[0])
-        return _let(tried, lambda t: F.when(t["done"], t).otherwise(solve(a, b, sizes[1:])))
-
-    solved = blocks.select("row", solve(F.col("a"), F.col("e"), RETRY_CELLS).alias("e"), solve(F.col("a"), F.col("x"), RETRY_CELLS).alias("x"))
-    total = lambda c, name: F.struct(F.sum(f"{c}.left").alias("left"), F.sum(f"{c}.right").alias("right")).alias(name)
-    return solved.groupBy("row").agg(total("e", "_edited"), total("x", "_next"))
+    def side(name: str, sign: int, keys: str) -> Column:
+        wanted = F.ceil((F.size("a") + F.size(PAIRS[name])) * (CELLS_PER_KEY / 3))
+        share = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(F.greatest(wanted.cast("long"), F.lit(8)) - 1)) + attempt)
+        return F.struct(F.lit(name).alias("pair"), F.lit(sign).cast("long").alias("n"), share.alias("share"), F.col(keys).alias("keys"))
+
+    sides = F.explode(F.array(*(side(p, sign, c) for p, other in PAIRS.items() for sign, c in ((1, "a"), (-1, other))))).alias("s")
+    keys = rows.select("row", sides).select("row", "s.pair", "s.n", "s.share", F.explode("s.keys").alias("key"))
+    keys = keys.withColumn("check", _check(F.col("key")))
+    cells = F.explode(F.array(*(_hashed(F.col("key"), p, F.col("share")) for p in range(3)))).alias("cell")
+    return _summed(keys.select("row", "pair", "share", cells, "n", "key", "check"))
+
+
+def _summed(cells: DataFrame) -> DataFrame:
+    added = cells.groupBy("row", "pair", "share", "cell").agg(F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"))
+    return added.filter("n <> 0 OR key <> 0 OR check <> 0")
+
+
+LEFT, RIGHT = -1, -2
+"""Numbers of the cells in which the digests recovered from either side are counted."""
+
+
+def peeled(cells: DataFrame, part: int) -> DataFrame:
+    """The cells after all digests that stand alone in a cell of ``part`` have been taken out and counted."""
+    key, check, n, share, cell = (F.col(c) for c in ("key", "check", "n", "share", "cell"))
+    single = (F.abs(n) == 1) & (_check(key) == check) & (cell >= share * part) & (cell < share * (part + 1))
+    record = lambda c, k, x, h: F.struct(c.cast("long").alias("cell"), k.alias("n"), x.alias("key"), h.alias("check"))
+    counted = record(F.when(n > 0, LEFT).otherwise(RIGHT), F.lit(1).cast("long"), _zero(), _zero())
+    out = F.array(counted, *(record(_hashed(key, p, share), -n, key, check) for p in range(3) if p != part))
+    moved = F.explode(F.when(single, out).otherwise(F.array(record(cell, n, key, check)))).alias("c")
+    return _summed(cells.select("row", "pair", "share", moved).select("row", "pair", "share", "c.cell", "c.n", "c.key", "c.check"))
+
+
+def attempted(rows: DataFrame, attempt: int) -> DataFrame:
+    """row, left and right (digests on one side only) of each comparison, and whether cells are left that do not peel; no row where nothing differs."""
+    cells = cells_of(rows.repartition("row"), attempt)
+    for _ in range(SWEEPS):
+        for part in range(3):
+            cells = peeled(cells, part)
+    told = lambda name, number: F.sum(F.when((F.col("pair") == name) & (F.col("cell") == number), F.col("n")).otherwise(0))
+    counts = [told(name, number).alias(f"{side}_{name}") for name in PAIRS for side, number in (("left", LEFT), ("right", RIGHT))]
+    return cells.groupBy("row").agg(*counts, F.max(F.col("cell") >= 0).alias("stuck"))
+
+
+def differences(rows: DataFrame) -> DataFrame:
+    """row, left_edited, right_edited, left_next, right_next for rows (row, a, e, x; written); no row where nothing differs."""
+    found = cut(attempted(rows, 0), "differences")
+    done, attempt = found.filter("NOT stuck"), 0
+    while not found.filter("stuck").isEmpty():
+        attempt += 1
+        # With every attempt a sketch's cells double and so tell apart what shared all of them.
+        rows = rows.join(found.filter("stuck").select("row"), "row", "left_semi")
+        found = cut(attempted(rows, attempt), "differences")
+        done = done.unionByName(found.filter("NOT stuck"))
+    return done.drop("stuck")

@@ -44,17 +44,32 @@ JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) r ON r.do
 """
 
 
+_MEASURES = ("symbols", "dup_lines", "repeats", "word_length")
+
+
 def _fences() -> str:
-    """A SELECT of the fences of one measure for each group, from its documents one by one."""
+    """A SELECT of the quantiles of one measure for each group, from its documents one by one."""
+    reached = lambda tenths: f"min(value) FILTER (10 * place >= {tenths} * n)"
     return " UNION ALL ".join(
-        f"""SELECT {keys}, '{measure}' AS measure, count(*) AS n, quantile_disc({measure}, 0.25) AS q1, quantile_disc({measure}, 0.75) AS q3,
-        {quality.REACH} * greatest(quantile_disc({measure}, 0.75) - quantile_disc({measure}, 0.25), {least}) AS reach
-        FROM m WHERE NOT base_failed GROUP BY {group}"""
-        for keys, group in (("lang, source, false AS whole", "lang, source"), ("lang, NULL AS source, true AS whole", "lang"))
-        for measure, least in quality.LEAST_SPREAD.items()
+        f"""SELECT lang, {source} AS source, {whole} AS whole, '{measure}' AS measure, any_value(n) AS n,
+        {reached(quality.TAIL_TENTHS)} AS low, {reached(5)} AS mid, {reached(10 - quality.TAIL_TENTHS)} AS high
+        FROM (SELECT lang, source, {_leading(measure)} AS value, count(*) OVER (PARTITION BY {group}) AS n,
+          row_number() OVER (PARTITION BY {group} ORDER BY {_leading(measure)}) AS place FROM m WHERE NOT base_failed) GROUP BY {group}"""
+        for source, whole, group in (("source", "false", "lang, source"), ("NULL", "true", "lang"))
+        for measure in _MEASURES
     )
 
 
+def _leading(value: str) -> str:
+    """A value's ten leading bits."""
+    rest = f"CAST(greatest(length(bin({value})) - {quality.SKETCH_BITS}, 0) AS INTEGER)"
+    return f"((({value}) >> {rest}) << {rest})"
+
+
+def _share(count: str, of: str) -> str:
+    return f"coalesce(CAST(floor(1000 * greatest({count} - 2 * sqrt(CAST({count} AS DOUBLE)), 0::DOUBLE) / nullif(CAST({of} AS DOUBLE), 0)) AS BIGINT), 0)"
+
+
 QUALITY = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d),
@@ -74,21 +89,23 @@ c AS (
   FROM w LEFT JOIN r ON r.rid = w.rid LEFT JOIN l ON l.rid = w.rid),
 m AS (
   SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed,
-    coalesce(least(1000 * n_symbols // nullif(word_chars, 0), {quality.TOP}), 0) AS symbols,
-    coalesce(least(1000 * n_dup_lines // nullif(n_lines, 0), {quality.TOP}), 0) AS dup_lines,
-    coalesce(least(1000 * n_repeat_words // nullif(n_words, 0), {quality.TOP}), 0) AS repeats,
-    coalesce(least(10 * word_chars // nullif(n_words, 0), {quality.TOP}), 0) AS word_length
+    {_share("n_symbols", "word_chars")} AS symbols, {_share("n_dup_lines", "n_lines")} AS dup_lines, {_share("n_repeat_words", "n_words")} AS repeats,
+    coalesce(CAST(10 * word_chars // nullif(n_words, 0) AS BIGINT), 0) AS word_length
   FROM c),
-f AS ({_fences()}),
-v AS (
-  SELECT m.rid, bool_and(value BETWEEN x.q1 - x.reach AND x.q3 + x.reach) AS inside
-  FROM (SELECT rid, lang, source, unnest(['symbols', 'dup_lines', 'repeats', 'word_length']) AS measure, unnest([symbols, dup_lines, repeats, word_length]) AS value FROM m WHERE NOT base_failed) m
-  JOIN f own ON NOT own.whole AND own.lang IS NOT DISTINCT FROM m.lang AND own.source IS NOT DISTINCT FROM m.source AND own.measure = m.measure
-  JOIN f x ON x.lang IS NOT DISTINCT FROM m.lang AND x.measure = m.measure
-    AND x.whole = (own.n < {quality.MIN_GROUP}) AND (x.whole OR x.source IS NOT DISTINCT FROM m.source)
-  GROUP BY m.rid)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(NOT base_failed AND inside, false) AS kept, n_lines
-FROM m LEFT JOIN v ON v.rid = m.rid
+f AS (
+  SELECT lang, source, whole, max(n) AS n,
+    {", ".join(f"max(high + {quality.REACH} * (high - mid) + 1) FILTER (measure = '{x}') AS high_{x}" for x in _MEASURES)},
+    max(low - {quality.REACH} * (mid - low) - 1) FILTER (measure = 'word_length') AS low_word_length
+  FROM ({_fences()}) GROUP BY lang, source, whole)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  coalesce(NOT base_failed AND symbols <= x.high_symbols AND dup_lines <= x.high_dup_lines AND repeats <= x.high_repeats
+    AND word_length BETWEEN x.low_word_length AND x.high_word_length, false) AS kept, n_lines,
+  CAST(x.high_symbols AS BIGINT) AS high_symbols, CAST(x.high_dup_lines AS BIGINT) AS high_dup_lines, CAST(x.high_repeats AS BIGINT) AS high_repeats,
+  CAST(x.low_word_length AS BIGINT) AS low_word_length, CAST(x.high_word_length AS BIGINT) AS high_word_length
+FROM m
+LEFT JOIN f own ON NOT own.whole AND own.lang IS NOT DISTINCT FROM m.lang AND own.source IS NOT DISTINCT FROM m.source
+LEFT JOIN f x ON own.n IS NOT NULL AND x.lang IS NOT DISTINCT FROM m.lang AND x.whole = (own.n < {quality.MIN_GROUP})
+  AND (x.whole OR x.source IS NOT DISTINCT FROM m.source)
 """
 
 

@@ -1,3 +1,4 @@
+import math
 import re
 
 import messy
@@ -22,14 +23,20 @@ def brute(rows):
     counts = [brute_counts(r.text) for r in rows]
     failed = [c[0] < 50 or 100 * c[4] > 50 * c[0] for c in counts]
 
+    def share(k, n):
+        return math.floor(1000 * max(k - 2 * math.sqrt(k), 0.0) / n) if n else 0
+
     def measures(c):
-        ratio = lambda a, b: min(a // b, quality.TOP) if b else 0
-        return {"symbols": ratio(1000 * c[2], c[1]), "dup_lines": ratio(1000 * c[3], c[5]), "repeats": ratio(1000 * c[4], c[0]), "word_length": ratio(10 * c[1], c[0])}
+        return {"symbols": share(c[2], c[1]), "dup_lines": share(c[3], c[5]), "repeats": share(c[4], c[0]), "word_length": 10 * c[1] // c[0] if c[0] else 0}
+
+    def sketched(v):
+        rest = max(v.bit_length() - quality.SKETCH_BITS, 0)
+        return v >> rest << rest
 
     def fences(values):
-        values = sorted(values)
-        q1, q3 = (next(v for i, v in enumerate(values) if i + 1 >= p * len(values)) for p in (0.25, 0.75))
-        return q1, q3
+        values = sorted(map(sketched, values))
+        low, mid, high = (next(v for i, v in enumerate(values) if 10 * (i + 1) >= p * len(values)) for p in (1, 5, 9))
+        return low - 6 * (mid - low) - 1, high + 6 * (high - mid) + 1
 
     groups: dict = {}
     for r, c, f in zip(rows, counts, failed):
@@ -42,10 +49,9 @@ def brute(rows):
         if kept:
             own = groups[r.lang, r.source]
             own = own if len(own) >= quality.MIN_GROUP else groups[r.lang,]
-            for m, least in quality.LEAST_SPREAD.items():
-                q1, q3 = fences([x[m] for x in own])
-                reach = quality.REACH * max(q3 - q1, least)
-                kept &= q1 - reach <= measures(c)[m] <= q3 + reach
+            for m, v in measures(c).items():
+                low, high = fences([x[m] for x in own])
+                kept &= v <= high and (m != "word_length" or v >= low)
         row = (r.doc_id, *c[:5], f, kept)
         out[row] = out.get(row, 0) + 1
     return out
@@ -78,6 +84,27 @@ def test_query(spark, folder, monkeypatch):
     assert bad.filter("kept").count() <= 0.1 * bad.count()
 
 
+def test_sql(spark, folder):
+    import oracle_check
+
+    told = oracle_check.compare(spark, oracle_check.connect(folder), folder, catalog.op9_quality_rules, catalog.SQL["op9_quality_rules"])
+    assert told.startswith("ok"), told
+
+
+def test_fences_follow_each_source_and_decide(spark):
+    """The same texts, kept in the source whose style they have and rejected in the other; nothing but the sources' documents tells them apart."""
+    plain = lambda i: " ".join(f"{'abcdefgh'[(i + k) % 8]}word{i % 13}x{k}" for k in range(60 + i % 5))
+    marked = lambda i: " ".join(f"|{'abcdefgh'[(i + k) % 8]}word{i % 13}x{k}#" if k % 3 else f"##{k}" for k in range(60 + i % 5))
+    long = lambda i: " ".join("abcdefgh"[(i + k) % 8] * (90 + (i + k) % 90) + str(k) for k in range(55))
+    rows = [(kind, t(i)) for kind, t in (("plain", plain), ("marked", marked), ("long", long)) for i in range(250)]
+    odd = [("plain", marked(1)), ("plain", long(1)), ("long", plain(1))]
+    df = spark.createDataFrame([(i, t, "en", s, None) for i, (s, t) in enumerate(rows + odd)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r.doc_id: r for r in quality.judge(df).collect()}
+    assert sum(not out[i].kept for i in range(750)) <= 15 and not any(out[750 + i].kept for i in range(3))
+    assert out[0].high_symbols == 1 and out[250].high_symbols > 100 and out[500].low_word_length > 300 > out[0].high_word_length
+    assert messy.counted(quality.judge(df), COLUMNS) == brute(df.collect())
+
+
 def test_main_path_is_native(spark, folder):
     plan = quality.judge(spark.read.parquet(f"{folder}/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

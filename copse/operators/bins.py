@@ -27,8 +27,18 @@ def eps_points(eps: float) -> list[float]:
     return [round(eps * (i + 1), 12) for i in range(steps)]
 
 
-def quantile_cuts(df: DataFrame, columns: Sequence[str], points: Sequence[float], rounds: int | None = None) -> list[list[float]]:
-    """Distinct finite quantiles of every column: the least value that at least the share ``p`` of all do not exceed.
+WEIGHT_STEPS = float(1 << 26)
+
+
+def whole_weight(hessian: Column) -> Column:
+    """A hessian as a whole number of 2^-26, so sums of weights are exact."""
+    return F.floor(hessian * WEIGHT_STEPS)
+
+
+def quantile_cuts(
+    df: DataFrame, columns: Sequence[str], points: Sequence[float], rounds: int | None = None, weight: Column | None = None
+) -> list[list[float]]:
+    """Distinct finite quantiles of every column: the least value that at least the share ``p`` of all (by number, or by ``weight``) do not exceed.
 
     Exact and the same on any partitioning; with ``rounds``, near enough to cut blocks by. ``df`` is read several times.
     """
@@ -37,7 +47,7 @@ def quantile_cuts(df: DataFrame, columns: Sequence[str], points: Sequence[float]
         # Float noise in the product must not move a rank: 0.55 * 6000 is 3300.
         return [max(1, math.ceil(round(p * n, 6))) - 1 for p in points]
 
-    found = order_statistics(df, [F.col(c) for c in columns], ranks, rounds)
+    found = order_statistics(df, [F.col(c) for c in columns], ranks, rounds, weight)
     return [sorted({v for v in vs if math.isfinite(v)}) for vs in found]
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import skew_join
+from .rank import ranked
+
 MAX_CATEGORIES = 10_000
 
 
@@ -61,7 +64,7 @@ def one_hot(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> DataFram
     """Replace a category column by one 0/1 column per value.
 
     Every value becomes a column, so a column with more than ``limit`` values
-    is refused rather than cut short.
+    is refused rather than cut short; ``one_hot_sparse`` takes any number.
     """
     values = [r[0] for r in df.select(column).distinct().limit(limit + 2).collect()]
     values = sorted(v for v in values if v is not None)
@@ -70,3 +73,19 @@ def one_hot(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> DataFram
     # A NULL category is 0 in every column.
     flags = {f"{column}_{v}": F.when(F.col(column) == F.lit(v), 1).otherwise(0) for v in values}
     return df.withColumns(flags).drop(column)
+
+
+def category_index(df: DataFrame, column: str, name: str = "index") -> DataFrame:
+    """The distinct values of a column, numbered from 0 in their order (written); NULL is none of them."""
+    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    return ranked(values, [F.col(column)], name).withColumn(name, F.col(name) - 1)
+
+
+def one_hot_sparse(df: DataFrame, row_id: str, column: str) -> DataFrame:
+    """The non-zero entries of the 0/1 matrix of a category column: ``row_id, index, value``.
+
+    Columns of the matrix are numbered by ``category_index``, without any value on the driver. Rows with a NULL category have no
+    entry. A frequent value's rows are spread over several tasks.
+    """
+    rows = df.select(row_id, column).filter(F.col(column).isNotNull())
+    return skew_join(rows, category_index(df, column), [column], row_id).select(row_id, "index", F.lit(1).alias("value"))

@@ -23,12 +23,13 @@ def _double(number: int) -> float:
     return -value if number < 0 else value
 
 
-def numbered(df: DataFrame, columns: Sequence[Column], names: Sequence[str]) -> DataFrame:
-    """The columns as numbers in the order of their values, 0 for both zeros, NULL for NULL and NaN."""
-    values = df.select(*[F.nanvl(c.cast("double"), F.lit(None)).alias(n) for c, n in zip(columns, names)])
+def numbered(df: DataFrame, columns: Sequence[Column], names: Sequence[str], weight: Column | None = None) -> DataFrame:
+    """The columns as numbers in the order of their values, 0 for both zeros, NULL for NULL and NaN; and the row's weight ``_w``."""
+    own = (F.lit(1) if weight is None else weight).cast("long").alias("_w")
+    values = df.select(own, *[F.nanvl(c.cast("double"), F.lit(None)).alias(n) for c, n in zip(columns, names)])
     text = [F.when(F.col(n).isNotNull(), F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.col(n))) for n in names]
-    bits = values.select(*[t.cast("long").alias(n) for t, n in zip(text, names)])
-    return bits.select(*[F.when(F.col(n) >= 0, F.col(n)).otherwise(-F.col(n).bitwiseAND(_MASK)).alias(n) for n in names])
+    bits = values.select("_w", *[t.cast("long").alias(n) for t, n in zip(text, names)])
+    return bits.filter("_w > 0").select("_w", *[F.when(F.col(n) >= 0, F.col(n)).otherwise(-F.col(n).bitwiseAND(_MASK)).alias(n) for n in names])
 
 
 @dataclass(frozen=True)
@@ -53,17 +54,19 @@ def _part(number: Column, shift: int) -> Column:
     return F.shiftright(number, shift) if shift < 64 else F.lit(0).cast("long")
 
 
-def _round(keys: DataFrame, cells: dict[int, dict[int, _Cell]], outer: dict[int, int], inner: dict[int, int]) -> dict[tuple[int, int], _Cell]:
+def _round(
+    keys: DataFrame, cells: dict[int, dict[int, _Cell]], outer: dict[int, int], inner: dict[int, int]
+) -> dict[tuple[int, int], _Cell]:
     """The part of its cell that holds each (column, rank); cells are runs of 2^outer numbers, parts of 2^inner."""
     spark = keys.sparkSession
     stacked = [a for f in cells for a in (F.lit(f), _part(F.col(f"_k{f}"), outer[f]), _part(F.col(f"_k{f}"), inner[f]), F.col(f"_k{f}"))]
-    rows = keys.select(F.stack(F.lit(len(cells)), *stacked).alias("f", "cell", "part", "k")).filter("k IS NOT NULL")
+    rows = keys.select("_w", F.stack(F.lit(len(cells)), *stacked).alias("f", "cell", "part", "k")).filter("k IS NOT NULL")
     ranks = [(f, _run(cell.lo, outer[f]), cell.below, rank) for f, by_rank in cells.items() for rank, cell in by_rank.items()]
     wanted = spark.createDataFrame(ranks, "f int, cell long, below long, rank long")
     # At most one row for each wanted rank.
     open_ = F.broadcast(spark.createDataFrame(sorted({r[:3] for r in ranks}), "f int, cell long, below long"))
     counted = rows.join(open_, ["f", "cell"]).groupBy("f", "cell", "below", "part").agg(
-        F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")
+        F.sum("_w").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")
     )
     before = Window.partitionBy("f", "cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("below") + F.coalesce(F.sum("n").over(before), F.lit(0))
@@ -77,18 +80,20 @@ def _round(keys: DataFrame, cells: dict[int, dict[int, _Cell]], outer: dict[int,
 
 
 def order_statistics(
-    df: DataFrame, columns: Sequence[Column], ranks: Callable[[int], Sequence[int]], rounds: int | None = None
+    df: DataFrame, columns: Sequence[Column], ranks: Callable[[int], Sequence[int]], rounds: int | None = None, weight: Column | None = None
 ) -> list[list[float]]:
     """For each column the values at the 0-based ``ranks(n)`` among its ``n`` values, NULL and NaN left out; -0.0 is given as 0.0.
 
     The answer does not depend on the partitioning. With ``rounds`` the search stops early, and the smallest value
-    of the cell reached stands in for the wanted one. Every round reads ``df``, so hand in a written table.
+    of the cell reached stands in for the wanted one. With ``weight``, a whole number, a row stands for so many equal ones (rows
+    without weight for none), and ``n`` is the sum of weights. Every round reads ``df``, so hand in a written table.
     """
     if not columns:
         return []
     names = [f"_k{i}" for i in range(len(columns))]
-    keys = numbered(df, columns, names)
-    ends = keys.agg(*[a for n in names for a in (F.count(n), F.min(n), F.max(n))]).first()
+    keys = numbered(df, columns, names, weight)
+    count = lambda n: F.coalesce(F.sum(F.when(F.col(n).isNotNull(), F.col("_w"))), F.lit(0))
+    ends = keys.agg(*[a for n in names for a in (count(n), F.min(n), F.max(n))]).first()
     wanted = [[r for r in ranks(ends[3 * i]) if r < ends[3 * i]] for i in range(len(names))]
     held = [dict.fromkeys(w, _Cell(ends[3 * i + 1], ends[3 * i + 2], 0)) for i, w in enumerate(wanted)]
     outer = dict.fromkeys(range(len(names)), 64)

@@ -23,6 +23,8 @@ class BoostParams:
     """Equal-width bins per node and feature for ``method='histogram'``."""
     eps: float = 0.5
     """Rank step of the candidate splits for ``method='quantile'``."""
+    weighted: bool = False
+    """Cuts of ``method='quantile'`` by sums of hessians, found anew for each tree, instead of by numbers of rows."""
     min_gain: float | None = None
     """A split needs a gain above this; ``None`` accepts any gain, negative ones too."""
     min_leaf: int | None = None
@@ -43,6 +45,8 @@ class BoostParams:
             raise ValueError("trees must be >= 0")
         if self.method == "histogram" and self.num_bins < 1:
             raise ValueError("num_bins must be >= 1")
+        if self.weighted and self.method != "quantile":
+            raise ValueError("weighted cuts belong to method='quantile'")
         if self.method == "quantile" and not 0 < self.eps < 1:
             raise ValueError("eps must lie strictly between 0 and 1")
 

@@ -220,6 +220,11 @@ def _boost(model: BoostedModel, data: Training, total: int, params: BoostParams)
     for tree_id in range(params.trees):
         began = time.monotonic()
         chosen = sample_columns(total, params.subsample_cols, params.seed, tree_id)
+        if params.weighted and tree_id:
+            # All rows start with one margin and so with one weight; from the second tree on weights differ.
+            names, buckets = ([f"{c}{i}" for i in range(total)] for c in "xb")
+            data.cuts = bins.quantile_cuts(data.rows, names, bins.eps_points(params.eps), weight=bins.whole_weight(F.col("h")))
+            data.keep(bins.with_right_closed_bins(data.rows.drop(*buckets), names, buckets, data.cuts))
         if all(None not in (t.value[i] for i in range(len(t.heap)) if t.is_leaf(i)) for t in model.trees):
             tree = grow(data.rows, total, chosen, params, data.cuts)
         else:

@@ -127,6 +127,16 @@ def split_quantile(spark, folder):
     return found.select("node", "f", r6("split"), r6("gain"), "nl", "nr")
 
 
+def weighted_cuts(spark, folder):
+    """Cuts of line items at equal sums of hessian, for margins that differ from row to row."""
+    li = views.table(spark, folder, "lineitem")
+    margin = 0.5 + F.col("l_discount") * 40.0 - F.col("l_tax") * 20.0
+    rows = cut(li.select(*[F.col(c).alias(f"x{i}") for i, c in enumerate(LI)], scalars.hessian(margin).alias("h")), "weighted-rows")
+    names = [f"x{i}" for i in range(len(LI))]
+    cuts = bins.quantile_cuts(rows, names, bins.eps_points(0.05), weight=bins.whole_weight(F.col("h")))
+    return spark.createDataFrame([(f, v) for f, vs in enumerate(cuts) for v in vs], "f int, cut double")
+
+
 def split_col_sample(spark, folder):
     chosen = sample_columns(len(LI), 0.5, 7, 0)
     return split_table(spark, best_splits(node_rows(spark, folder, bucket="blocks"), chosen, PLAIN))
@@ -419,6 +429,13 @@ def one_hot(spark, folder):
     return columns.one_hot(views.ord_xy(spark, folder), "c_mktsegment").drop(*views.ORD_FEATURES, "o_orderpriority")
 
 
+def one_hot_sparse(spark, folder):
+    """Parts of line items as entries of a matrix with a column for each part."""
+    li = views.table(spark, folder, "lineitem")
+    rows = li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"), "l_partkey")
+    return columns.one_hot_sparse(rows, "row_id", "l_partkey")
+
+
 def drop_columns(spark, folder):
     """Drop the first column by position and another by name; list the features apart from the label."""
     docs = columns.drop_by_position(views.doc_xy(spark, folder), 0, 1)
@@ -479,6 +496,22 @@ def run_from_files(spark, folder):
     return logged.join(runs.withColumn("run", F.lit(1)), "run").drop("run")
 
 
+USUAL = BoostParams(trees=10, depth=8, learning_rate=0.1, reg_lambda=0.0, gamma=0.0, subsample_cols=1.0)
+
+
+def usual_configuration(spark, folder):
+    """Ten trees of depth eight without regularization, from files, a fifth of the rows held out: nodes and loss of each tree, and the measures."""
+    ordered = views.ord_xy(spark, folder).orderBy("row_id")
+    data, labels, out = new_folder(spark, "features"), new_folder(spark, "labels"), new_folder(spark, "reports")
+    sinks.write_matrix(ordered, data, views.ORD_FEATURES)
+    sinks.write_matrix(ordered, labels, ["label"])
+    done = train_and_evaluate(spark, data, labels, views.ORD_FEATURES, USUAL, out, 0.2)
+    sizes = done.model.nodes(spark).groupBy("tree_id").agg(F.count("*").alias("nodes"), F.count_if("is_leaf").alias("leaves"))
+    measured = done.measured.select("tn", "fp", "fn", "tp", r6("accuracy"), r6("precision"), r6("recall"))
+    losses = done.model.training_log(spark).select("tree_id", r6("loss"))
+    return sizes.join(losses, "tree_id").withColumn("run", F.lit(1)).join(measured.withColumn("run", F.lit(1)), "run").drop("run")
+
+
 def end_to_end(spark, folder):
     """Split, fit, score the test rows, measure."""
     split = rank.train_test_split(views.ord_xy(spark, folder), "row_id", 0.2, 0)
@@ -499,6 +532,7 @@ QUERIES: dict[str, Query] = {
     "split_constrained": split_constrained,
     "split_histogram": split_histogram,
     "split_quantile": split_quantile,
+    "weighted_cuts": weighted_cuts,
     "split_col_sample": split_col_sample,
     "leaf_values": leaf_values,
     "tree_nodes": tree_nodes,
@@ -532,6 +566,7 @@ QUERIES: dict[str, Query] = {
     "run_log": run_log,
     "standardize": standardize,
     "one_hot": one_hot,
+    "one_hot_sparse": one_hot_sparse,
     "drop_columns": drop_columns,
     "drop_null_rows": drop_null_rows,
     "head_rows": head_rows,
@@ -541,4 +576,5 @@ QUERIES: dict[str, Query] = {
     "prep_clean": prep_clean,
     "run_from_files": run_from_files,
     "end_to_end": end_to_end,
+    "usual_configuration": usual_configuration,
 }

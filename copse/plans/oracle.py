@@ -143,6 +143,19 @@ def quantile_sql() -> str:
     SELECT node, f, {r6('split', 'split')}, {r6('gain', 'gain')}, nl::BIGINT AS nl, nr::BIGINT AS nr FROM b WHERE gain IS NOT NULL"""
 
 
+def weighted_cuts_sql() -> str:
+    p = "(1.0::DOUBLE / (1.0::DOUBLE + exp(-(0.5::DOUBLE + l_discount * 40.0::DOUBLE - l_tax * 20.0::DOUBLE))))"
+    names = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    weighed = " UNION ALL ".join(
+        f"SELECT {i} AS f, {c}::DOUBLE AS v, floor({p} * (1.0::DOUBLE - {p}) * 67108864.0::DOUBLE)::BIGINT AS w FROM lineitem" for i, c in enumerate(names)
+    )
+    points = ", ".join(f"({(i + 1) / 20}::DOUBLE)" for i in range(19))
+    return f"""
+    WITH s AS (SELECT f, v, sum(w) AS w FROM ({weighed}) GROUP BY f, v),
+    r AS (SELECT *, sum(w) OVER (PARTITION BY f ORDER BY v) AS upto, sum(w) OVER (PARTITION BY f) AS whole FROM s)
+    SELECT DISTINCT f, min(v) AS cut FROM r, (VALUES {points}) t(p) WHERE upto >= greatest(1, ceil(round(p * whole::DOUBLE, 6))) GROUP BY f, p"""
+
+
 def fit_ctes(base: str, k: int, trees: int, depth: int, lr=0.1, lam=1.0, gamma=0.0, min_gain=None, p="") -> str:
     """Boosting unrolled: ``<p>m<T>`` holds the margins after all trees and ``out<t>`` the tree outputs.
 
@@ -301,6 +314,7 @@ SQL: dict[str, str] = {
     "split_min_gain": split_sql(HALF, having="gain > 0"),
     "split_constrained": split_sql(HALF, rule="nl >= 1500 AND nr >= 1500 AND hl > 400 AND hr > 400"),
     "split_histogram": histogram_sql(10),
+    "weighted_cuts": weighted_cuts_sql(),
     "split_quantile": quantile_sql(),
     "split_col_sample": f"""
         WITH r AS ({rows_at('0')}), {candidate_ctes('b_all', 'r', range(4))},
@@ -386,6 +400,8 @@ SQL: dict[str, str] = {
         f"(c_mktsegment = '{s}')::INT AS \"c_mktsegment_{s}\""
         for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
     ) + f" FROM ({ORD})",
+    "one_hot_sparse": """
+        SELECT l_orderkey * 8 + l_linenumber AS row_id, dense_rank() OVER (ORDER BY l_partkey) - 1 AS index, 1 AS value FROM lineitem""",
     "drop_columns": f"SELECT n_chars, lang, source, label FROM ({DOC})",
     "drop_null_rows": f"""
         SELECT * FROM ({DOC}) WHERE label IS NOT NULL AND n_chars IS NOT NULL AND toxic IS NOT NULL

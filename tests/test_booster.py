@@ -166,6 +166,26 @@ def test_order_statistics_of_random_bits(spark, seed):
     assert got == [[plain[i] for i in (0, 7, n // 2, n - 1)], [-plain[n - 1 - i] + 0.0 for i in (0, 7, n // 2, n - 1)]]
 
 
+def test_weighted_order_statistics(spark):
+    rng = np.random.default_rng(5)
+    values, weights = rng.normal(size=300).round(2), rng.integers(0, 9, 300)
+    df = spark.createDataFrame([(float(v), int(w)) for v, w in zip(values, weights)], "v double, w long")
+    plain = np.sort(np.repeat(values, weights)) + 0.0
+    wanted = [0, 1, 500, len(plain) - 1]
+    assert order_statistics(df, [F.col("v")], lambda n: wanted if n == len(plain) else [], weight=F.col("w")) == [[plain[i] for i in wanted]]
+
+
+def test_weighted_cuts_follow_the_hessian(sample):
+    df, _, _ = sample
+    by_weight = fit(df, LI, "label", params(method="quantile", eps=0.1, weighted=True, learning_rate=1.0))
+    by_number = fit(df, LI, "label", params(method="quantile", eps=0.1, learning_rate=1.0))
+    assert by_weight.node_rows()[0] == by_number.node_rows()[0]
+    leaves = {r["leaf"]: r["count"] for r in by_weight.predict_leaf(df, 1).groupBy("leaf").count().collect()}
+    assert leaves == {n: r[3] for n, r in nodes_of(by_weight, 1).items() if r[10]}
+    with pytest.raises(ValueError, match="weighted"):
+        params(weighted=True)
+
+
 def test_quantile_splits_are_consistent_with_routing(sample):
     df, _, _ = sample
     model = fit(df, LI, "label", params(method="quantile", eps=0.1))

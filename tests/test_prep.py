@@ -81,6 +81,15 @@ def test_encoder_unknown_and_missing(spark):
     assert sorted(got) == pytest.approx(sorted([prior * (1 - weight) + weight, prior, prior]))
 
 
+def test_sparse_one_hot(spark):
+    rows = [(i, None if i % 9 == 0 else f"v{i * 7 % 40:02d}") for i in range(200)]
+    df = spark.createDataFrame(rows, "i long, c string")
+    place = {v: k for k, v in enumerate(sorted({v for _, v in rows if v}))}
+    got = sorted(map(tuple, columns.one_hot_sparse(df, "i", "c").collect()))
+    assert got == [(i, place[v], 1) for i, v in rows if v]
+    assert columns.one_hot_sparse(df.limit(0), "i", "c").count() == 0
+
+
 def test_one_hot_refuses_too_many_values(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "c string, i int")
     assert [tuple(r) for r in columns.one_hot(df, "c").orderBy("i").collect()] == [(1, 1, 0), (2, 0, 1), (3, 0, 0)]

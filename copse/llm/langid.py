@@ -15,7 +15,6 @@ is taken from labelled documents kept out of learning: those of the language, an
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,9 +40,7 @@ PROBES = 2
 MAX_LANGUAGES = 1_024
 UNKNOWN = "und"
 
-# Digits of other kinds, fractions and numerals count as word characters, but are no letters.
-_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_NO_LETTERS = re.compile(rf"[\W\d_{_NUMERALS}]+")
+_NO_LETTERS = re.compile(r"[\W\d_]+")
 _CHUNK = 1 << 20
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -51,6 +48,9 @@ _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 def _grams(text: str) -> Iterator[np.ndarray]:
     """Trigrams of letters, words being set off by one blank, as packed code points; in chunks, so long texts need little memory."""
     words = _NO_LETTERS.sub(" ", text.lower()).strip()
+    if words and not words.replace(" ", "").isalpha():
+        # Digits of other kinds, fractions and numerals count as word characters, but are no letters.
+        words = " ".join("".join(c if c.isalpha() else " " for c in words).split())
     if not words:
         return
     codes = np.frombuffer(f" {words} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)

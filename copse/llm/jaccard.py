@@ -16,6 +16,7 @@ Candidates are verified on the whole texts, and groups are closed by alternating
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +47,10 @@ MAX_BROADCAST_IDS = 500_000
 MAX_SEEN = 1_000_000
 """Sets that a task remembers having sent; later ones may be sent twice, which changes nothing but work."""
 
-MAPS = tuple(f"m{i}" for i in range(16))
+EARLIER = 6
+"""Of the lists that a set was in before, so many are known when two sets meet again; pairs met there are not made anew."""
+
+MAPS = tuple(f"m{i}" for i in range(8))
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 _MIX = np.uint64(0x9FB21C651E98DF25)
 
@@ -128,7 +132,7 @@ def parity_bits(found: np.ndarray) -> bytes:
 
 
 def small_maps(found: np.ndarray) -> list[int]:
-    """Parity bits of 1,024 residues, as signed longs: coarse, but cheap to compare while lists are joined."""
+    """Parity bits of 512 residues, as signed longs: coarse, but cheap to compare while lists are joined."""
     size = 64 * len(MAPS)
     odd = np.bincount((found & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(bool)).view(np.int64).tolist()
@@ -258,19 +262,34 @@ def hub_pairs(lists: DataFrame) -> DataFrame:
 
 
 def cross_pairs(lists: DataFrame, linked: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Members of a list that no links connect, where sizes, places and small parity maps allow a link. ``linked``: a, b (written)."""
+    """Members of a list that no links connect, where sizes, places and small parity maps allow a link. ``linked``: a, b (written).
+
+    Sets that share one list often share many. Each entry knows the last lists that its set was in before, by the common order of shingles; where
+    both sets know the same one, they have met there, at places that allow no less, and are not paired again.
+    """
     # Members of one component are connected already, by however many links.
-    label = components(lists.sparkSession, linked).withColumnRenamed("component", "_label")
-    label = _small_side(label)
-    rows = lists.join(label, "node", "left").withColumn("label", F.coalesce("_label", "node")).drop("_label", "at")
+    label = _small_side(components(lists.sparkSession, linked).withColumnRenamed("component", "_label"))
+    rows = lists.join(label, "node", "left").withColumn("label", F.coalesce("_label", "node")).drop("_label")
     w = Window.partitionBy("key")
     mixed = rows.withColumn("_mixed", F.min("label").over(w) < F.max("label").over(w)).filter("_mixed").drop("_mixed")
+    before = Window.partitionBy("node", F.col("kind") == 0).orderBy("at", "key")
+    mixed = mixed.withColumn("earlier", F.array_compact(F.array(*(F.lag("key", i).over(before) for i in range(1, EARLIER + 1))))).drop("at")
     mixed = cut(mixed.join(nodes.select("node", *MAPS), "node"), "jaccard-mixed")
+    free_shuffles(lists.sparkSession)
     turned = " + ".join(f"bit_count(x.{m} ^ y.{m})" for m in MAPS)
-    on = f"7 * ({turned}) <= x.n + y.n and x.key = y.key and x.label <> y.label and (x.n < y.n or (x.n = y.n and x.node < y.node)) and {_fits('x', 'y')}"
+    on = (
+        f"7 * ({turned}) <= x.n + y.n and x.key = y.key and x.label <> y.label and (x.n < y.n or (x.n = y.n and x.node < y.node)) and {_fits('x', 'y')} "
+        "and not ((x.kind = 0) = (y.kind = 0) and arrays_overlap(x.earlier, y.earlier))"
+    )
     return _pairs(mixed.alias("x").join(mixed.alias("y"), F.expr(on)), "x", "y")
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of what has been written since; it does so only when the driver's garbage is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _small_side(written: DataFrame) -> DataFrame:
     """A written table of a few longs a row, to be broadcast if it has few enough rows, else to be joined by a shuffle."""
     return F.broadcast(written) if written.count() <= MAX_BROADCAST_IDS else written
@@ -361,11 +380,14 @@ def join_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     named = docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(signature_pass(common), schema)
     signatures = cut(named.withColumn("doc_id", F.col("doc_id").cast("long")), "jaccard-signatures")
     lists = shared_lists(docs, common, choose_boundary(signatures))
+    free_shuffles(spark)
     of_node = (F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.min("bits").alias("bits"), *(F.min(m).alias(m) for m in MAPS))
     nodes = cut(signatures.filter("node is not null").groupBy("node").agg(*of_node), "jaccard-nodes")
     linked = verified(hub_pairs(lists), docs, nodes)
+    free_shuffles(spark)
     more = cross_pairs(lists, linked, nodes).join(linked, ["a", "b"], "left_anti")
     linked = cut(linked.union(verified(more, docs, nodes)), "jaccard-links")
+    free_shuffles(spark)
     # The name of a component is its smallest doc_id.
     members = components(spark, linked).join(nodes.select("node", "doc_id"), "node", "right").withColumn("component", F.coalesce("component", "node"))
     names = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -30,7 +30,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ids of each document's text, and the text that they decode to."""
+    """The ids of each document's text, the text that they decode to, and the path of the largest sum of scores."""
     encoded = pieces.encode(_documents(spark, sf_dir)).withColumn("n_ids", F.size("ids"))
     return pieces.with_decoded(encoded)
 

@@ -4,8 +4,10 @@ Encoding is relational. A text's blanks become word marks, and it is cut before
 words are exploded into their substrings of bounded length, these are joined to the (broadcast) table of pieces, and the edges found are grouped by
 word: its lattice. A higher-order aggregate folds each lattice into ids:
 
-* ``viterbi``, for vocabularies with unigram scores: the path of the largest sum of scores, end by end;
-* ``merges``, for vocabularies whose scores are merge ranks: the best-ranked edge over two neighbouring segments is taken until there is none.
+* ``viterbi``: the path of the largest sum of scores, end by end;
+* ``merges``: the best-ranked edge over two neighbouring segments is taken until there is none, as vocabularies of merges are meant to be read.
+
+Both folds are given for every text: the ids by merges are what the public vocabulary's own encoder gives.
 
 Characters without a piece become their bytes. The words of each block of documents are then joined back by block.
 """
@@ -23,8 +25,10 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_DOCS = 20_000
-"""Documents whose words are looked up together, about; their distinct words fit in a task's memory many times over."""
+from copse.session import cut
+
+BLOCK_BYTES = 16_000_000
+"""Bytes of texts whose words are looked up together, about; a task holds one block and its distinct words."""
 
 LONG_WORD = 48
 """Lattices of longer words are folded outside the higher-order functions, whose work grows with the cube of a word's length."""
@@ -96,7 +100,10 @@ def merges(word: Column, edges: Column) -> Column:
 
 
 def viterbi(word: Column, edges: Column, unknown: float) -> Column:
-    """Segment ends of the path with the largest sum of scores. A single character is always an edge, with score ``unknown`` if it is no piece; of equal paths the one whose last segment is longer."""
+    """``struct(score, cuts)``: the largest sum of scores, and the segment ends of that path.
+
+    A single character is always an edge, with score ``unknown`` if it is no piece; of equal paths the one whose last segment is longer.
+    """
     n = F.char_length(word)
 
     def step(acc: Column, stop: Column) -> Column:
@@ -105,10 +112,11 @@ def viterbi(word: Column, edges: Column, unknown: float) -> Column:
         alone = F.struct((at(stop - 1)["score"] + F.lit(unknown)).alias("score"), (F.lit(1) - stop).alias("back"))
         known = F.exists(edges, lambda e: (e["stop"] == stop) & (e["start"] == stop - 1))
         best = F.array_max(F.when(known, ways).otherwise(F.concat(ways, F.array(alone))))
-        return F.concat(acc, F.array(F.struct(best["score"].alias("score"), F.concat(at(-best["back"])["cuts"], F.array(stop)).alias("cuts"))))
+        made = lambda b: F.struct(b["score"].alias("score"), F.concat(at(-b["back"])["cuts"], F.array(stop)).alias("cuts"))
+        return F.concat(acc, F.transform(F.array(best), made))
 
     start = F.array(F.struct(F.lit(0.0).alias("score"), F.array(F.lit(0)).alias("cuts")))
-    return F.aggregate(F.sequence(F.lit(1), n), start, step, lambda acc: F.get(acc, n)["cuts"])
+    return F.aggregate(F.sequence(F.lit(1), n), start, step, lambda acc: F.get(acc, n))
 
 
 def _merged(n: int, edges: list[tuple[int, int, float]]) -> list[int]:
@@ -137,7 +145,7 @@ def _merged(n: int, edges: list[tuple[int, int, float]]) -> list[int]:
     return ends
 
 
-def _best_path(n: int, edges: list[tuple[int, int, float]], unknown: float) -> list[int]:
+def _best_path(n: int, edges: list[tuple[int, int, float]], unknown: float) -> tuple[float, list[int]]:
     """What ``viterbi`` gives, in one pass over the edges."""
     by_stop: dict[int, list] = {}
     for a, b, s in edges:
@@ -152,37 +160,37 @@ def _best_path(n: int, edges: list[tuple[int, int, float]], unknown: float) -> l
     ends = [n]
     while ends[-1]:
         ends.append(best[ends[-1]][1])
-    return ends[::-1]
+    return best[n][0], ends[::-1]
 
 
-def _long_words(method: str, unknown: float):
-    def ends(word: str, edges) -> list[int]:
-        spans = [(e["start"], e["stop"], e["score"]) for e in edges]
-        return _merged(len(word), spans) if method == "merges" else _best_path(len(word), spans, unknown)
+_FOLDED = "word string, ids array<int>, best_ids array<int>, best_score double"
 
+
+def _long_words(unknown: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for word, edges in zip(batch.word, batch.edges, strict=True):
-                cuts = ends(word, edges)
+                spans = [(e["start"], e["stop"], e["score"]) for e in edges]
                 known = {(e["start"], e["stop"]): e["id"] for e in edges}
-                ids: list[int] = []
-                for a, b in zip(cuts, cuts[1:]):
-                    found = known.get((a, b))
-                    ids += [found] if found is not None else [-1 - x for x in word[a:b].encode()]
-                rows.append((word, ids))
-            yield pd.DataFrame(rows, columns=["word", "ids"])
+                score, path = _best_path(len(word), spans, unknown)
+                both: list[list[int]] = []
+                for cuts in (_merged(len(word), spans), path):
+                    ids: list[int] = []
+                    for a, b in zip(cuts, cuts[1:]):
+                        found = known.get((a, b))
+                        ids += [found] if found is not None else [-1 - x for x in word[a:b].encode()]
+                    both.append(ids)
+                rows.append((word, *both, score))
+            yield pd.DataFrame(rows, columns=["word", "ids", "best_ids", "best_score"])
 
     return run
 
 
-def fold(lattices: DataFrame, vocabulary: Vocabulary, method: str = "merges") -> DataFrame:
-    """word, ids: each lattice folded by ``merges`` or ``viterbi``; characters without a piece as the ids of their bytes."""
+def fold(lattices: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """word, ids by ``merges``, best_ids and best_score by ``viterbi`` of each lattice; characters without a piece as the ids of their bytes."""
     word, edges = F.col("word"), F.col("edges")
-    if method not in ("merges", "viterbi"):
-        raise ValueError(f"no such method: {method}")
     lowest = min(r[2] for r in vocabulary.rows) - 10.0
-    cuts = merges(word, edges) if method == "merges" else viterbi(word, edges, lowest)
     byte_ids = F.array(*(F.lit(i) for i in vocabulary.bytes))
 
     def of_bytes(start: Column, stop: Column) -> Column:
@@ -198,11 +206,16 @@ def fold(lattices: DataFrame, vocabulary: Vocabulary, method: str = "merges") ->
 
         return F.flatten(F.transform(F.slice(ends, 2, F.size(ends) - 1), one))
 
+    once = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))
     short, long = F.char_length("word") <= LONG_WORD, F.char_length("word") > LONG_WORD
-    folded = lattices.filter(short).select("word", F.get(F.transform(F.array(cuts), ids), F.lit(0)).alias("ids"))
-    apart = lattices.filter(long).mapInPandas(_long_words(method, lowest), "word string, ids array<int>")
-    spelled = F.transform("ids", lambda i: F.when(i < 0, F.get(byte_ids, -1 - i)).otherwise(i))
-    return folded.unionByName(apart.select("word", spelled.alias("ids")))
+    folded = lattices.filter(short).select(
+        "word", once(merges(word, edges), ids).alias("ids"),
+        once(viterbi(word, edges, lowest), lambda b: F.struct(ids(b["cuts"]).alias("ids"), b["score"].alias("score"))).alias("best"),
+    )
+    folded = folded.select("word", "ids", F.col("best.ids").alias("best_ids"), F.col("best.score").alias("best_score"))
+    apart = lattices.filter(long).mapInPandas(_long_words(lowest), _FOLDED)
+    spelled = lambda c: F.transform(c, lambda i: F.when(i < 0, F.get(byte_ids, -1 - i)).otherwise(i)).alias(c)
+    return folded.unionByName(apart.select("word", spelled("ids"), spelled("best_ids"), "best_score"))
 
 
 def _marked(text: Column) -> Column:
@@ -211,31 +224,39 @@ def _marked(text: Column) -> Column:
 
 
 def _assemble(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    known = dict(zip(right.word, right.ids, strict=True))
+    known = dict(zip(right.word, zip(right.ids, right.best_ids, right.best_score), strict=True))
     none = np.zeros(0, dtype=np.int32)
-    ids = [np.concatenate([known[w] for w in _WORD.findall(t)]) if t else none for t in left.marked]
-    return pd.DataFrame({"doc_id": left.doc_id.astype("Int64"), "ids": ids})
-
-
-def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, method: str = "merges") -> DataFrame:
-    """doc_id, ids (array<int>) for each row, by whole texts.
-
-    A NULL or empty text has no ids. Repeated rows are encoded alike; further columns are not read; an empty table gives an empty result.
-    A blank is put before the text, as the model's training did. Words are shuffled once for each block that has them, not once for each occurrence, so the
-    most frequent word costs a row for each block of documents.
+    rows = []
+    for text in left.marked:
+        found = [known[w] for w in _WORD.findall(text)]
+        ids, best = ([np.concatenate([f[k] for f in found]) if found else none for k in (0, 1)])
+        rows.append((ids, best, float(sum(f[2] for f in found))))
+    out = pd.DataFrame(rows, columns=["ids", "best_ids", "best_score"])
+    out.insert(0, "doc_id", left.doc_id.astype("Int64").array)
+    return out
+
+
+def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
+    """doc_id, ids, best_ids (arrays of int), best_score for each row, by whole texts: the ids by merges, and the path of the largest sum of scores.
+
+    A NULL or empty text has no ids and score 0. Repeated rows are encoded alike; further columns are not read; an empty table gives an empty result.
+    A blank is put before the text, as the model's training did. Rows are dealt to blocks of about ``BLOCK_BYTES`` by their number, so copies do not meet. Words
+    are shuffled once for each block that has them, not once for each occurrence, so the most frequent word costs a row for each block.
     """
     vocabulary = Vocabulary(path)
     key = F.col(f"`{doc_id}`").cast("long").alias("doc_id")
-    rows = docs.select(key, _marked(F.col(f"`{text}`")).alias("marked"))
-    blocks = max(1, -(-docs.count() // BLOCK_DOCS))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "marked"), F.lit(blocks)).cast("int"))
-    rows = rows.repartition("block")
+    rows = docs.select(key, _marked(F.col(f"`{text}`")).alias("marked"), F.monotonically_increasing_id().alias("row"))
+    size = docs.agg(F.sum(F.octet_length(F.coalesce(F.col(f"`{text}`"), F.lit(""))) + 100)).first()[0] or 0
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")).drop("row")
+    # A block's words are gathered where the scan reads them; texts move once, to be put together.
     words = F.array_distinct(F.regexp_extract_all("marked", F.lit(WORD), F.lit(0)))
-    pairs = rows.select(F.col("block").alias("for_block"), F.explode(words).alias("word")).distinct()
+    pairs = cut(rows.select(F.col("block").alias("for_block"), F.explode(words).alias("word")).distinct(), "words")
     # Distinct words with the blocks that have them; both ways of the lookup are keyed by word.
-    coded = fold(lattice(pairs.select("word").distinct(), vocabulary), vocabulary, method)
-    found = pairs.join(coded, "word").select("for_block", "word", "ids")
-    return rows.groupBy("block").cogroup(found.groupBy("for_block")).applyInPandas(_assemble, "doc_id long, ids array<int>")
+    coded = fold(lattice(pairs.select("word").distinct(), vocabulary), vocabulary)
+    found = pairs.join(coded, "word").select("for_block", "word", "ids", "best_ids", "best_score")
+    schema = "doc_id long, ids array<int>, best_ids array<int>, best_score double"
+    return rows.groupBy("block").cogroup(found.groupBy("for_block")).applyInPandas(_assemble, schema)
 
 
 def _decoder(spelling: list[bytes]):
@@ -259,9 +280,9 @@ def _beside(spelling: list[bytes]):
 
 
 def with_decoded(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """Rows (doc_id, ids, n_ids) with ``decoded``, the text that ``decode`` gives, beside the ids it comes from; without a shuffle."""
-    schema = "doc_id long, ids array<int>, n_ids int, decoded string"
-    return encoded.select("doc_id", "ids", "n_ids").mapInPandas(_beside(Vocabulary(path).spelling), schema)
+    """Rows (doc_id, ids, ...) with ``decoded``, the text that ``decode`` gives, beside the ids it comes from; without a shuffle."""
+    schema = ", ".join(f"{c} {t}" for c, t in encoded.dtypes) + ", decoded string"
+    return encoded.mapInPandas(_beside(Vocabulary(path).spelling), schema)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:

@@ -1,5 +1,3 @@
-import itertools
-
 import messy
 import public_tokenizers
 import pytest
@@ -45,38 +43,54 @@ def test_decode_of_no_utf8(spark):
     assert {r.doc_id: r.text for r in pieces.decode(df).collect()} == {1: "�A", 2: "", 3: ""}
 
 
-def best_path(word, table):
-    """The best of all ways to cut a word; a character without piece costs the least score less 10."""
-    low = min(table.values()) - 10
-    ways = []
-    for cuts in itertools.product((0, 1), repeat=len(word) - 1):
-        ends = [i + 1 for i, c in enumerate(cuts) if c] + [len(word)]
-        parts = [word[a:b] for a, b in zip([0, *ends], ends)]
-        if all(p in table or len(p) == 1 for p in parts):
-            ways.append((sum(table.get(p, low) for p in parts), parts))
-    return max(w[0] for w in ways)
+def best_score(text, table, low, longest):
+    """The best of all ways to cut a text, end by end; a character without piece costs ``low``."""
+    best = [0.0]
+    for stop in range(1, len(text) + 1):
+        ways = [best[a] + table[text[a:stop]] for a in range(max(0, stop - longest), stop) if text[a:stop] in table]
+        if text[stop - 1] not in table:
+            ways.append(best[stop - 1] + low)
+        best.append(max(ways))
+    return best[-1]
 
 
-def test_viterbi_equals_brute_force(spark):
+def check_best(rows, texts):
+    """The path spells its text, adds up to its score, and no path has a larger sum."""
     vocabulary = pieces.Vocabulary()
     table = {p: s for p, _, s in vocabulary.rows}
     score = {i: s for _, i, s in vocabulary.rows}
     low = min(table.values()) - 10
-    words = ["▁the", "▁bleation", "▁hänsel", "▁日本", "x", "▁▁▁ab", "▁erthhea", "zzzz"]
-    df = spark.createDataFrame([(w,) for w in words], "word string")
-    lattices = pieces.lattice(df, vocabulary)
-    for r in pieces.fold(lattices, vocabulary, "viterbi").collect():
-        known = [i for i in r.ids if i in score]
-        text = b"".join(vocabulary.spelling[i] for i in r.ids).decode().replace(" ", "▁")
-        unknown = len(text) - sum(len(vocabulary.spelling[i].decode()) for i in known)
-        assert text == r.word and abs(sum(score[i] for i in known) + low * unknown - best_path(r.word, table)) < 1e-6
-    with pytest.raises(ValueError):
-        pieces.fold(lattices, vocabulary, "other")
+    for r in rows:
+        marked = "▁" + texts[r.doc_id].replace(" ", "▁") if texts[r.doc_id] else ""
+        spelled = b"".join(vocabulary.spelling[i] for i in r.best_ids).decode()
+        assert spelled.replace(" ", "▁") == marked
+        known = [i for i in r.best_ids if i in score]
+        unknown = len(spelled) - sum(len(vocabulary.spelling[i].decode()) for i in known)
+        assert abs(sum(score[i] for i in known) + low * unknown - r.best_score) < 1e-6 * (1 + abs(r.best_score))
+        assert abs(best_score(marked, table, low, vocabulary.longest) - r.best_score) < 1e-6 * (1 + abs(r.best_score))
+
+
+def test_viterbi_equals_brute_force(spark):
+    words = ["the", "bleation", "hänsel", "日本", "x", "  ab", "erthhea", "zzzz", "a" * 60, "größe" * 12]
+    df = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    check_best(pieces.encode(df).collect(), dict(enumerate(words)))
+
+
+def test_viterbi_of_the_query(spark, folder):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    check_best(catalog.op3_sentencepiece(spark, folder).collect(), texts)
+
+
+def test_many_blocks(spark, monkeypatch):
+    df = messy.frame(spark).filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    one = {r.doc_id: (r.ids, r.best_ids) for r in pieces.encode(df).collect()}
+    monkeypatch.setattr(pieces, "BLOCK_BYTES", 20_000)
+    assert {r.doc_id: (r.ids, r.best_ids) for r in pieces.encode(df).collect()} == one
 
 
 def test_query_decodes_to_the_texts(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     out = catalog.op3_sentencepiece(spark, folder)
-    assert out.columns == ["doc_id", "ids", "n_ids", "decoded"]
+    assert out.columns == ["doc_id", "ids", "best_ids", "best_score", "n_ids", "decoded"]
     assert {r.doc_id: r.decoded for r in out.collect()} == {r.doc_id: r.text or "" for r in docs.collect()}
     assert pieces.with_decoded(pieces.encode(messy.frame(spark)).withColumn("n_ids", F.size("ids"))).count() == messy.frame(spark).count()

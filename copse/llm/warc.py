@@ -26,6 +26,12 @@ DATE = "2000-01-01T00:00:00Z"
 RECORDS_PER_FILE = 1_000
 """Records in one file at most; a file is read by one task, a few megabytes for usual pages."""
 
+FILE_BYTES = 64_000_000
+"""Of larger pages a file holds fewer: about so many bytes of payload by the mean of all pages, which lie in the files in the order of a hash."""
+
+FRAME_BYTES = 16_000_000
+"""A task hands on what it has read after so many bytes of payload, or after one larger record."""
+
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _END = "\r\n"
 
@@ -107,7 +113,9 @@ def write_archives(pages: DataFrame, path: str, date: str = DATE) -> None:
     pages = pages.select("page_id", "url", "html")
     payload = F.coalesce(F.col("html"), F.lit(""))
     headers = pages.select("page_id", payload_digest("html").alias("payload_digest"), F.octet_length(payload).cast("long").alias("payload_bytes"))
-    resolved = resolve(cut(headers, "warc-headers"))
+    headers = cut(headers, "warc-headers")
+    mean = headers.agg(F.avg("payload_bytes")).first()[0] or 0.0
+    resolved = resolve(headers)
     # Repeats of a page differ by payload at most, so page and digest together are a key once repeats are dropped.
     resolved = resolved.dropDuplicates(["page_id", "payload_digest"])
     known = pages.withColumn("payload_digest", payload_digest("html"))
@@ -116,17 +124,18 @@ def write_archives(pages: DataFrame, path: str, date: str = DATE) -> None:
         F.expr("p.page_id <=> h.page_id and p.payload_digest = h.payload_digest"),
     ).select("p.page_id", "p.url", "p.html", "p.payload_digest", "h.payload_bytes", "h.refers_to")
     writer = records(joined, date).write.option("lineSep", _END * 2).option("compression", "gzip")
-    writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    writer.option("maxRecordsPerFile", max(1, min(RECORDS_PER_FILE, int(FILE_BYTES / max(mean, 1.0))))).text(path)
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields and block of each record of one archive file."""
-    stream = io.BytesIO(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data)
+    """Header fields and block of each record of one archive file, one in memory at a time."""
+    stream = io.BytesIO(data)
+    stream = io.BufferedReader(gzip.GzipFile(fileobj=stream), 1 << 20) if data[:2] == b"\x1f\x8b" else stream
     while line := stream.readline():
         if not line.strip():
             continue
         if not line.startswith(b"WARC/"):
-            raise ValueError(f"no WARC record at {stream.tell() - len(line)}")
+            raise ValueError(f"no WARC record: {line[:80]!r}")
         head: dict[str, str] = {}
         while line := stream.readline().rstrip(b"\r\n"):
             name, _, value = line.decode().partition(":")
@@ -138,10 +147,16 @@ def _long(text: str | None) -> int | None:
     return None if text is None else int(text)
 
 
+_READ = ["page_id", "url", "record_type", "stated_digest", "digest", "size", "refers_to", "html"]
+
+
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=_READ).astype({"page_id": "Int64", "size": "Int64", "refers_to": "Int64"})
+
     for batch in batches:
         for data in batch.content:
-            rows = []
+            rows, held = [], 0
             for head, block in parse_records(data):
                 payload = block.partition(b"\r\n\r\n")[2]
                 revisit = head["warc-type"] == "revisit"
@@ -152,8 +167,11 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     None if revisit else len(payload), _long(head.get("x-refers-to-page-id")),
                     None if revisit else payload.decode(),
                 ))
-            frame = pd.DataFrame(rows, columns=["page_id", "url", "record_type", "stated_digest", "digest", "size", "refers_to", "html"])
-            yield frame.astype({"page_id": "Int64", "size": "Int64", "refers_to": "Int64"})
+                held += len(payload)
+                if held >= FRAME_BYTES:
+                    yield frame(rows)
+                    rows, held = [], 0
+            yield frame(rows)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:

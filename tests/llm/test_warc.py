@@ -2,6 +2,7 @@ import base64
 import hashlib
 
 import messy
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +79,16 @@ def test_empty_and_query(spark, folder):
     assert warc.roundtrip(spark, pages(spark).limit(0)).count() == 0
     want = brute(spark.read.parquet(f"{folder}/pages.parquet").collect())
     assert messy.counted(catalog.op4_warc(spark, folder), COLUMNS) == want
+
+
+def test_large_pages_lie_in_small_files_and_frames(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 50_000)
+    monkeypatch.setattr(warc, "FRAME_BYTES", 30_000)
+    df = spark.createDataFrame([(i, f"u{i}", f"{i}-" + "x" * (20_000 + i)) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(df, str(tmp_path / "a"))
+    files = list((tmp_path / "a").glob("*.gz"))
+    assert len(files) >= 20
+    got = {r.page_id: r.html for r in warc.read_archives(spark, str(tmp_path / "a")).collect()}
+    assert got == {r.page_id: r.html for r in df.collect()}
+    frames = list(warc._read(iter([pd.DataFrame({"content": [f.read_bytes() for f in files]})])))
+    assert sum(map(len, frames)) == 40 and max(map(len, frames)) <= 2

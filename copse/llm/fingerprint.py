@@ -180,6 +180,9 @@ def compare(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     return joined.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near("edited"), near("next"))
 
 
+TASK_DIGESTS = 120_000
+"""Digests compared in one task, about; their cells then fit its memory while they are peeled."""
+
 PAIRS = {"edited": "e", "next": "x"}
 """What the text's digests (column ``a``) are compared with: the name of a comparison and the column of the other digests."""
 
@@ -226,7 +229,8 @@ def peeled(cells: DataFrame, part: int) -> DataFrame:
 
 def attempted(rows: DataFrame, attempt: int) -> DataFrame:
     """row, left and right (digests on one side only) of each comparison, and whether cells are left that do not peel; no row where nothing differs."""
-    cells = cells_of(rows.repartition("row"), attempt)
+    digests_ = rows.agg(F.sum(F.size("a") + F.size("e") + F.size("x"))).first()[0] or 0
+    cells = cells_of(rows.repartition(max(1, -(-digests_ // TASK_DIGESTS)), "row"), attempt)
     for _ in range(SWEEPS):
         for part in range(3):
             cells = peeled(cells, part)

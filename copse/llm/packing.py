@@ -28,6 +28,8 @@ GROUP_PIECES = 20_000
 END_ID = 1
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50_256
 CACHED_WORDS = 200_000
+CACHED_CHARS = 64
+"""Longer words are not kept, so the store of known words is bounded in bytes too."""
 
 
 class Tokenizer:
@@ -49,9 +51,11 @@ class Tokenizer:
         for word in self.split(text):
             ids = known.get(word)
             if ids is None:
-                if len(known) >= CACHED_WORDS:
-                    known.clear()
-                ids = known[word] = np.array(self.encoding.encode_ordinary(word), dtype="<u4").tobytes()
+                ids = np.array(self.encoding.encode_ordinary(word), dtype="<u4").tobytes()
+                if len(word) <= CACHED_CHARS:
+                    if len(known) >= CACHED_WORDS:
+                        known.clear()
+                    known[word] = ids
             parts.append(ids)
         return parts
 

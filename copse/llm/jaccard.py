@@ -44,6 +44,9 @@ SALT_ROWS = 200_000
 MAX_BROADCAST_IDS = 500_000
 """Tables of two ids a row are broadcast up to so many rows, 8 MB, to keep texts and lists out of the shuffle; beyond, they are joined by one."""
 
+FRAME_ENTRIES = 200_000
+"""List entries that a task makes before it hands them on."""
+
 MAX_SEEN = 1_000_000
 """Sets that a task remembers having sent; later ones may be sent twice, which changes nothing but work."""
 
@@ -192,10 +195,22 @@ def key_pass(common, boundary: int) -> object:
     A task sends each set once, so many copies of one text make no long lists.
     """
 
+    def frame(parts: list[tuple]) -> pd.DataFrame:
+        """Of (key, pos, node, n, kind), one of each set."""
+        lengths = [len(p[0]) for p in parts]
+        key, pos = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        node, n, kind = (np.repeat(np.array([p[i] for p in parts], dtype=t), lengths) for i, t in ((2, np.int64), (3, np.int32), (4, np.int8)))
+        spread = np.ceil(expected_documents(key, common.value) / SALT_ROWS).astype(np.int64)
+        salt = 1 + (node.astype(np.uint64) >> np.uint64(7)).astype(np.int64) % np.maximum(spread, 1)
+        return pd.DataFrame({
+            "key": key.astype(np.int64), "salt": np.where(spread > 1, salt, 0).astype(np.int32), "node": node, "n": n, "pos": pos.astype(np.int32), "kind": kind,
+        })
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
+        parts: list[tuple] = []
+        held = 0
         for batch in batches:
-            keys, poss, nodes, sizes, kinds = [], [], [], [], []
             for text in batch.text:
                 found = shingles(text)
                 n = len(found)
@@ -204,28 +219,19 @@ def key_pass(common, boundary: int) -> object:
                 if len(seen) < MAX_SEEN:
                     seen.add(node)
                 prefix, _ = _prefix(found, common.value)
-                made = []
                 if n <= boundary:
                     i, j = np.triu_indices(len(prefix), 1)
-                    made.append(((prefix[i] * _STEP[0]) ^ (prefix[j] * _STEP[1] + _STEP[2]), j - 1, 0))
+                    parts.append(((prefix[i] * _STEP[0]) ^ (prefix[j] * _STEP[1] + _STEP[2]), j - 1, node, n, 0))
+                    held += len(i)
                 if 4 * n >= 3 * (boundary + 1):
                     single = prefix[: n - _least(n) + 1]
-                    made.append((single, np.arange(len(single)), 2 if n > boundary else 1))
-                for key, pos, kind in made:
-                    keys.append(key)
-                    poss.append(pos)
-                    nodes.append(np.full(len(key), node, dtype=np.int64))
-                    sizes.append(np.full(len(key), n))
-                    kinds.append(np.full(len(key), kind))
-            if not keys:
-                continue
-            key, node = np.concatenate(keys), np.concatenate(nodes)
-            parts = np.ceil(expected_documents(key, common.value) / SALT_ROWS).astype(np.int64)
-            salt = 1 + (node.astype(np.uint64) >> np.uint64(7)).astype(np.int64) % np.maximum(parts, 1)
-            yield pd.DataFrame({
-                "key": key.astype(np.int64), "salt": np.where(parts > 1, salt, 0).astype(np.int32), "node": node, "n": np.concatenate(sizes).astype(np.int32),
-                "pos": np.concatenate(poss).astype(np.int32), "kind": np.concatenate(kinds).astype(np.int8),
-            })
+                    parts.append((single, np.arange(len(single)), node, n, 2 if n > boundary else 1))
+                    held += len(single)
+                if held >= FRAME_ENTRIES:
+                    yield frame(parts)
+                    parts, held = [], 0
+        if parts:
+            yield frame(parts)
 
     return run
 

@@ -183,10 +183,13 @@ def with_siblings(cells: DataFrame, parents: DataFrame, pairs: dict[int, tuple[i
         other_of_child[known] = other
     siblings = [other_of_child.get(i, -1) for i in range(first, max(other_of_child) + 1)]
     whole = parents.withColumn("node", F.get(literal_array(other_of_parent, "int"), F.col("node"))).filter("node >= 0")
-    taken = cells.withColumn("node", F.get(literal_array(siblings, "int"), F.col("node") - first))
-    taken = taken.withColumns({c: -F.col(c) for c in SUMS})
-    rest = whole.unionByName(taken).groupBy("node", "f", "b").agg(*[F.sum(c).alias(c) for c in SUMS]).filter("n > 0")
-    return cells.unionByName(rest)
+    # Each cell counts for its own node, and against its sibling.
+    other = F.get(literal_array(siblings, "int"), F.col("node") - first)
+    signed = [F.struct(F.col("node"), *SUMS), F.struct(other.alias("node"), *[(-F.col(c)).alias(c) for c in SUMS])]
+    both = cells.select("f", "b", F.explode(F.array(*signed)).alias("c")).select("c.node", "f", "b", *[f"c.{c}" for c in SUMS])
+    # Dealt out as the running sums over them will need it.
+    together = whole.unionByName(both).repartition("node", "f")
+    return together.groupBy("node", "f", "b").agg(*[F.sum(c).alias(c) for c in SUMS]).filter("n > 0")
 
 
 def cut_candidates(cells: DataFrame, cuts, params: BoostParams) -> DataFrame:

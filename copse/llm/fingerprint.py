@@ -4,7 +4,7 @@ Lines are paragraphs; long ones, and those of texts with few, are cut further at
 digest goes to one cell in each of three parts; a cell holds the number, the XOR of the digests and the XOR of their checks. Subtracting two
 versions' cells leaves the digests by which they differ, and peeling recovers those: a cell with a single digest gives it away, taking
 it out of its other cells may leave further single ones, and so on. A fingerprint is a sketch of ``CELLS`` cells as text. For comparing, sketches are sized by
-the number of digests, so most peel at the first attempt; the others are made again with twice the cells until they do.
+the number of digests, so most peel at the first attempt; the others are made again with four times the cells until they do.
 
 Cells are rows, summed by one aggregate; a step of peeling looks at one part, where no digest has two cells, and is one more aggregate. All of them keep
 the partitioning by document, so digests are shuffled once.
@@ -16,14 +16,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from copse.session import cut
+from copse.session import broadcast_if_small, cut
 
 CELLS = 24
 """Cells of a fingerprint's text, in three parts."""
 
-CELLS_PER_KEY = 2
+CELLS_PER_KEY = 4
 """Cells of a sketch for each digest of both versions, before rounding up to a power of two a part; below 0.8 digests a cell, peeling ends well."""
 
+LEAST_SHARE = 32
+"""Cells of a part, at least: in smaller sketches two digests share all their cells too often. Empty cells are no rows, so they cost nothing."""
+
+GROWTH_BITS = 2
+"""Each further attempt has 2 to this power times as many cells."""
+
 SWEEPS = 4
 """Peeling goes over the three parts so many times in one attempt."""
 
@@ -197,7 +203,7 @@ def cells_of(rows: DataFrame, attempt: int) -> DataFrame:
 
     def side(name: str, sign: int, keys: str) -> Column:
         wanted = F.ceil((F.size("a") + F.size(PAIRS[name])) * (CELLS_PER_KEY / 3))
-        share = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(F.greatest(wanted.cast("long"), F.lit(8)) - 1)) + attempt)
+        share = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(F.greatest(wanted.cast("long"), F.lit(LEAST_SHARE)) - 1)) + attempt * GROWTH_BITS)
         return F.struct(F.lit(name).alias("pair"), F.lit(sign).cast("long").alias("n"), share.alias("share"), F.col(keys).alias("keys"))
 
     sides = F.explode(F.array(*(side(p, sign, c) for p, other in PAIRS.items() for sign, c in ((1, "a"), (-1, other))))).alias("s")
@@ -243,10 +249,11 @@ def differences(rows: DataFrame) -> DataFrame:
     """row, left_edited, right_edited, left_next, right_next for rows (row, a, e, x; written); no row where nothing differs."""
     found = cut(attempted(rows, 0), "differences")
     done, attempt = found.filter("NOT stuck"), 0
-    while not found.filter("stuck").isEmpty():
+    while many := found.filter("stuck").count():
         attempt += 1
-        # With every attempt a sketch's cells double and so tell apart what shared all of them.
-        rows = rows.join(found.filter("stuck").select("row"), "row", "left_semi")
+        # With every attempt a sketch's cells grow fourfold and so tell apart what shared all of them.
+        stuck = broadcast_if_small(found.filter("stuck").select("row"), many)
+        rows = cut(rows.join(stuck, "row", "left_semi"), "stuck")
         found = cut(attempted(rows, attempt), "differences")
         done = done.unionByName(found.filter("NOT stuck"))
     return done.drop("stuck")

@@ -115,6 +115,7 @@ def test_peeling_recovers_or_tells(spark, monkeypatch):
     assert told(fingerprint.differences(df.drop("n"))) == want
     # Far too small sketches stay stuck, and are made larger until they peel.
     monkeypatch.setattr(fingerprint, "CELLS_PER_KEY", 0.1)
+    monkeypatch.setattr(fingerprint, "LEAST_SHARE", 4)
     monkeypatch.setattr(fingerprint, "SWEEPS", 2)
     small = fingerprint.attempted(df.drop("n"), 0)
     assert small.filter("stuck").count() >= 40 and told(small.filter("NOT stuck")).items() <= want.items()

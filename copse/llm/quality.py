@@ -197,9 +197,11 @@ def filter_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (with text, lang and source) that ``judge`` keeps, all columns as they were."""
     names = docs.columns
     whole = F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row")
-    # Texts are counted once; written with their counts, these alone are read for the sketches.
+    # Texts are counted twice, once for the sketches and once beside their rows, which is cheaper than writing them all with their counts.
+    few = measured(docs, "text", "lang", "source", [])
+    few = few.select("_lang", "_source", *(F.col(f"_{c}").alias(c) for c in COUNTS))
+    limits = thresholds(few)
     rows = measured(docs, "text", "lang", "source", [whole])
-    rows = cut(rows.select("_row", "_lang", "_source", *(F.col(f"_{c}").alias(c) for c in COUNTS)), "quality-rows")
-    few = rows.drop("_row")
-    joined = skew_join(rows.filter(~base_failed()), thresholds(few), ["_lang", "_source"], "_row", counted=few, how="left")
+    rows = rows.select("_row", "_lang", "_source", *(F.col(f"_{c}").alias(c) for c in COUNTS)).filter(~base_failed())
+    joined = skew_join(rows, limits, ["_lang", "_source"], "_row", counted=few, how="left")
     return joined.filter(within()).select(*(F.col("_row").getField(c).alias(c) for c in names))

@@ -8,6 +8,8 @@ the least room that still holds it. A segment tree over the possible amounts of
 from __future__ import annotations
 
 import base64
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import reduce
 
@@ -32,6 +34,14 @@ CACHED_CHARS = 64
 """Longer words are not kept, so the store of known words is bounded in bytes too."""
 
 
+def _as_bytes(ids: list[int]) -> bytes:
+    """As little-endian unsigned 32-bit numbers."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 class Tokenizer:
     """Byte-level BPE ids of whole texts, equal to those of the ``byte_bpe_50k.json`` vocabulary without added special tokens.
 
@@ -51,7 +61,7 @@ class Tokenizer:
         for word in self.split(text):
             ids = known.get(word)
             if ids is None:
-                ids = np.array(self.encoding.encode_ordinary(word), dtype="<u4").tobytes()
+                ids = _as_bytes(self.encoding.encode_ordinary(word))
                 if len(word) <= CACHED_CHARS:
                     if len(known) >= CACHED_WORDS:
                         known.clear()

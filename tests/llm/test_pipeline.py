@@ -45,6 +45,6 @@ def test_queries_are_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert set(catalog.QUERIES) | {"pipeline"} <= set(names) and {n.split("_")[0] for n in catalog.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert set(catalog.QUERIES) | {"pipeline"} <= set(names) and {n.split("_")[0] for n in catalog.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(catalog.SQL) <= set(catalog.QUERIES)
     assert langid.UNKNOWN == "und" and packing.WINDOW == 2048

@@ -32,15 +32,17 @@ def rows_at(node: str, base: str = LI_X) -> str:
     return f"SELECT *, {node} AS node, {p} - label AS g, {p} * (1.0::DOUBLE - {p}) AS h FROM ({base})"
 
 
+CUT = ", ".join(
+    f"floor({c} * 67108864.0::DOUBLE)::BIGINT AS {c}1, "
+    f"floor(({c} * 67108864.0::DOUBLE - floor({c} * 67108864.0::DOUBLE)) * 67108864.0::DOUBLE)::BIGINT AS {c}0"
+    for c in ("g", "h")
+)
+
+
 def long_rows(source: str, features, where: str = "true") -> str:
     """One row per row and feature; gradients and hessians as multiples of 2^-26 and, of what is left, of 2^-52."""
-    cut = ", ".join(
-        f"floor({c} * 67108864.0::DOUBLE)::BIGINT AS {c}1, "
-        f"floor(({c} * 67108864.0::DOUBLE - floor({c} * 67108864.0::DOUBLE)) * 67108864.0::DOUBLE)::BIGINT AS {c}0"
-        for c in ("g", "h")
-    )
     return " UNION ALL ".join(
-        f"SELECT node, {i} AS f, x{i} AS v, {cut} FROM {source} WHERE {where}" for i in features
+        f"SELECT node, {i} AS f, x{i} AS v, {CUT} FROM {source} WHERE {where}" for i in features
     )
 
 
@@ -180,8 +182,8 @@ def fit_ctes(base: str, k: int, trees: int, depth: int, lr=0.1, lam=1.0, gamma=0
                 f"FROM {rows} r LEFT JOIN (SELECT * FROM {name} WHERE {rule}) s ON r.node = s.node)"
             )
         ctes.append(
-            f"{p}l{t} AS (SELECT node, count(*) AS n, -sum(g) / (sum(h) + {lam}::DOUBLE) AS val "
-            f"FROM {p}r{t}_{depth} WHERE part = 'train' GROUP BY node)"
+            f"{p}l{t} AS (SELECT node, n, -{number('g')} / ({number('h')} + {lam}::DOUBLE) AS val FROM (SELECT node, count(*) AS n, {summed()} "
+            f"FROM (SELECT node, {CUT} FROM {p}r{t}_{depth} WHERE part = 'train') GROUP BY node))"
         )
         ctes.append(
             f"{p}m{t + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (node, g, h, margin), r.margin + {lr}::DOUBLE * l.val AS margin, "
@@ -428,6 +430,16 @@ SQL: dict[str, str] = {
         scored AS (SELECT label, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(margin - 0.5::DOUBLE))) AS probability
           FROM m2 WHERE part = 'test')
         SELECT tree_id, {r6('loss', 'loss')}, tn, fp, fn, tp, {MEASURES} FROM ({losses_sql(2).replace("FROM m2", "FROM m2 WHERE part = 'train'")}), ({SHARES} ({COUNTS} scored))""",
+    "usual_configuration": f"""
+        WITH numbered AS (SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id, label, o_totalprice AS x0, c_acctbal AS x1 FROM ({ORD})),
+        base AS (SELECT *, CASE WHEN {drawn('row_id', 0)} <= count(*) OVER () - floor(count(*) OVER () * 0.2::DOUBLE)
+          THEN 'train' ELSE 'test' END AS part FROM numbered),
+        {fit_ctes('SELECT * FROM base', 2, 10, 8, lam=0.0)},
+        scored AS (SELECT label, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(margin - 0.5::DOUBLE))) AS probability FROM m10 WHERE part = 'test'),
+        sizes AS ({" UNION ALL ".join(f"SELECT {t} AS tree_id, 2 * count(*) - 1 AS nodes, count(*) AS leaves FROM l{t}" for t in range(10))}),
+        losses AS ({losses_sql(10).replace("FROM m10", "FROM m10 WHERE part = 'train'")})
+        SELECT tree_id, nodes, leaves, {r6('loss', 'loss')}, tn, fp, fn, tp, {MEASURES.removeprefix("n, ")}
+        FROM sizes JOIN losses USING (tree_id), ({SHARES} ({COUNTS} scored))""",
     "end_to_end": f"""
         WITH base AS (SELECT row_id, label, o_totalprice AS x0, c_acctbal AS x1, part FROM ({SPLIT})),
         {fit_ctes('SELECT * FROM base', 2, 2, 2)},

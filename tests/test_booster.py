@@ -7,12 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from copse.operators import bins, splits
+from copse.operators import bins, splits, tree
 from copse.operators.select import order_statistics
 from copse.operators.tree import sample_columns
 from copse.params import BoostParams
 from copse.plans import views
-from copse.plans.boost import BoostedModel, fit
+from copse.plans.boost import BoostedModel, fit, fit_each
 
 LI = views.LI_FEATURES
 
@@ -278,3 +278,37 @@ def test_the_usual_configuration(spark, folder):
     expected, losses = brute.fit(data[names].to_numpy(float), data["label"].to_numpy(), 10, 8, 0.1, 0.0, 0.0)
     assert model.losses == pytest.approx(losses, abs=1e-6)
     assert [len(nodes_of(model, t)) for t in range(10)] == [len(t) for t in expected]
+
+
+def test_levels_by_value_and_by_blocks_agree(sample, monkeypatch):
+    df, _, _ = sample
+    by_value = fit(df, LI, "label", params())
+    monkeypatch.setattr(splits, "BY_VALUE_ROWS", 0)
+    assert fit(df, LI, "label", params()).node_rows() == by_value.node_rows()
+    monkeypatch.setattr(bins, "BLOCK_QUANTILES", 4)
+    monkeypatch.setattr(splits, "SUB_QUANTILES", 3)
+    monkeypatch.setattr(splits.exact_best, "__defaults__", (8, 3))
+    assert fit(df, LI, "label", params()).node_rows() == by_value.node_rows()
+
+
+def test_plans_of_deep_levels_stay_small(sample, monkeypatch):
+    df, _, _ = sample
+    sizes = []
+
+    def seen(rows, *more):
+        sizes.append(len(rows._jdf.queryExecution().optimizedPlan().toString()))
+        return whole(rows, *more)
+
+    whole = tree.best_splits
+    monkeypatch.setattr(tree, "best_splits", seen)
+    fit(df, LI, "label", params(trees=1, depth=8, reg_lambda=0.0))
+    assert len(sizes) == 8 and max(sizes) < 100_000
+
+
+def test_fits_that_share_rows_equal_single_ones(sample):
+    df, _, _ = sample
+    configs = [params(), params(gamma=2.0, min_gain=0.0)]
+    shared = fit_each(df, LI, "label", configs)
+    assert [m.node_rows() for m in shared] == [fit(df, LI, "label", p).node_rows() for p in configs]
+    with pytest.raises(ValueError, match="share"):
+        fit_each(df, LI, "label", [params(), params(method="histogram")])

@@ -4,9 +4,8 @@ One filter serves all languages: each slot holds a bit for every language, and A
 returns the set of languages that (seem to) contain it. A text's trigrams are counted for each language, the counts are corrected
 for the share of false positives that the language's own fill predicts, and the largest count decides.
 
-Learning reads a bounded sample of labelled rows, ``SAMPLE_DOCS`` of each language, chosen by a hash. Counting, and
-choosing the ``TOP_GRAMS`` most frequent trigrams of each language, is done by Spark; what reaches the driver is bounded by
-these parameters and the number of languages. Classifying reads every character of every text.
+Learning reads all labelled rows. Counting, and choosing the ``TOP_GRAMS`` most frequent trigrams of each language, is done by
+Spark; what reaches the driver is bounded by that number and the number of languages. Classifying reads every character of every text.
 
 Whether a text is in any learnt language at all is decided by the share of its trigrams that its best language knows. What share to expect
 is taken from labelled documents kept out of learning: those of the language, and those of others that come closest to it.
@@ -23,9 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SAMPLE_DOCS = 4_000
-"""Learn from about so many documents of each language at most."""
-
 TOP_GRAMS = 8_000
 """Keep so many trigrams of each language at most."""
 
@@ -42,6 +38,8 @@ UNKNOWN = "und"
 
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 _CHUNK = 1 << 20
+_HELD = 1 << 21
+_FRAME = 1 << 16
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -59,15 +57,39 @@ def _grams(text: str) -> Iterator[np.ndarray]:
         yield (c[:-2] << 42) | (c[1:-1] << 21) | c[2:]
 
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct trigrams of several lists with counts, and the sums of their counts."""
+    gram, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    n = np.zeros(len(gram), dtype=np.int64)
+    np.add.at(n, at, np.concatenate([p[1] for p in parts]))
+    return gram, n
+
+
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Trigrams of each language with their counts, merged as far as ``_HELD`` entries go, so tasks need little memory."""
+    held: dict[str, list] = {}
+    size = 0
     for batch in batches:
         for lang, texts in batch.groupby("lang").text:
-            parts = [np.unique(g, return_counts=True) for t in texts for g in _grams(t)]
-            if parts:
-                gram = np.concatenate([p[0] for p in parts])
-                n = np.concatenate([p[1] for p in parts])
-                gram, at = np.unique(gram, return_inverse=True)
-                yield pd.DataFrame({"lang": lang, "gram": gram, "n": np.bincount(at, weights=n).astype(np.int64)})
+            for t in texts:
+                for g in _grams(t):
+                    found = np.unique(g, return_counts=True)
+                    held.setdefault(lang, []).append(found)
+                    size += len(found[0])
+                    if size > _HELD:
+                        held = {k: [_merged(p)] for k, p in held.items()}
+                        size = sum(len(p[0][0]) for p in held.values())
+                        if 2 * size > _HELD:
+                            yield from _frames(held)
+                            held, size = {}, 0
+    yield from _frames(held)
+
+
+def _frames(held: dict[str, list]) -> Iterator[pd.DataFrame]:
+    for lang, parts in held.items():
+        gram, n = _merged(parts)
+        for at in range(0, len(gram), _FRAME):
+            yield pd.DataFrame({"lang": lang, "gram": gram[at : at + _FRAME], "n": n[at : at + _FRAME]})
 
 
 class LanguageFilter:
@@ -126,29 +148,20 @@ class LanguageFilter:
         return bool(true[best] > chance and true[best] >= least)
 
 
-def _sampled(rows: DataFrame, sizes: dict[str, int], sample_docs: int) -> DataFrame:
-    """About ``sample_docs`` rows (text, lang, key) of each language, chosen by a hash of key and text, so rows without key are spread too."""
-    shares = F.create_map(*(F.lit(x) for k, n in sorted(sizes.items()) for x in (k, sample_docs / n)))
-    drawn = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 30)) / float(1 << 30)
-    return rows.filter(drawn < shares[F.col("lang")]).select("lang", "text")
-
-
-def learn(rows: DataFrame, text: str, lang: str, key: str, sample_docs: int = SAMPLE_DOCS) -> LanguageFilter:
-    """Fit the filter on labelled rows.
+def learn(rows: DataFrame, text: str, lang: str) -> LanguageFilter:
+    """Fit the filter on labelled rows, all of them.
 
-    Rows without text or language are left out. ``key`` chooses the sample, by a hash of its value, so the sample is
-    the same on any partitioning. Rows repeated in the table count as often as they occur. No labelled rows at all give a filter
+    Rows without text or language are left out. Rows repeated in the table count as often as they occur. No labelled rows at all give a filter
     that knows no language and answers ``und``.
     """
-    rows = rows.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{key}`").alias("key"))
+    rows = rows.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
     rows = rows.filter("text is not null and lang is not null")
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
+    languages = rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
+    if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not sizes:
+    if not languages:
         return LanguageFilter.of([], [])
-    sample = _sampled(rows, sizes, sample_docs)
-    counts = sample.mapInPandas(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = rows.mapInPandas(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     counts = counts.withColumn("_rank", F.row_number().over(top)).filter(F.col("_rank") <= TOP_GRAMS).drop("_rank")
     found = counts.toPandas()
@@ -183,28 +196,25 @@ def predict(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
     gives an empty result.
     """
     key = F.col(f"`{doc_id}`")
-    model = learn(docs.filter(~held_out(key)), text, lang, doc_id)
+    model = learn(docs.filter(~held_out(key)), text, lang)
     answer = classifier(docs.sparkSession, model)
     rows = docs.select(key.alias("doc_id"), held_out(key).alias("held_out"), answer(F.col(f"`{text}`")).alias("_answer"))
     return rows.select("doc_id", "held_out", "_answer.lang_pred", "_answer.score")
 
 
-def known_shares(docs: DataFrame, model: LanguageFilter, doc_id: str, text: str, lang: str, sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
+def known_shares(docs: DataFrame, model: LanguageFilter, doc_id: str, text: str, lang: str) -> np.ndarray:
     """For each language, the share of trigrams that a text in it must have known: midway between the median of its own documents and that
     of documents of other languages for which it comes next.
 
-    Documents that are not held out are asked only for languages that have no others. Without other languages' documents, the lower end is 0.
+    All held-out documents with a label are measured; those that are not held out only for languages that have no others. Without other languages' documents, the lower end is 0.
     """
     key = F.col(f"`{doc_id}`")
-    rows = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"), key.alias("key"), held_out(key).alias("held"))
+    rows = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"), held_out(key).alias("held"))
     rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isin(model.languages))
-    sizes: dict[str, dict[bool, int]] = {}
-    for r in rows.groupBy("lang", "held").count().collect():
-        sizes.setdefault(r["lang"], {})[r["held"]] = r["count"]
-    if not sizes:
+    kinds = {(r["lang"], r["held"]) for r in rows.select("lang", "held").distinct().collect()}
+    if not kinds:
         return np.zeros(len(model.languages))
-    asked = [F.col("held") & F.col("lang").isin([k for k, n in sizes.items() if True in n]), ~F.col("held") & F.col("lang").isin([k for k, n in sizes.items() if True not in n])]
-    sample = _sampled(rows.filter(asked[0] | asked[1]), {k: n.get(True) or n[False] for k, n in sizes.items()}, sample_docs)
+    asked = rows.filter(F.col("held") | ~F.col("lang").isin([k for k, held in kinds if held])).select("lang", "text")
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.slices))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -224,7 +234,7 @@ def known_shares(docs: DataFrame, model: LanguageFilter, doc_id: str, text: str,
             yield pd.DataFrame(found, columns=["lang", "own", "share"]).astype({"lang": str, "own": bool, "share": float})
 
     # Shares in thousandths, so a median needs no more than as many counts.
-    measured = sample.mapInPandas(measure, "lang string, own boolean, share double").withColumn("share", F.round("share", 3))
+    measured = asked.mapInPandas(measure, "lang string, own boolean, share double").withColumn("share", F.round("share", 3))
     middle = {(r.lang, r.own): r.middle for r in measured.groupBy("lang", "own").agg(F.percentile("share", 0.5).alias("middle")).collect()}
     ends = [(middle.get((x, True), 0.0), middle.get((x, False), 0.0)) for x in model.languages]
     return np.array([(own + other) / 2 if own else 0.0 for own, other in ends])
@@ -237,7 +247,7 @@ def filter_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     and languages that were never learnt.
     """
     key = F.col(f"`{doc_id}`")
-    model = learn(docs.filter(~held_out(key)), text, lang, doc_id)
+    model = learn(docs.filter(~held_out(key)), text, lang)
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.slices, known_shares(docs, model, doc_id, text, lang)))
 
     def known(texts: pd.Series) -> pd.Series:

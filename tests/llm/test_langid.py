@@ -101,3 +101,44 @@ def test_junk_and_unlearnt_languages_are_rejected(spark, folder):
     more = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(bad)], "doc_id long, text string, lang string")
     kept = {r.doc_id for r in langid.filter_documents(docs.unionByName(more)).select("doc_id").collect()}
     assert kept == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+
+
+def test_limits_come_from_all_documents(spark):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(5)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(5))
+    words = {"aa": [word("abcde") for _ in range(60)], "bb": [word("defgh") for _ in range(60)]}
+    rows = []
+    for i in range(20_000):
+        lang = "ab"[i % 2] * 2
+        rows.append((i, " ".join(rng.choice(words[lang]) if rng.random() < 0.5 else word("abcdefghijklm") for _ in range(12)), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    model = langid.learn(docs.filter(~langid.held_out(F.col("doc_id"))), "text", "lang")
+    counts = exact_sets({k: [t for i, t, x in rows if x == k and zlib.crc32(str(i).encode()) % 3 != 1] for k in ("aa", "bb")})
+    assert [np.concatenate([g for t in ["abcde"] for g in langid._grams(t)]).size, model.languages] == [5, ["aa", "bb"]]
+    again = langid.LanguageFilter.of(["aa", "bb"], [np.array(sorted(counts[k])) for k in ("aa", "bb")])
+    assert (again.slices == model.slices).all()
+    shares = {k: [] for k in [(0, True), (1, True), (0, False), (1, False)]}
+    for i, t, x in rows:
+        if zlib.crc32(str(i).encode()) % 3 == 1:
+            total, true = model.hits(t)
+            own = ["aa", "bb"].index(x)
+            shares[own, True].append(round(true[own] / total, 3))
+            shares[1 - own, False].append(round(true[1 - own] / total, 3))
+    want = [(np.median(shares[i, True]) + np.median(shares[i, False])) / 2 for i in (0, 1)]
+    assert np.allclose(langid.known_shares(docs, model, "doc_id", "text", "lang"), want, atol=1e-9)
+
+
+def test_counts_are_handed_on_when_too_many_are_held(monkeypatch):
+    import pandas as pd
+
+    texts = pd.DataFrame({"lang": ["x", "y"] * 50, "text": [f"some words {chr(97 + i % 26) * 3} of text {i}" for i in range(100)]})
+    total = lambda frames: pd.concat(frames).groupby(["lang", "gram"]).n.sum().to_dict()
+    whole = list(langid._count(iter([texts])))
+    monkeypatch.setattr(langid, "_HELD", 40)
+    monkeypatch.setattr(langid, "_FRAME", 7)
+    parts = list(langid._count(iter([texts[:30], texts[30:]])))
+    assert total(parts) == total(whole) and max(map(len, parts)) <= 7 and len(parts) > len(whole)

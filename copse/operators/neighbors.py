@@ -25,6 +25,7 @@ from ..session import cut, skew_join
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK = 2048
+FRAME_NUMBERS = 1 << 18  # in the vectors and ids of a frame that a task hands on
 MAX_PIVOTS = 256  # per class; with the width of a vector this bounds what tasks are sent
 
 
@@ -104,8 +105,11 @@ def _send(pivots: dict, reach: dict):
                 slack = 1e-9 * (1.0 + np.abs(d))
                 wanted = (least <= bound[None, :] + slack) & np.isfinite(radius)[None, :]
                 who, cell = np.nonzero(wanted)
-                sent = part.iloc[who][["cls", "vid", "ids", "vec"]].assign(cell=cell)
-                yield sent
+                # With many dimensions a point goes to most cells: a batch then makes far more rows than it holds.
+                width = sum(len(x) for x in part["ids"]) / len(part) + len(part["vec"].iloc[0])
+                step = max(1, int(FRAME_NUMBERS // width))
+                for at in range(0, len(who), step):
+                    yield part.iloc[who[at : at + step]][["cls", "vid", "ids", "vec"]].assign(cell=cell[at : at + step])
 
     return run
 

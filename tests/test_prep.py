@@ -218,3 +218,21 @@ def test_oversample_leaves_missing_labels_alone(spark):
     halves = spark.createDataFrame([(1, 0.5, 1.0), (2, 0.0, 2.0), (3, 0.0, 3.0)], "i long, y double, a double")
     with pytest.raises(ValueError, match="whole"):
         oversample(halves, "i", "y", ["a"])
+
+
+def test_neighbour_search_hands_points_on_in_small_frames():
+    import numpy as np
+    import pandas as pd
+
+    from copse.operators import neighbors
+
+    rng = np.random.default_rng(0)
+    vectors, pivots = rng.random((500, 64)), {0: rng.random((64, 64))}
+    points = pd.DataFrame({"cls": 0, "vid": range(500), "ids": [[i] for i in range(500)], "vec": list(vectors)})
+    placed = next(neighbors._assign(pivots)(iter([points])))
+    between = neighbors._distances(pivots[0], pivots[0])
+    reach = {0: (np.full(64, 9.0), np.full(64, np.inf), between)}  # every point matters to every cell
+    frames = list(neighbors._send(pivots, reach)(iter([placed.drop(columns="dist")])))
+    assert sum(map(len, frames)) == 500 * 64
+    assert max(len(f) * 65 for f in frames) <= neighbors.FRAME_NUMBERS
+    assert len(pd.concat(frames)[["vid", "cell"]].drop_duplicates()) == 500 * 64

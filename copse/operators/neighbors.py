@@ -26,7 +26,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK = 2048
 FRAME_NUMBERS = 1 << 18  # in the vectors and ids of a frame that a task hands on
-MAX_PIVOTS = 256  # per class; with the width of a vector this bounds what tasks are sent
+MAX_PIVOTS = 2048  # per class; with the width of a vector this bounds what tasks are sent
+CELL_NUMBERS = 64  # points a cell, for each dimension: with few of them small cells leave few pairs, with many a point goes to most cells
+TASK_POINTS = 20_000
+STEP_NUMBERS = 1 << 20  # distances to pivots that a task holds at once
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -39,19 +42,19 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _pivots(points: DataFrame, chunk: int) -> dict:
-    """Per class a hash-drawn sample of its distinct vectors."""
+def _pivots(points: DataFrame, chunk: int) -> tuple[dict, int]:
+    """Per class a hash-drawn sample of its distinct vectors; and the number of points in all."""
     sizes = {r["cls"]: r["n"] for r in points.groupBy("cls").agg(F.count("*").alias("n")).collect()}
     order = Window.partitionBy("cls").orderBy(F.xxhash64("vec"), "vid")
     drawn = points.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= MAX_PIVOTS)
     rows = drawn.orderBy("cls", "r").select("cls", "vec").collect()
     out: dict = {}
     for r in rows:
-        wanted = min(MAX_PIVOTS, math.ceil(sizes[r["cls"]] / chunk))
+        wanted = min(MAX_PIVOTS, math.ceil(sizes[r["cls"]] / min(chunk, CELL_NUMBERS * max(1, len(r["vec"])))))
         kept = out.setdefault(r["cls"], [])
         if len(kept) < wanted:
             kept.append(r["vec"])
-    return {c: np.array(v, dtype=float) for c, v in out.items()}
+    return {c: np.array(v, dtype=float) for c, v in out.items()}, sum(sizes.values())
 
 
 def _assign(pivots: dict):
@@ -62,10 +65,14 @@ def _assign(pivots: dict):
                 vectors = np.stack(part["vec"].to_numpy()).astype(float)
                 if np.isnan(vectors).any():
                     raise ValueError("a feature is missing; impute or drop such rows first")
-                d = _distances(vectors, pivots[cls])
-                nearest = d.argmin(axis=1)
+                nearest, dist = np.empty(len(vectors), dtype=np.int64), np.empty(len(vectors))
+                step = max(1, STEP_NUMBERS // len(pivots[cls]))
+                for at in range(0, len(vectors), step):
+                    d = _distances(vectors[at : at + step], pivots[cls])
+                    nearest[at : at + step] = d.argmin(axis=1)
+                    dist[at : at + step] = d.min(axis=1)
                 batch.loc[part.index, "cell"] = nearest
-                batch.loc[part.index, "dist"] = d[np.arange(len(d)), nearest]
+                batch.loc[part.index, "dist"] = dist
             yield batch
 
     return run
@@ -74,27 +81,34 @@ def _assign(pivots: dict):
 def _reach(pivots: dict, stats, k: int) -> dict:
     """Per class: cell radii, and a radius that holds k+1 points around each of a cell's points."""
     radius = {c: np.full(len(p), -np.inf) for c, p in pivots.items()}
-    near: dict = {c: [[] for _ in p] for c, p in pivots.items()}
+    near = {c: np.full((len(p), k + 1), np.inf) for c, p in pivots.items()}
     for r in stats:
         radius[r["cls"]][r["cell"]] = r["radius"]
-        near[r["cls"]][r["cell"]].append(r["dist"])
+        near[r["cls"]][r["cell"], r["r"] - 1] = r["dist"]
     out = {}
     for c, p in pivots.items():
         between = _distances(p, p)
         bound = np.full(len(p), np.inf)
         for i in range(len(p)):
             if np.isfinite(radius[c][i]):
-                ways = sorted(radius[c][i] + between[i, j] + d for j in range(len(p)) for d in near[c][j])
-                if len(ways) > k:
-                    bound[i] = ways[k]
+                # Infinite where the class has too few points.
+                bound[i] = np.partition((radius[c][i] + between[i][:, None] + near[c]).ravel(), k)[k]
         out[c] = (radius[c], bound, between)
     return out
 
 
+def _steps(batch: pd.DataFrame, pivots: dict) -> Iterator[tuple]:
+    """The points of each class in runs of bounded size."""
+    for cls, part in batch.groupby("cls"):
+        step = max(1, STEP_NUMBERS // len(pivots[cls]))
+        for at in range(0, len(part), step):
+            yield cls, part.iloc[at : at + step]
+
+
 def _send(pivots: dict, reach: dict):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for cls, part in batch.groupby("cls"):
+            for cls, part in _steps(batch, pivots):
                 radius, bound, between = reach[cls]
                 d = _distances(np.stack(part["vec"].to_numpy()), pivots[cls])
                 own = part["cell"].to_numpy()
@@ -171,9 +185,11 @@ def knn(
         .withColumn("vid", F.col("ids")[0]),
         "points",
     ).select("cls", "vid", "ids", "vec")
-    pivots = _pivots(points, chunk)
+    pivots, total = _pivots(points, chunk)
+    # Comparing takes long for the bytes it reads, so tasks are not merged by bytes as Spark would.
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / TASK_POINTS))
     kinds = "cls int, vid bigint, ids array<bigint>, vec array<double>"
-    placed = cut(points.mapInPandas(_assign(pivots), f"{kinds}, cell int, dist double"), "placed")
+    placed = cut(points.repartition(tasks, "vid").mapInPandas(_assign(pivots), f"{kinds}, cell int, dist double"), "placed")
 
     by_cell = Window.partitionBy("cls", "cell")
     closest = by_cell.orderBy("dist", "vid")
@@ -181,7 +197,7 @@ def knn(
     stats = (
         placed.withColumn("r", F.row_number().over(closest))
         .filter(F.col("r") <= k + 1)
-        .select("cls", "cell", "dist")
+        .select("cls", "cell", "dist", "r")
         .join(radii.hint("broadcast"), ["cls", "cell"])  # classes * MAX_PIVOTS rows at most
         .collect()
     )
@@ -198,9 +214,9 @@ def knn(
     others = sent.join(counts, ["cls", "cell"]).withColumn("cc", mine("cn")).withColumn("qc", every("qn"))
     key = ["cls", "cell", "qc", "cc"]
     found = (
-        queries.select(*key, "vid", "vec")
+        queries.select(*key, "vid", "vec").repartition(tasks, *key)
         .groupBy(*key)
-        .cogroup(others.select(*key, "vid", "ids", "vec").groupBy(*key))
+        .cogroup(others.select(*key, "vid", "ids", "vec").repartition(tasks, *key).groupBy(*key))
         .applyInPandas(_nearest(k), "cls int, vid bigint, nvid bigint, dist double, nids array<bigint>")
     )
     best = Window.partitionBy("cls", "vid")

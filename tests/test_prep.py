@@ -236,3 +236,11 @@ def test_neighbour_search_hands_points_on_in_small_frames():
     assert sum(map(len, frames)) == 500 * 64
     assert max(len(f) * 65 for f in frames) <= neighbors.FRAME_NUMBERS
     assert len(pd.concat(frames)[["vid", "cell"]].drop_duplicates()) == 500 * 64
+
+
+def test_cells_of_few_dimensions_stay_small(spark):
+    from copse.operators import neighbors
+
+    points = spark.range(60_000).select(F.lit(1).alias("cls"), F.col("id").alias("vid"), F.array("id").alias("ids"), F.array(F.rand(1), F.rand(2)).alias("vec"))
+    pivots, total = neighbors._pivots(points, neighbors.CHUNK)
+    assert total == 60_000 and len(pivots[1]) == -(-60_000 // 128)

@@ -1,5 +1,10 @@
+import random
+import re
+
 import messy
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -94,3 +99,60 @@ def test_query_decodes_to_the_texts(spark, folder):
     assert out.columns == ["doc_id", "ids", "best_ids", "best_score", "n_ids", "decoded"]
     assert {r.doc_id: r.decoded for r in out.collect()} == {r.doc_id: r.text or "" for r in docs.collect()}
     assert pieces.with_decoded(pieces.encode(messy.frame(spark)).withColumn("n_ids", F.size("ids"))).count() == messy.frame(spark).count()
+
+
+def test_query_moves_no_rows(spark, folder):
+    """Texts and words moved to meet took more disk than the query may."""
+    plan = catalog.op3_sentencepiece(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan and plan.count("Scan") == 1
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return pieces.Vocabulary()
+
+
+def odd_words(vocabulary, n):
+    draw = random.Random(7)
+    known = [p for p, _, _ in vocabulary.rows]
+    alphabet = [*"aeinrst▁", "é", "ß", "日", "語", "😀", "\U0010ffff", "\0", "\n"]
+    some = lambda: draw.choice(known) if draw.random() < 0.4 else "".join(draw.choices(alphabet, k=draw.randint(1, 6)))
+    return sorted({"".join(some() for _ in range(draw.randint(1, 6))) for _ in range(n)}, key=len)
+
+
+def test_words_at_once_equal_words_one_by_one(vocabulary):
+    words, known = odd_words(vocabulary, 3_000), pieces.Words(vocabulary)
+    score, both = known._fold(words, np.array([len(w) for w in words]))
+    apart = [known._fold_long(w) for w in words]
+    assert score.tolist() == [float(s[0]) for s, _ in apart]
+    for k in (0, 1):
+        ids, counts = both[k]
+        assert counts.tolist() == [int(two[k][1][0]) for _, two in apart]
+        assert ids.tolist() == [i for _, two in apart for i in two[k][0].tolist()]
+
+
+def test_words_of_texts(vocabulary):
+    draw = random.Random(3)
+    texts = ["".join(draw.choices("ab ▁\n日", weights=[4, 2, 5, 3, 1, 1], k=draw.randint(1, 40))) for _ in range(2_000)] + [" ", "▁", " " * 9, "▁" * 8, None]
+    cut = [re.findall("▁*[^▁]+|▁+", "▁" + t.replace(" ", "▁")) if t else None for t in texts]
+    assert pieces._words(pa.array(texts)).to_pylist() == cut
+
+
+def test_store_is_emptied(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(pieces, "KNOWN_CHARS", 200)
+    monkeypatch.setattr(pieces, "FOLDED_CHARS", 64)
+    texts = [t or None for t in messy.TEXTS if t != messy.LONG] * 2
+    known = pieces.Words(vocabulary)
+    for text in texts:
+        ids, _, _ = known.of_texts(pa.array([text, None], type=pa.string()))
+        assert ids.to_pylist() == [library.encode(text or ""), []]
+        assert known.chars <= 200 + 2 * len(text or "") + 2
+
+
+def test_decode_of_any_bytes(spark, vocabulary):
+    draw = random.Random(5)
+    some = vocabulary.bytes[0x20:0x22] + vocabulary.bytes[0x70:] + [0, 259, 300]
+    rows = [(k, draw.choices(some, k=draw.randint(0, 9))) for k in range(3_000)]
+    plain = lambda ids: b"".join(vocabulary.spelling[i] for i in ids).removeprefix(b" ").decode("utf-8", "replace")
+    got = pieces.decode(spark.createDataFrame(rows, "doc_id long, ids array<int>"))
+    assert {r.doc_id: r.text for r in got.collect()} == {k: plain(ids) for k, ids in rows}

@@ -36,8 +36,8 @@ KNOWN_CHARS = 4_000_000
 FOLDED_CHARS = 1 << 16
 """Characters of the words that are folded together, about; a group's table of edges takes 4 bytes for each, times the longest piece."""
 
-LONG_WORD = 48
-"""Lattices of longer words are folded one by one: arrays over places by words would be mostly empty, and merging is quadratic there."""
+LONG_WORD = 1_000
+"""Lattices of longer words are folded one by one: merging many at once takes time by the square of their length."""
 
 MAX_PIECES = 500_000
 """Larger vocabularies are refused; each task holds the pieces."""

@@ -131,6 +131,13 @@ def test_words_at_once_equal_words_one_by_one(vocabulary):
         assert ids.tolist() == [i for _, two in apart for i in two[k][0].tolist()]
 
 
+def test_words_around_the_limit(vocabulary, library):
+    draw = random.Random(11)
+    known = [p for p, _, _ in vocabulary.rows if "▁" not in p]
+    texts = ["".join(draw.choices(known, k=pieces.LONG_WORD))[: pieces.LONG_WORD + d] for d in (-2, -1, 0, 1)]
+    assert pieces.Words(vocabulary).of_texts(pa.array(texts))[0].to_pylist() == [library.encode(t) for t in texts]
+
+
 def test_words_of_texts(vocabulary):
     draw = random.Random(3)
     texts = ["".join(draw.choices("ab ▁\n日", weights=[4, 2, 5, 3, 1, 1], k=draw.randint(1, 40))) for _ in range(2_000)] + [" ", "▁", " " * 9, "▁" * 8, None]

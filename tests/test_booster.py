@@ -312,3 +312,31 @@ def test_fits_that_share_rows_equal_single_ones(sample):
     assert [m.node_rows() for m in shared] == [fit(df, LI, "label", p).node_rows() for p in configs]
     with pytest.raises(ValueError, match="share"):
         fit_each(df, LI, "label", [params(), params(method="histogram")])
+
+
+@pytest.mark.parametrize("rules", [{"reg_lambda": 0.0}, {"gamma": 0.5, "min_gain": 0.0}, {"min_leaf": 9, "min_child_weight": 3.0}])
+def test_subtrees_grown_in_tasks_equal_levels(spark, sample, monkeypatch, rules):
+    """To the last bit, with ties, copies of a feature and NaN, wherever the levels end and the subtrees begin."""
+    from copse.operators import subtree
+
+    df, _, _ = sample
+    nan = F.when(F.col("l_tax") > 0.06, float("nan")).otherwise(F.col("l_tax"))
+    df = df.withColumn("again", F.col("l_quantity")).withColumn("holes", nan)
+    names, config = [*LI, "again", "holes"], params(trees=2, depth=6, **rules)
+    found = []
+    for numbers in (0, 240 * 7 * 6 // 4, 240 * 7 * 6):  # rows, features and one more, arrays of a task
+        monkeypatch.setattr(subtree, "TASK_NUMBERS", numbers)
+        found.append(repr(fit(df, names, "label", config).node_rows()))
+    assert found[0] == found[1] == found[2]
+
+
+def test_rows_that_fit_a_task_are_not_searched_by_level(sample, monkeypatch):
+    df, x, y = sample
+
+    def refused(*_):
+        raise AssertionError("searched by level")
+
+    monkeypatch.setattr(splits, "value_best", refused)
+    monkeypatch.setattr(splits, "exact_best", refused)
+    expected, _ = brute.fit(x, y, 2, 8, 0.3, 0.0, 0.0)
+    check_same(fit(df, LI, "label", params(depth=8, reg_lambda=0.0)), expected)

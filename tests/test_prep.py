@@ -244,3 +244,78 @@ def test_cells_of_few_dimensions_stay_small(spark):
     points = spark.range(60_000).select(F.lit(1).alias("cls"), F.col("id").alias("vid"), F.array("id").alias("ids"), F.array(F.rand(1), F.rand(2)).alias("vec"))
     pivots, total = neighbors._pivots(points, neighbors.CHUNK)
     assert total == 60_000 and len(pivots[1]) == -(-60_000 // 128)
+
+
+@pytest.mark.parametrize("asks", [0, 4, 10**6])
+def test_knn_by_cells_and_by_blocks(spark, monkeypatch, asks):
+    """Points of two classes with copies, some more than travel, some ties, and cells cut into parts; whichever way they are compared."""
+    from copse.operators import neighbors
+
+    monkeypatch.setattr(neighbors, "ASKS", asks)
+    if not asks:
+        monkeypatch.setattr(neighbors, "FAR_SHARE", 0)
+        monkeypatch.setattr(neighbors, "RUN_BYTES", 1)
+        monkeypatch.setattr(neighbors, "BLOCK_NUMBERS", 64)
+        monkeypatch.setattr(neighbors, "FILE_BLOCKS", 2)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 2)).round(1) * [1e5, 1.0]
+    x[::9] = [0.0, 0.5]
+    ids, cls = rng.permutation(5000)[:400], np.arange(400) % 3 // 2
+    df = spark.createDataFrame([(int(i), int(c), *map(float, r)) for i, c, r in zip(ids, cls, x)], "i long, c int, a double, b double")
+    got = {}
+    for r in sorted(knn(df, "i", "c", ["a", "b"], 5, 50).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["row_id"], []).append(r["nn_id"])
+    want = {}
+    for c in (0, 1):
+        want |= plain_knn(ids[cls == c].tolist(), x[cls == c], 5)
+    assert got == want
+
+
+def scratch_folders(spark):
+    import os
+
+    from copse.session import scratch_root
+
+    root = scratch_root(spark).removeprefix("file:") + "/copse"
+    return {os.path.join(root, d) for d in (os.listdir(root) if os.path.isdir(root) else ())}
+
+
+def megabytes(folder):
+    import os
+
+    return sum(os.path.getsize(os.path.join(p, f)) for p, _, fs in os.walk(folder) for f in fs) / 1e6
+
+
+def test_knn_of_many_dimensions_leaves_no_copies_of_points(spark):
+    """With many dimensions every cell matters to every point; none is written more than once for that."""
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, 0, r.tolist()) for i, r in enumerate(rng.normal(size=(600, 32)))], "i long, c int, v array<double>")
+    before = scratch_folders(spark)
+    rows = knn(df, "i", "c", "v", 5, 20)
+    assert rows.count() == 3000
+    # 600 points of 32 numbers are 0.15 MB, and went to 30 cells.
+    assert sum(map(megabytes, scratch_folders(spark) - before)) < 0.15
+    got = {}
+    for r in sorted(rows.collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["row_id"], []).append(r["nn_id"])
+    assert got == plain_knn(range(600), np.array([r["v"] for r in df.orderBy("i").collect()]), 5)
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e7])
+def test_search_measures_what_rounding_leaves_open(offset):
+    """Far from the origin, in clusters and with infinite numbers: the same as all distances ranked."""
+    from copse.operators import neighbors
+
+    rng = np.random.default_rng(3)
+    for width in (2, 40):
+        x = np.repeat(rng.normal(size=(20, width)) * 1e3, 15, axis=0) + rng.normal(size=(300, width)) * 1e-3 + offset
+        for points in (x, np.vstack([x, np.full((1, width), np.inf)])):
+            n = len(points)
+            lists = neighbors._Lists(n, 6)
+            for half in (slice(0, 150), slice(150, n)):
+                ids = np.arange(n)[half]
+                neighbors._search(lists, points, points[half], neighbors._Ids(ids, np.ones(len(ids), dtype=int)))
+            with np.errstate(invalid="ignore"):
+                d = neighbors._distances(points, points)
+            want = np.array([np.lexsort((np.arange(n), r))[:6] for r in d[:300]])
+            assert (lists.ids[:300] == want).all()

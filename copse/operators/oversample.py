@@ -49,7 +49,7 @@ def synthetic_rows(
         F.array(*[F.col(c).cast("double") for c in features]).alias("_x"),
     )
     members = cut(members, "members")
-    placed = ranked(members.withColumn("_key", draw_key("_id", seed)), [F.col("_cls"), F.col("_key"), F.col("_id")], "_rank")
+    placed = ranked(members, [F.col("_cls"), draw_key("_id", seed), F.col("_id")], "_rank")
     draws, first, made = [], 0, 0
     for v in short:
         n, new = counts[v], largest - counts[v]
@@ -67,7 +67,7 @@ def synthetic_rows(
         )
         first, made = first + n, made + new
     drawn = reduce(DataFrame.unionByName, draws)
-    near = cut(knn(members, "_id", "_cls", "_x", k), "neighbors").select(
+    near = knn(members, "_id", "_cls", "_x", k).select(
         F.col("row_id").alias("_id"), F.col("rank").alias("_nn_rank"), F.col("nn_id").alias("_nn_id")
     )
     started = drawn.join(placed.select("_rank", "_id", "_x"), "_rank").join(near, ["_id", "_nn_rank"])

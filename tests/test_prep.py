@@ -319,3 +319,15 @@ def test_search_measures_what_rounding_leaves_open(offset):
                 d = neighbors._distances(points, points)
             want = np.array([np.lexsort((np.arange(n), r))[:6] for r in d[:300]])
             assert (lists.ids[:300] == want).all()
+
+
+def test_oversampling_leaves_no_working_tables(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, int(i % 3 == 0), float(a), float(b)) for i, (a, b) in enumerate(rng.random((900, 2)))]
+    df = spark.createDataFrame(rows, "i long, y int, a double, b double")
+    oversample(df, "i", "y", ["a", "b"]).count()
+    before = scratch_folders(spark)
+    assert oversample(df, "i", "y", ["a", "b"], seed=4).count() == 1200
+    left = {d.rsplit("/", 1)[1].rsplit("-", 1)[0]: d for d in scratch_folders(spark) - before}
+    assert not left.keys() & {"points", "placed", "sent", "inside", "asked", "blocks", "compared", "neighbors"}
+    assert "_key" not in spark.read.parquet(left["ranked"]).columns

@@ -271,30 +271,23 @@ def test_knn_by_cells_and_by_blocks(spark, monkeypatch, asks):
     assert got == want
 
 
-def scratch_folders(spark):
-    import os
+@pytest.fixture
+def scratch(monkeypatch, tmp_path):
+    """A scratch folder of the test's own; gives the tables in it."""
+    from copse import session
 
-    from copse.session import scratch_root
+    monkeypatch.setattr(session, "scratch_root", lambda spark: str(tmp_path))
+    return lambda: list((tmp_path / "copse").iterdir())
 
-    root = scratch_root(spark).removeprefix("file:") + "/copse"
-    return {os.path.join(root, d) for d in (os.listdir(root) if os.path.isdir(root) else ())}
 
-
-def megabytes(folder):
-    import os
-
-    return sum(os.path.getsize(os.path.join(p, f)) for p, _, fs in os.walk(folder) for f in fs) / 1e6
-
-
-def test_knn_of_many_dimensions_leaves_no_copies_of_points(spark):
+def test_knn_of_many_dimensions_leaves_no_copies_of_points(spark, scratch):
     """With many dimensions every cell matters to every point; none is written more than once for that."""
     rng = np.random.default_rng(2)
     df = spark.createDataFrame([(i, 0, r.tolist()) for i, r in enumerate(rng.normal(size=(600, 32)))], "i long, c int, v array<double>")
-    before = scratch_folders(spark)
     rows = knn(df, "i", "c", "v", 5, 20)
     assert rows.count() == 3000
     # 600 points of 32 numbers are 0.15 MB, and went to 30 cells.
-    assert sum(map(megabytes, scratch_folders(spark) - before)) < 0.15
+    assert sum(f.stat().st_size for table in scratch() for f in table.rglob("*")) < 150_000
     got = {}
     for r in sorted(rows.collect(), key=lambda r: r["rank"]):
         got.setdefault(r["row_id"], []).append(r["nn_id"])
@@ -321,13 +314,11 @@ def test_search_measures_what_rounding_leaves_open(offset):
             assert (lists.ids[:300] == want).all()
 
 
-def test_oversampling_leaves_no_working_tables(spark):
+def test_oversampling_leaves_no_working_tables(spark, scratch):
     rng = np.random.default_rng(6)
     rows = [(i, int(i % 3 == 0), float(a), float(b)) for i, (a, b) in enumerate(rng.random((900, 2)))]
     df = spark.createDataFrame(rows, "i long, y int, a double, b double")
-    oversample(df, "i", "y", ["a", "b"]).count()
-    before = scratch_folders(spark)
     assert oversample(df, "i", "y", ["a", "b"], seed=4).count() == 1200
-    left = {d.rsplit("/", 1)[1].rsplit("-", 1)[0]: d for d in scratch_folders(spark) - before}
+    left = {d.name.rsplit("-", 1)[0]: str(d) for d in scratch()}
     assert not left.keys() & {"points", "placed", "sent", "inside", "asked", "blocks", "compared", "neighbors"}
     assert "_key" not in spark.read.parquet(left["ranked"]).columns
